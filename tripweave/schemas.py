@@ -101,7 +101,6 @@ GOLDEN_SCHEMA = T.StructType(
 )
 
 
-def all_text(columns: list[str], extra: str | None = None) -> T.StructType:
-    """A schema with every column as text, plus one optional text column at the end."""
-    names = columns + ([extra] if extra else [])
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+def all_text(columns: list[str]) -> T.StructType:
+    """A schema with every column as text."""
+    return T.StructType([T.StructField(n, T.StringType()) for n in columns])

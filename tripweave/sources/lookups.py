@@ -72,7 +72,7 @@ def read_zone_rings(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .where(F.size(fields) >= 4)
         .select(
             F.get(fields, F.lit(1)).try_cast("int").alias("zone"),
-            F.transform(F.slice(fields, F.lit(4), F.size(fields)), F.trim).alias("rest"),
+            F.transform(F.slice(fields, F.lit(4), F.size(fields)), lambda x: F.trim(x)).alias("rest"),
         )
         .where(F.col("zone").isNotNull())
         .select("zone", ids.alias("ids"))

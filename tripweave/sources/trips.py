@@ -11,24 +11,22 @@ from ..schemas import (
     BIKE, BIKE_COLUMNS, BIKE_TYPED, GREEN, TAXI_LAYOUTS, TRIP_COLUMNS, TRIP_SCHEMA, YELLOW, all_text,
 )
 
-_BAD = "_malformed"
-
-
 def _read_text_csv(
     spark: SparkSession, path: str | list[str], columns: list[str], header: bool, drop_malformed: bool
 ) -> DataFrame:
     """CSV with every column as text.
 
-    Asking for the malformed-row column makes the parser look at the whole row, so which rows
-    are dropped does not depend on the columns a query happens to use (DROPMALFORMED's does).
+    With all columns text, malformed means of a wrong width.  ``columnPruning`` is off so that
+    the parser looks at whole rows: otherwise the rows DROPMALFORMED leaves out depend on the
+    columns a query happens to use.
     """
-    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
-    if not drop_malformed:
-        return reader.schema(all_text(columns)).csv(path)
-    raw = (
-        reader.schema(all_text(columns, _BAD)).option("columnNameOfCorruptRecord", _BAD).csv(path)
+    return (
+        spark.read.schema(all_text(columns))
+        .option("header", header)
+        .option("columnPruning", False)
+        .option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE")
+        .csv(path)
     )
-    return raw.where(F.col(_BAD).isNull()).drop(_BAD)
 
 
 def _fits(name: str, type_name: str) -> Column:
