@@ -22,14 +22,28 @@ LON_SCALE = 0.75
 FLAGS = {BIKE: "A", YELLOW: "N", GREEN: "R"}
 
 
+# Declared, so that building a query needs no job to look into the files.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def trips(spark: SparkSession, sf_dir: str, *modes: str) -> DataFrame:
-    """Trips of the given modes (all by default) as one trip table.
+def trips(
+    spark: SparkSession, sf_dir: str, *modes: str, months: tuple[str, str] | None = None
+) -> DataFrame:
+    """Trips of the given modes and pickup months (all by default) as one trip table.
 
-    Modes are picked on the stored flag, so the parquet reader can skip the others.
+    Modes and months (``yyyy-MM``, first and last) are picked on stored columns, so the parquet
+    reader can skip the others.
     Orders meet customers first (the smaller join), then line items once for all modes.  Line
     items and orders both grow with the data, so that join is a merge join at every scale:
     Spark's size guess for a joined side is far too high, and without the hint it would rather
@@ -38,6 +52,13 @@ def trips(spark: SparkSession, sf_dir: str, *modes: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem")
     if modes:
         lineitem = lineitem.where(F.col("l_returnflag").isin([FLAGS[m] for m in modes]))
+    if months:
+        first, last = (F.to_date(F.lit(f"{m}-01")) for m in months)
+        after = F.add_months(last, 1)
+        shipped = F.col("l_shipdate")
+        lineitem = lineitem.where(
+            (shipped >= first.cast("timestamp_ntz")) & (shipped < after.cast("timestamp_ntz"))
+        )
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
 

@@ -1,11 +1,11 @@
 """Column expressions.  All are built-in Catalyst functions, so they stay in generated code."""
 
-from .times import bike_time_cell, cell_date, cell_hour, pad_cell_hour, taxi_time_cell
+from .times import bike_time_cell, cell_date, cell_hour, pad_cell_hour, taxi_time_cell, time_cell
 from .values import (
     cell_key, known_zip, minutes, number, share, zero_zip,
 )
 
 __all__ = [
-    "bike_time_cell", "taxi_time_cell", "pad_cell_hour", "cell_date", "cell_hour",
+    "bike_time_cell", "taxi_time_cell", "time_cell", "pad_cell_hour", "cell_date", "cell_hour",
     "minutes", "number", "share", "known_zip", "zero_zip", "cell_key",
 ]

@@ -21,23 +21,31 @@ def _two_tokens(text: Column) -> Column:
     return F.substring_index(F.rtrim(text), " ", 2)
 
 
-def taxi_time_cell(text: Column) -> Column:
-    """Hour cell of an ISO time; other forms are cut at the first ``:`` and kept."""
-    return _two_tokens(_before_colon(text))
+def _iso_order(head: Column) -> Column:
+    """Month/day/year [hour] -> year-month-day [hour], month and day with two digits."""
+    month, day, year, hour = "([^/, ]*)", "([^/, ]*)", "([^/, ]+)", "([^/, ]*)"
+    slashed = f"^{month}[/, ]{day}[/, ]{year}[/, ]?{hour}.*$"
+    ordered = F.regexp_replace(head, slashed, "$3-$1-$2 $4")
+    return F.regexp_replace(ordered, "-(.)(?=[- ])", "-0$1")
 
 
-def bike_time_cell(text: Column) -> Column:
-    """Hour cell of an ISO or a month/day/year time.
+def time_cell(text: Column, may_be_slashed: Column) -> Column:
+    """Hour cell of an ISO time or, where ``may_be_slashed``, of a month/day/year time.
 
-    Month and day get two digits, the hour stays as written.  A slashed text without an hour
-    keeps just its date; one without a year stays as it is.
+    The hour stays as written.  A slashed text without an hour keeps just its date; one without
+    a year, and any other form, is cut at the first ``:`` and kept.
     """
     head = _before_colon(text)
-    month, day, year, hour = "([^/, ]*)", "([^/, ]*)", "([^/, ]+)", "([^/, ]*)"
-    slashed = f"^{month}[/, ]{day}[/, ]{year}[/, ]?{hour}.*$"
-    ordered = F.regexp_replace(head, slashed, "$3-$1-$2 $4")
-    padded = F.regexp_replace(ordered, "-(.)(?=[- ])", "-0$1")
-    return _two_tokens(F.when(F.contains(head, F.lit("/")), padded).otherwise(head))
+    slashed = may_be_slashed & F.contains(text, F.lit("/"))
+    return _two_tokens(F.when(slashed, _iso_order(head)).otherwise(head))
+
+
+def bike_time_cell(text: Column) -> Column:
+    return time_cell(text, F.lit(True))
+
+
+def taxi_time_cell(text: Column) -> Column:
+    return time_cell(text, F.lit(False))
 
 
 def cell_date(cell: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import bike_time_cell, number, pad_cell_hour, taxi_time_cell
+from ..functions import number, pad_cell_hour, time_cell
 from ..schemas import BIKE
 
 ZERO_DISTANCE_TEXT = ".00"
@@ -15,11 +15,17 @@ def _is_bike() -> Column:
     return F.col("mode") == BIKE
 
 
-def time_cell(pad_hour: bool = False) -> Column:
-    cell = F.when(_is_bike(), bike_time_cell(F.col("pickup"))).otherwise(
-        taxi_time_cell(F.col("pickup"))
+def with_time_cell(trips: DataFrame, pad_hour: bool = False) -> DataFrame:
+    """Add ``time_cell`` and drop trips without a pickup time.
+
+    The one-element explode computes the cell once per row.  As a plain column it would be copied
+    into every later filter on date or hour, and computed again in each.
+    """
+    cell = time_cell(F.col("pickup"), may_be_slashed=_is_bike())
+    cell = pad_cell_hour(cell) if pad_hour else cell
+    return trips.withColumn("time_cell", F.explode(F.array(cell))).where(
+        F.col("time_cell").isNotNull()
     )
-    return pad_cell_hour(cell) if pad_hour else cell
 
 
 def clean_trips(
@@ -34,14 +40,9 @@ def clean_trips(
     text ``.00`` (other zeros stay); with ``min_distance``, shorter taxi trips; with
     ``on_bad_number="drop"``, taxi trips whose distance is no number.
     """
-    distance = F.col("distance")
-    kept = trips.where(
-        F.col("pickup").isNotNull() & (_is_bike() | (distance != ZERO_DISTANCE_TEXT))
-    ).withColumns(
-        {
-            "time_cell": time_cell(pad_hour),
-            "distance": F.when(~_is_bike(), number(distance, on_bad_number)),
-        }
+    kept = trips.where(_is_bike() | (F.col("distance") != ZERO_DISTANCE_TEXT))
+    kept = with_time_cell(kept, pad_hour).withColumn(
+        "distance", F.when(~_is_bike(), number(F.col("distance"), on_bad_number))
     )
     if on_bad_number == "drop":
         kept = kept.where(_is_bike() | F.col("distance").isNotNull())

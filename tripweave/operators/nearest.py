@@ -3,8 +3,8 @@
 Distances are straight lines in the plane ``(lon * lon_scale, lat)``; of equally near points the
 least zip counts.  Two exact ways, picked by the measured number of distinct known points:
 
-* few (the stations or zones of a city): they travel as one array and each row takes the
-  minimum over it, with no join and no shuffle;
+* few (the stations or zones of a city): they travel to the tasks as arrays, and each batch of
+  rows takes its minima there, with no join and no shuffle;
 * many: a quadtree descent.  Each step keeps, per place, the cells that may still hold something
   nearer than the best found so far, splits them and looks the pieces up by an equi-join.  Work
   per place grows with the depth of the tree, however densely points crowd in one spot, and no
@@ -15,12 +15,15 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 # Cosine of New York's latitude: makes a degree of longitude as long as one of latitude there.
 CITY_LON_SCALE = 0.758
 MAX_ARRAY_POINTS = 2_000
+_CHUNK = 1_000  # rows whose distances to all sites are held at once
 
 _STEP = 2  # quadtree levels per step: every open cell splits into 4 x 4
 _DEPTH = 30
@@ -56,24 +59,30 @@ def nearest_zip(
         .groupBy((F.col("lon") * lon_scale).alias("x"), F.col("lat").alias("y"))
         .agg(F.min("zip").alias("zip"))
     )
-    if sites.limit(max_array_points + 1).count() <= max_array_points:
-        return _from_array(points, sites, lon_scale)
+    few = sites.limit(max_array_points + 1).collect()
+    if len(few) <= max_array_points:
+        return _from_arrays(points, few, lon_scale)
     return _by_descent(points, sites, lon_scale)
 
 
-def _from_array(points: DataFrame, sites: DataFrame, lon_scale: float) -> DataFrame:
-    everything = sites.agg(F.collect_list(F.struct("x", "y", "zip"))).scalar()
-    x, y = F.col("lon") * lon_scale, F.col("lat")
-    nearest = F.array_min(
-        F.transform(
-            "_sites", lambda s: F.struct(_distance2(x, y, s["x"], s["y"]).alias("d2"), s["zip"])
-        )
-    )
-    return (
-        points.withColumn("_sites", everything)
-        .withColumn("zip", F.when(x.isNotNull() & y.isNotNull(), nearest["zip"]))
-        .drop("_sites")
-    )
+def _from_arrays(points: DataFrame, few: list[Row], lon_scale: float) -> DataFrame:
+    few = sorted(few, key=lambda site: site["zip"])  # argmin takes the first of equal minima
+    x = np.array([site["x"] for site in few])
+    y = np.array([site["y"] for site in few])
+    zips = np.array([site["zip"] for site in few], dtype=object)
+
+    @F.pandas_udf("string")
+    def nearest(px: pd.Series, py: pd.Series) -> pd.Series:
+        out = np.full(len(px), None, dtype=object)
+        at = np.flatnonzero(px.notna() & py.notna()) if len(zips) else []
+        px, py = px.to_numpy(), py.to_numpy()
+        for i in range(0, len(at), _CHUNK):
+            rows = at[i : i + _CHUNK]
+            dx, dy = px[rows, None] - x, py[rows, None] - y
+            out[rows] = zips[np.argmin(dx * dx + dy * dy, axis=1)]
+        return pd.Series(out)
+
+    return points.withColumn("zip", nearest(F.col("lon") * lon_scale, F.col("lat")))
 
 
 def _by_descent(points: DataFrame, sites: DataFrame, lon_scale: float) -> DataFrame:

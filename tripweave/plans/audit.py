@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import bike_time_cell, cell_date, cell_hour, cell_key, known_zip, zero_zip
+from ..functions import cell_date, cell_hour, cell_key, known_zip, zero_zip
+from ..operators.clean import with_time_cell
 from ..schemas import UNKNOWN_ZIP
 
 
@@ -15,12 +16,12 @@ def golden_counts(sample: DataFrame, stations: DataFrame, end_stations: DataFram
     Trips with both ends unknown are left out; zip ``0`` counts as unknown.  The lookups come
     from ``operators.prepare_lookup``.
     """
-    trips = sample.where(F.col("pickup").isNotNull())
+    trips = with_time_cell(sample)
     for end, lookup in (("start", stations), ("end", end_stations or stations)):
         side = lookup.select(F.col("id").alias(f"{end}_id"), F.col("zip").alias(f"{end}_zip"))
         trips = trips.join(side, f"{end}_id", "left")
     start, end = (zero_zip(known_zip(F.col(f"{e}_zip"))) for e in ("start", "end"))
-    cell = bike_time_cell(F.col("pickup"))
+    cell = F.col("time_cell")
     return (
         trips.where((start != UNKNOWN_ZIP) | (end != UNKNOWN_ZIP))
         .groupBy(cell_key(start, end, cell_date(cell), cell_hour(cell)).alias("key"))

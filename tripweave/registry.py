@@ -147,7 +147,10 @@ def table_of(spark, sf_dir, mode):
 
 
 def destinations_from_zip(spark, sf_dir):
-    profile = multimodal(spark, sf_dir, keep_zero_share=True)
+    trips = d.trips(spark, sf_dir, months=("1996-01", "1999-12"))
+    profile = multimodal_profile_of(
+        located_trips(trips, *d.lookups(spark, sf_dir)), keep_zero_share=True
+    )
     found = destinations_from(
         profile, "10001", ("1996-01-01", "1999-12-31"), ["1", "01", "2", "02", "3", "03", "4", "04"]
     )
