@@ -31,6 +31,10 @@ def taxi(mode, start, end, pay="1", distance="1.0", trip_type=None, pickup=TIME)
             "distance": distance, "trip_type": trip_type}
 
 
+def plan(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+
+
 @pytest.fixture()
 def lookup(spark):
     data = [("1", "10001"), ("2", "10002"), ("3", "10003"), ("4", "")]
@@ -155,12 +159,18 @@ def test_profile_plan_shuffles_trips_once(spark):
     located = located_trips(d.trips(spark, SF_DIR), *d.lookups(spark, SF_DIR))
 
     def exchanges(df):
-        text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
-        return text.count("Exchange hashpartitioning(")
+        return plan(df).count("Exchange hashpartitioning(")
 
     assert exchanges(multimodal_profile_of(located)) == exchanges(located) + 1
 
 
+def test_merged_modes_need_no_further_shuffle(three, lookup, spark):
+    """One exchange per mode; none for putting the modes side by side."""
+    text = plan(multimodal_profile(*three, lookup, lookup))
+    assert text.count("Exchange hashpartitioning(") == 3
+    assert "Join" not in text.replace("BroadcastHashJoin", "")
+
+
 def test_mode_tables(make_trips, lookup):
     located = located_trips(
         make_trips(bike("1", "2"), taxi(YELLOW, "1", "2"), taxi(GREEN, "1", "2", trip_type="2")), lookup

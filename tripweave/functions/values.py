@@ -25,10 +25,8 @@ def number(text: Column, on_bad: str = "fail") -> Column:
         return parsed
     if on_bad != "fail":
         raise ValueError(f"on_bad must be 'fail' or 'drop', not {on_bad!r}")
-    message = F.concat(F.lit("not a number: "), text)
-    return F.when(parsed.isNull() & text.isNotNull(), F.raise_error(message).cast("double")).otherwise(
-        parsed
-    )
+    failure = F.raise_error(F.concat(F.lit("not a number: "), text)).cast("double")
+    return F.coalesce(parsed, F.when(text.isNotNull(), failure))
 
 
 def share(part: Column, total: Column) -> Column:

@@ -1,12 +1,14 @@
 """Located trips -> counts, shares and means per cell.
 
-One aggregate computes everything a mode needs, and one aggregate over the trips of all modes
-computes the multimodal table.  Counts, sums and means combine before the shuffle, so a cell
+One aggregate computes everything a mode needs.  For the multimodal table, trips of all modes in
+one table take one aggregate as well; separate tables take one each and are merged.  Counts, sums and means combine before the shuffle, so a cell
 that holds a third of all trips costs each task one partial row.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,21 +113,48 @@ def all_mode_cells(
     located: DataFrame, how: str = "full", keep_zero_share: bool = False,
     literal_dispatch: bool = False,
 ) -> DataFrame:
-    """The columns of all three modes per cell, from one aggregate over the trips of all modes.
+    """The columns of all three modes per cell, from one aggregate over one table of trips.
 
     Equals joining the three mode profiles on the cell (``how`` is ``"full"`` or ``"inner"``):
     a mode that has no profile row for a cell has NULLs there.
     """
-    if how not in ("full", "inner"):
-        raise ValueError(f"how must be 'full' or 'inner', not {how!r}")
     measures = {
         f"{mode}_{name}": column
         for mode in MODES
         for name, column in _measures(mode, literal_dispatch).items()
     }
-    cells = _split_cell(located.groupBy(*GROUP).agg(*[c.alias(n) for n, c in measures.items()]))
+    cells = located.groupBy(*GROUP).agg(*[c.alias(n) for n, c in measures.items()])
+    return _profile_rows(cells, how, keep_zero_share)
+
+
+def merged_mode_cells(
+    located: dict[str, DataFrame], how: str = "full", keep_zero_share: bool = False,
+    literal_dispatch: bool = False,
+) -> DataFrame:
+    """The same from one table of trips per mode.
 
-    present = {m: F.col(f"{m}_trips" if keep_zero_share else f"{m}_part") > 0 for m in MODES}
+    Each mode is aggregated with its own few measures; the cells are then put side by side by a
+    union and a second aggregate.  All have the same partitioning, so Spark plans that aggregate
+    without another shuffle, and without the sorts of a join.
+    """
+    parts, names = [], []
+    for mode, trips in located.items():
+        measures = _measures(mode, literal_dispatch)
+        names += [f"{mode}_{n}" for n in measures]
+        cells = trips.where(F.col("mode") == mode).groupBy(*GROUP)
+        parts.append(cells.agg(*[c.alias(f"{mode}_{n}") for n, c in measures.items()]))
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    side_by_side = merged.groupBy(*GROUP).agg(*[F.max(n).alias(n) for n in names])
+    return _profile_rows(side_by_side, how, keep_zero_share)
+
+
+def _profile_rows(cells: DataFrame, how: str, keep_zero_share: bool) -> DataFrame:
+    """Measures of all modes per cell -> profile columns, NULL where a mode has no profile row."""
+    if how not in ("full", "inner"):
+        raise ValueError(f"how must be 'full' or 'inner', not {how!r}")
+    cells = _split_cell(cells)
+    counts = {m: F.col(f"{m}_trips" if keep_zero_share else f"{m}_part") for m in MODES}
+    present = {m: F.coalesce(n, F.lit(0)) > 0 for m, n in counts.items()}
     bike, yellow, green = (present[m] for m in MODES)
     wanted = (bike | yellow | green) if how == "full" else (bike & yellow & green)
     columns = [

@@ -1,7 +1,7 @@
 """Nearest known point: the zip of a place that no lookup holds yet.
 
 Distances are straight lines in the plane ``(lon * lon_scale, lat)``; of equally near points the
-least zip counts.  Two exact ways, picked by the measured number of distinct known points:
+least zip counts.  Two exact ways, picked by the measured number of known points:
 
 * few (the stations or zones of a city): they travel to the tasks as arrays, and each batch of
   rows takes its minima there, with no join and no shuffle;
@@ -54,15 +54,13 @@ def nearest_zip(
 
     Points without coordinates, or with nothing known at all, get a NULL zip.
     """
-    sites = (
-        known.where(F.col("lat").isNotNull() & F.col("lon").isNotNull() & (F.col("zip") != ""))
-        .groupBy((F.col("lon") * lon_scale).alias("x"), F.col("lat").alias("y"))
-        .agg(F.min("zip").alias("zip"))
-    )
+    sites = known.where(
+        F.col("lat").isNotNull() & F.col("lon").isNotNull() & (F.col("zip") != "")
+    ).select((F.col("lon") * lon_scale).alias("x"), F.col("lat").alias("y"), "zip")
     few = sites.limit(max_array_points + 1).collect()
     if len(few) <= max_array_points:
         return _from_arrays(points, few, lon_scale)
-    return _by_descent(points, sites, lon_scale)
+    return _by_descent(points, sites.groupBy("x", "y").agg(F.min("zip").alias("zip")), lon_scale)
 
 
 def _from_arrays(points: DataFrame, few: list[Row], lon_scale: float) -> DataFrame:

@@ -227,6 +227,7 @@ ORACLE: dict[str, str] = {
 SELECT * FROM bike JOIN yellow USING ({KEYS}) JOIN green USING ({KEYS})""",
     "multimodal_profile_all_cells": f"{_profiles(all_cells=True)} SELECT * FROM profile",
     "multimodal_profile_padded": f"{_profiles(located=PADDED)} SELECT * FROM profile",
+    "multimodal_profile_merged": f"{_profiles()} SELECT * FROM profile",
     "multimodal_profile_joined": f"{_profiles()} SELECT * FROM profile",
     "bike_time_cells": _time_cells("'bike'"),
     "taxi_time_cells": _time_cells("'yellow', 'green'"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cell_date, cell_hour, minutes, share
-from ..operators.cells import all_mode_cells, mode_cells, profile_columns
+from ..operators.cells import all_mode_cells, merged_mode_cells, mode_cells, profile_columns
 from ..operators.clean import clean_trips
 from ..operators.locate import locate
 from ..schemas import BIKE, CELL_KEYS, GREEN, YELLOW
@@ -52,18 +52,20 @@ def multimodal_profile(
     bike: DataFrame, yellow: DataFrame, green: DataFrame, stations: DataFrame, zones: DataFrame,
     how: str = "full", keep_zero_share: bool = False, literal_dispatch: bool = False, **cleaning,
 ) -> DataFrame:
-    """The three trip tables as one profile: a union and a single aggregate, no join of cells."""
-    located = located_trips(bike, stations, **cleaning)
-    for taxi in (yellow, green):
-        located = located.unionByName(located_trips(taxi, zones, **cleaning))
-    return all_mode_cells(located, how, keep_zero_share, literal_dispatch)
+    """The three trip tables as one profile, without a join of cells."""
+    located = {
+        BIKE: located_trips(bike, stations, **cleaning),
+        YELLOW: located_trips(yellow, zones, **cleaning),
+        GREEN: located_trips(green, zones, **cleaning),
+    }
+    return merged_mode_cells(located, how, keep_zero_share, literal_dispatch)
 
 
 def multimodal_profile_of(
     located: DataFrame, how: str = "full", keep_zero_share: bool = False,
     literal_dispatch: bool = False,
 ) -> DataFrame:
-    """The multimodal profile of located trips of all modes."""
+    """The multimodal profile of one table with the located trips of all modes: one pass."""
     return all_mode_cells(located, how, keep_zero_share, literal_dispatch)
 
 

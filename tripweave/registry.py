@@ -16,12 +16,13 @@ from .operators import (
     cell_counts, dropped_trips, locate, mode_cells, nearest_zip,
     zone_means, zone_ranges,
 )
+from .operators.cells import merged_mode_cells
 from .plans import (
     audit_counts, destinations_from, golden_counts, join_profiles, mode_profile, mode_tables,
     multimodal_profile_of, refresh_lookup, zone_lookup,
 )
 from .plans.profiles import located_trips
-from .schemas import BIKE, CELL_KEYS, GREEN, YELLOW
+from .schemas import BIKE, CELL_KEYS, GREEN, MODES, YELLOW
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,8 +139,18 @@ def multimodal(spark, sf_dir, how="full", pad_hour=False, min_distance=None, **o
 
 def multimodal_joined(spark, sf_dir, how="full"):
     """The same table from three finished profiles and two joins."""
-    located = _located(spark, sf_dir)
-    return join_profiles(*(mode_profile(located, m) for m in (BIKE, YELLOW, GREEN)), how=how)
+    start, end = d.lookups(spark, sf_dir)
+    profiles = [
+        mode_profile(located_trips(d.trips(spark, sf_dir, m), start, end), m) for m in MODES
+    ]
+    return join_profiles(*profiles, how=how)
+
+
+def multimodal_merged(spark, sf_dir):
+    """The same table from one trip table per mode, merged without a join."""
+    start, end = d.lookups(spark, sf_dir)
+    located = {m: located_trips(d.trips(spark, sf_dir, m), start, end) for m in MODES}
+    return merged_mode_cells(located)
 
 
 def table_of(spark, sf_dir, mode):
@@ -221,6 +232,7 @@ QUERIES: dict[str, Query] = {
     "multimodal_profile_inner": partial(multimodal, how="inner"),
     "multimodal_profile_all_cells": partial(multimodal, keep_zero_share=True),
     "multimodal_profile_padded": partial(multimodal, pad_hour=True, min_distance=2.0),
+    "multimodal_profile_merged": multimodal_merged,
     "multimodal_profile_joined": multimodal_joined,
     "bike_time_cells": bike_time_cells,
     "taxi_time_cells": taxi_time_cells,
