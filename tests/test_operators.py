@@ -155,13 +155,14 @@ def test_nearest_equals_brute_force(spark, array_points):
     grid = [(40.0 + i / 8, -74.0 + j / 8) for i in range(6) for j in range(6)]
     known = [(*p, f"{10000 + i:05d}") for i, p in enumerate(spot + wide + grid)]
     known += [(40.7, -74.0, "10999"), (40.7, -74.0, "10998"), (41.0, -74.0, "")]
+    nowhere = [(float("nan"), -74.0, "10001"), (None, -74.0, "10001")]
     places = (
         spot[::3] + [(a + 1e-6, b - 1e-6) for a, b in spot[::4]]
         + [(40.0 + rng.random() * 1.5, -75.0 + rng.random() * 1.5) for _ in range(60)]
         + [(40.0 + i / 16, -74.0 + i / 16) for i in range(10)] + [(40.7, -74.0)] * 30 + [(60.0, 10.0)]
     )
     points = [(f"p{i}", *p) for i, p in enumerate(places)] + [("none", None, -74.0)]
-    p, k = point_frames(spark, points, known)
+    p, k = point_frames(spark, points, known + nowhere)
     found = nearest_zip(p, k, lon_scale=0.75, max_array_points=array_points)
     assert rows(found, "id", "zip") == brute_nearest(points, [x for x in known if x[2]], 0.75)
 

@@ -174,3 +174,50 @@ def test_mode_tables_and_audit_log(spark, tmp_path):
     parts = list((tmp_path / "log").glob("part-*"))
     assert len(parts) == 1
     assert sorted(parts[0].read_text().split("\n")) == ["", "k1 0", "k2 -3"]
+
+
+class FakeJdbc:
+    """Stands in for a reader or a writer and notes the options it is given."""
+
+    def __init__(self):
+        self.given = {}
+        self.read = self.write = self
+
+    def format(self, name):
+        self.given["format"] = name
+        return self
+
+    def mode(self, name):
+        self.given["mode"] = name
+        return self
+
+    def option(self, key, value):
+        self.given[key] = value
+        return self
+
+    def options(self, **more):
+        self.given.update(more)
+        return self
+
+    def load(self):
+        return self
+
+    def save(self):
+        return self
+
+
+def test_jdbc_options():
+    """No database is started here: only the options are checked."""
+    fake = FakeJdbc()
+    slice_ = "date = '2019-06-01' and hour = '00' and bike_trip_count > 0"
+    sources.read_table_jdbc(fake, "jdbc:x", "profile", {"user": "u"}, where=slice_)
+    assert fake.given == {
+        "format": "jdbc", "url": "jdbc:x", "user": "u",
+        "dbtable": f"(select * from profile where {slice_}) as slice",
+    }
+    fake = FakeJdbc()
+    sinks.write_table_jdbc(fake, "jdbc:x", "profile", {"batchsize": "10000"})
+    assert fake.given == {
+        "format": "jdbc", "mode": "overwrite", "url": "jdbc:x", "dbtable": "profile",
+        "batchsize": "10000",
+    }

@@ -54,9 +54,11 @@ def nearest_zip(
 
     Points without coordinates, or with nothing known at all, get a NULL zip.
     """
-    sites = known.where(
-        F.col("lat").isNotNull() & F.col("lon").isNotNull() & (F.col("zip") != "")
-    ).select((F.col("lon") * lon_scale).alias("x"), F.col("lat").alias("y"), "zip")
+    sites = (
+        known.where(F.col("zip") != "")
+        .select((F.col("lon") * lon_scale).alias("x"), F.col("lat").alias("y"), "zip")
+        .dropna()  # NaN too
+    )
     few = sites.limit(max_array_points + 1).collect()
     if len(few) <= max_array_points:
         return _from_arrays(points, few, lon_scale)
