@@ -31,11 +31,14 @@ _BROADCAST_DEPTH = 8  # a level has at most 4**level cells: 65,536 here
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; set a local one only where none is named."""
+    """Use the checkpoint folder the session names; only a local run may do with a local one."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tripweave-"))
+    if context.getCheckpointDir() is not None:
+        return
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tripweave-"))
 
 
 def _square(a: Column) -> Column:
