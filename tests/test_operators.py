@@ -80,6 +80,36 @@ def test_only_measured_small_lookups_are_broadcast(spark, make_trips):
     assert "SortMergeJoin" in large and "Broadcast" not in large
 
 
+def test_a_hot_id_is_split_when_the_lookup_is_too_large(spark):
+    """Half of the trips start at one place; its shuffle partition is read by several tasks."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        trips = spark.range(0, 40_000, 1, 8).select(
+            F.when(F.col("id") % 2 == 0, "7").otherwise(F.col("id").cast("string")).alias("start_id"),
+            (F.col("id") % 1_000).cast("string").alias("end_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        )
+        ids = spark.range(0, 40_000).select(
+            F.col("id").cast("string").alias("id"), F.lit("10001").alias("zip"), F.lit(1).alias("line")
+        )
+        df = locate(trips, prepare_lookup(ids, max_rows=0)).groupBy("text").agg(F.max("start_zip"))
+        assert len(df.collect()) == 40_000
+        assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_sizes(spark):
     df = spark.range(10).select(F.col("id").cast("string").alias("x"))
     assert are_small(df, df.limit(2), max_rows=5) == [False, True]

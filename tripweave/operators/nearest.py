@@ -109,13 +109,19 @@ def _by_descent(points: DataFrame, sites: DataFrame, lon_scale: float) -> DataFr
         }
     ).checkpoint()
 
-    def cells_at(level: int) -> DataFrame:
-        """Cells of a level that hold a site: how many, and one of them."""
+    def in_cells(rows: DataFrame, level: int) -> DataFrame:
+        """Join rows with the cells of a level that hold a site: how many, and one of them."""
         cells = sites.groupBy(
             F.shiftright("fx", _DEPTH - level).alias("cx"),
             F.shiftright("fy", _DEPTH - level).alias("cy"),
         ).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("x", "y", "zip")).alias("site"))
-        return F.broadcast(cells) if level <= _BROADCAST_DEPTH else cells
+        if level <= _BROADCAST_DEPTH:
+            return rows.join(F.broadcast(cells), ["cx", "cy"])
+        # The third key makes Spark shuffle both sides for this join, so that adaptive execution
+        # can split a cell in which many places lie (see locate.add_zip).
+        diagonal = (F.col("cx") + F.col("cy")).alias("diagonal")
+        keys = ["cx", "cy", "diagonal"]
+        return rows.select("*", diagonal).join(cells.select("*", diagonal), keys).drop("diagonal")
 
     def candidate(site: Column) -> Column:
         d2 = _distance2(F.col("px"), F.col("py"), site["x"], site["y"])
@@ -134,7 +140,7 @@ def _by_descent(points: DataFrame, sites: DataFrame, lon_scale: float) -> DataFr
     fan = 2**_STEP
 
     start = places.withColumns({"cx": F.lit(0).cast("long"), "cy": F.lit(0).cast("long")})
-    opened = start.join(cells_at(0), ["cx", "cy"]).withColumn("found", candidate(F.col("site")))
+    opened = in_cells(start, 0).withColumn("found", candidate(F.col("site")))
     opened = opened.select(*place, "cx", "cy", "n", "found").checkpoint()
     best = opened.select(*place, "found")
     opened = opened.where("n > 1").drop("found")
@@ -152,10 +158,9 @@ def _by_descent(points: DataFrame, sites: DataFrame, lon_scale: float) -> DataFr
             )
         )
         reach2 = _square(gap("px", "cx", x0, width)) + _square(gap("py", "cy", y0, width))
+        near = pieces.where(reach2 <= F.col("found.d2")).select(*place, "cx", "cy")
         opened = (
-            pieces.where(reach2 <= F.col("found.d2"))
-            .select(*place, "cx", "cy")
-            .join(cells_at(level), ["cx", "cy"])
+            in_cells(near, level)
             .select(*place, "cx", "cy", "n", candidate(F.col("site")).alias("found"))
             .checkpoint()
         )

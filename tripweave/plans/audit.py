@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cell_date, cell_hour, cell_key, known_zip, zero_zip
 from ..operators.clean import with_time_cell
+from ..operators.locate import add_zip
 from ..schemas import UNKNOWN_ZIP
 
 
@@ -16,10 +17,8 @@ def golden_counts(sample: DataFrame, stations: DataFrame, end_stations: DataFram
     Trips with both ends unknown are left out; zip ``0`` counts as unknown.  The lookups come
     from ``operators.prepare_lookup``.
     """
-    trips = with_time_cell(sample)
-    for end, lookup in (("start", stations), ("end", end_stations or stations)):
-        side = lookup.select(F.col("id").alias(f"{end}_id"), F.col("zip").alias(f"{end}_zip"))
-        trips = trips.join(side, f"{end}_id", "left")
+    trips = add_zip(with_time_cell(sample), stations, "start")
+    trips = add_zip(trips, end_stations or stations, "end")
     start, end = (zero_zip(known_zip(F.col(f"{e}_zip"))) for e in ("start", "end"))
     cell = F.col("time_cell")
     return (
