@@ -9,6 +9,7 @@ from tripweave.operators import (
     are_small, broadcast_if_small, cell_counts, clean_trips, dropped_trips, latest_zip, locate,
     nearest_zip, prepare_lookup, range_join, spread_if_few, zone_means,
 )
+from tripweave.operators import nearest
 from tripweave.operators.nearest import ensure_checkpoint_dir
 
 
@@ -206,7 +207,10 @@ def test_nearest_with_one_or_no_known_point(spark, array_points):
         assert rows(found, "id", "zip") == brute_nearest(points, known, 1.0)
 
 
-def test_sites_nearer_than_the_finest_cell(spark):
+@pytest.mark.parametrize("leaf", [1, 16])
+def test_sites_nearer_than_the_finest_cell(spark, monkeypatch, leaf):
+    """With a leaf of one site the descent goes down to the finest cells."""
+    monkeypatch.setattr(nearest, "_LEAF", leaf)
     points = [("a", 0.0, 0.0), ("b", 1e-13, 0.0), ("far", 1.0, 1.0)]
     known = [(2e-13, 0.0, "10002"), (0.0, 0.0, "10001"), (1.0, 0.0, "10003")]
     p, k = point_frames(spark, points, known)

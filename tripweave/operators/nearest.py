@@ -27,6 +27,7 @@ _CHUNK = 1_000  # rows whose distances to all sites are held at once
 
 _STEP = 2  # quadtree levels per step: every open cell splits into 4 x 4
 _DEPTH = 30
+_LEAF = 16  # open cells of so few sites are not split further
 _BROADCAST_DEPTH = 8  # a level has at most 4**level cells: 65,536 here
 
 
@@ -135,46 +136,56 @@ def _by_descent(points: DataFrame, sites: DataFrame, lon_scale: float) -> DataFr
             F.lit(0.0), low - F.col(place) - slack, F.col(place) - low - F.lit(width) - slack
         )
 
+    def reaches(level: int) -> Column:
+        """Whether a cell of the level may hold something as near as the best found so far."""
+        width = side / 2**level
+        gap2 = _square(gap("px", "cx", x0, width)) + _square(gap("py", "cy", y0, width))
+        return gap2 <= F.col("found.d2")
+
     place = ["px", "py"]
-    offsets = F.explode(F.sequence(F.lit(0), F.lit(4**_STEP - 1)))
+    offset = F.explode(F.sequence(F.lit(0), F.lit(4**_STEP - 1))).alias("o")
     fan = 2**_STEP
 
+    level = 0
     start = places.withColumns({"cx": F.lit(0).cast("long"), "cy": F.lit(0).cast("long")})
-    opened = in_cells(start, 0).withColumn("found", candidate(F.col("site")))
-    opened = opened.select(*place, "cx", "cy", "n", "found").checkpoint()
-    best = opened.select(*place, "found")
-    opened = opened.where("n > 1").drop("found")
+    looked = in_cells(start, level).select(
+        *place, "cx", "cy", "n", candidate(F.col("site")).alias("found")
+    ).checkpoint()
+    best = looked.select(*place, "found")
+    opened = looked.where("n > 1").drop("found")
 
-    for level in range(_STEP, _DEPTH + 1, _STEP):
-        width = side / 2**level
-        pieces = (
+    while level < _DEPTH and not opened.where(F.col("n") > _LEAF).isEmpty():
+        level += _STEP
+        near = (
             opened.join(best, place)
-            .select(*place, "cx", "cy", "found", offsets.alias("o"))
+            .select(*place, "cx", "cy", "found", offset)
             .withColumns(
                 {
                     "cx": F.col("cx") * fan + F.col("o") % fan,
                     "cy": F.col("cy") * fan + F.floor(F.col("o") / fan).cast("long"),
                 }
             )
+            .where(reaches(level))
         )
-        reach2 = _square(gap("px", "cx", x0, width)) + _square(gap("py", "cy", y0, width))
-        near = pieces.where(reach2 <= F.col("found.d2")).select(*place, "cx", "cy")
-        opened = (
-            in_cells(near, level)
+        looked = (
+            in_cells(near.select(*place, "cx", "cy"), level)
             .select(*place, "cx", "cy", "n", candidate(F.col("site")).alias("found"))
             .checkpoint()
         )
-        best = _least(best.unionByName(opened.select(*place, "found")), place).checkpoint()
-        opened = opened.where("n > 1").drop("found")
-        if opened.isEmpty():
-            break
-    else:
-        # Sites closer together than the finest cell: look at each of them.
-        last = opened.join(
-            sites.select(F.col("fx").alias("cx"), F.col("fy").alias("cy"), F.struct("x", "y", "zip").alias("site")),
-            ["cx", "cy"],
-        ).select(*place, candidate(F.col("site")).alias("found"))
-        best = _least(best.unionByName(last), place)
+        best = _least(best.unionByName(looked.select(*place, "found")), place).checkpoint()
+        opened = looked.where("n > 1").drop("found")
+
+    # The cells still open hold few sites, or sites closer together than the finest cell: look at
+    # each of them.
+    left = _DEPTH - level
+    each = sites.select(
+        F.shiftright("fx", left).alias("cx"), F.shiftright("fy", left).alias("cy"),
+        F.struct("x", "y", "zip").alias("site"),
+    )
+    last = opened.join(best, place).where(reaches(level)).drop("found").join(each, ["cx", "cy"])
+    best = _least(
+        best.unionByName(last.select(*place, candidate(F.col("site")).alias("found"))), place
+    )
 
     found = best.select(*place, F.col("found.zip").alias("zip"))
     return placed.join(found, place, "left").drop(*place)
