@@ -1,8 +1,9 @@
 """Located trips -> counts, shares and means per cell.
 
 One aggregate computes everything a mode needs.  For the multimodal table, trips of all modes in
-one table take one aggregate as well; separate tables take one each and are merged.  Counts, sums and means combine before the shuffle, so a cell
-that holds a third of all trips costs each task one partial row.
+one table take one aggregate as well; separate tables take one each and are merged.  Counts, sums
+and means combine before the shuffle, so a cell that holds a third of all trips costs each task
+one partial row.
 """
 
 from __future__ import annotations
