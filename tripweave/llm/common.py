@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -140,3 +141,12 @@ def shingle_hashes(texts: list[bytes], size: int) -> list[np.ndarray]:
         else:
             out.append(np.zeros(0, dtype=np.uint64))
     return out
+
+
+def cut_table(df: DataFrame) -> DataFrame:
+    """As ``cut``, but as a compressed table: for rows that carry texts."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import quality
+from .common import fold, table
+from .decontaminate import leaks
 from .exact import copies
+from .near import near_copies
 from .packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +25,11 @@ def op1_packing(spark, sf_dir):
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op3_decontamination(spark, sf_dir):
+    """Documents with a passage that repeats a benchmark item, and where."""
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_exact_dedup(spark, sf_dir):
     """Every document with the document of the same text that stays."""
     return copies(table(spark, sf_dir, "documents")).select(
@@ -30,7 +38,26 @@ def op5_exact_dedup(spark, sf_dir):
     )
 
 
+def op7_quality(spark, sf_dir):
+    """A quality score for every document, learned from four of five folds of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(fold(F.col("doc_id"), 5) != 0))
+    return quality.score(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted"
+    )
+
+
+def op8_near_dedup(spark, sf_dir):
+    """Every document with the least document that chains of near copies lead to."""
+    return near_copies(table(spark, sf_dir, "documents"), words=4).select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op3_decontamination": op3_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_quality": op7_quality,
+    "op8_near_dedup": op8_near_dedup,
 }
