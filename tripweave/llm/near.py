@@ -110,17 +110,108 @@ def _similar(words: int, percent: int, schema: pa.Schema):
     return run
 
 
+def _differences(words: int, schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = text_bytes(batch.column(3)), text_bytes(batch.column(4))
+            for first, last in groups_of(right):
+                known = {t: k for k, t in enumerate(dict.fromkeys(left[first:last]))}
+                hubs = shingle_hashes(list(known), words)
+                others = shingle_hashes(right[first:last], words)
+                diffs = []
+                for i, y in enumerate(others, first):
+                    x = hubs[known[left[i]]]
+                    added = np.setdiff1d(y, x, assume_unique=True)
+                    lost = np.setdiff1d(x, y, assume_unique=True)
+                    diffs.append(np.concatenate((added, lost)).view(np.int64))
+                part = batch.slice(first, last - first)
+                sizes = np.cumsum([0] + [len(d) for d in diffs]).astype(np.int32)
+                values = pa.array(np.concatenate(diffs) if diffs else np.zeros(0, np.int64))
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), part.column(1), part.column(2),
+                    pa.array([len(y) for y in others], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(sizes), values).cast(schema.types[4]),
+                ], schema=schema)
+
+    return run
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b, ...) with the texts of a and b."""
+    for side, name in (("b", "right"), ("a", "left")):
+        held = texts.select(F.col("node").alias(side), F.col("text").alias(name))
+        pairs = pairs.join(held.hint("merge"), side)
+    return pairs
+
+
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar enough."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    both = (
-        pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")).hint("merge"), "b")
-        .join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")).hint("merge"), "a")
-        .select("a", "b", "left", "right")
-    )
     schema = pairs.select("a", "b").schema
-    return both.mapInArrow(_similar(words, percent, to_arrow_schema(schema)), schema)
+    return _with_texts(pairs, texts).select("a", "b", "left", "right").mapInArrow(
+        _similar(words, percent, to_arrow_schema(schema)), schema
+    )
+
+
+def links_between(
+    tried: DataFrame, found: DataFrame, texts: DataFrame, words: int, percent: int
+) -> DataFrame:
+    """Links (a, b) between nodes that were compared with the same hub but are in two components.
+
+    Sets are written as their difference from the hub's set, which is short for a near copy.  With
+    H the size of the difference between two sets, their similarity is (n + m - H) / (n + m + H),
+    so similar sets have H of at most a bound that follows from the size of either.  The
+    differences of two such nodes must then share an element, and, in a fixed order of elements,
+    one among the first bound / 2 + 1 of the shorter and the first bound + 1 of the longer
+    difference (prefix filter; two nodes that need not share one are both similar to the hub).
+    Elements that the hub lacks come first: they are rare.  So the pairs that meet are few, and
+    those are counted exactly.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    whole = found.select(F.col("node").alias("b"), F.col("component").alias("c"))
+    each = tried.unionByName(tried.select("a", F.col("a").alias("b")).distinct()).join(
+        whole.hint("merge"), "b", "left"
+    ).select("a", "b", F.coalesce("c", "b").alias("c"))
+    mixed = each.groupBy("a").agg(F.min("c").alias("low"), F.max("c").alias("high")).where(
+        "low != high"
+    ).select("a")
+    open_ = each.join(mixed.hint("merge"), "a").where("a != b")
+    kind = tried.schema["a"].dataType.simpleString()
+    schema = tried.sparkSession.createDataFrame(
+        [], f"a {kind}, b {kind}, c {kind}, n bigint, diff array<bigint>"
+    ).schema
+    rows = cut(
+        _with_texts(open_, texts).select("a", "b", "c", "left", "right")
+        .mapInArrow(_differences(words, to_arrow_schema(schema)), schema)
+    )
+    bound = F.floor(F.col("n") * (100 - percent) / percent).cast("int")
+    narrow = ["a", "b", "c", "n", F.size("diff").alias("d")]
+
+    def first(length):
+        return rows.select(*narrow, F.explode(F.slice("diff", 1, length)).alias("element"))
+
+    short = first(F.floor(bound / 2).cast("int") + 1).alias("s")
+    long = first(bound + 1).alias("l")
+    s, l_ = (lambda c: F.col(f"s.{c}")), (lambda c: F.col(f"l.{c}"))
+    meet = short.join(
+        long.hint("merge"),
+        (s("a") == l_("a")) & (s("element") == l_("element")) & (s("c") != l_("c"))
+        & ((s("d") < l_("d")) | ((s("d") == l_("d")) & (s("b") < l_("b"))))
+        & (100 * F.least(s("n"), l_("n")) >= percent * F.greatest(s("n"), l_("n")))
+        & ((l_("d") - s("d")) * (100 + percent) <= (s("n") + l_("n")) * (100 - percent)),
+    ).select(s("a").alias("a"), s("b").alias("x"), l_("b").alias("y")).distinct()
+    for side in ("x", "y"):
+        meet = meet.join(
+            rows.select("a", F.col("b").alias(side), F.col("n").alias(f"n{side}"),
+                        F.col("diff").alias(f"d{side}")).hint("merge"), ["a", side]
+        )
+    apart = F.size("dx") + F.size("dy") - 2 * F.size(F.array_intersect("dx", "dy"))
+    total = F.col("nx") + F.col("ny")
+    return meet.where(100 * (total - apart) >= percent * (total + apart)).select(
+        F.col("x").alias("a"), F.col("y").alias("b")
+    )
 
 
 def near_copies(
@@ -137,8 +228,8 @@ def near_copies(
     1. Texts of equal shingle sets form a class, named by its least id; only that one goes on.
     2. Classes that share a band of their sketches meet in a bucket.  Each is compared with the
        bucket's least class on full texts, so a bucket of n classes costs n - 1 comparisons.
-    3. Classes of a bucket that are then still in different components are compared with one
-       another, so that no link between components is lost.
+    3. Links between classes that met the same least class but are then still in different
+       components are found by their differences from it (``links_between``), so none is lost.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -168,22 +259,7 @@ def near_copies(
     links = cut(verified(tried, texts, words, percent))
     found = components(links)
 
-    placed = met.join(found.hint("merge"), "node", "left").select(
-        "band", "node", F.coalesce("component", "node").alias("component")
-    )
-    mixed = placed.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low != high").select("band")
-    open_ = cut(placed.join(mixed.hint("merge"), "band"))
-    left, right = open_.alias("l"), open_.alias("r")
-    more = left.join(
-        right.hint("merge"),
-        (F.col("l.band") == F.col("r.band")) & (F.col("l.node") < F.col("r.node"))
-        & (F.col("l.component") != F.col("r.component")),
-    ).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct().join(
-        tried.hint("merge"), ["a", "b"], "left_anti"
-    )
-    late = verified(more, texts, words, percent)
+    late = links_between(tried, found, texts, words, percent)
     found = components(
         found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late)
     )
