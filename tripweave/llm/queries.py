@@ -14,6 +14,7 @@ from .decontaminate import leaks
 from .exact import copies
 from .near import near_copies
 from .packing import pack
+from .repeats import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
@@ -30,6 +31,15 @@ def op3_decontamination(spark, sf_dir):
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_repeats(spark, sf_dir):
+    """What is left of every document without the 100-byte strings that start earlier too."""
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["start"])
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_exact_dedup(spark, sf_dir):
     """Every document with the document of the same text that stays."""
     return copies(table(spark, sf_dir, "documents")).select(
@@ -57,6 +67,7 @@ def op8_near_dedup(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op3_decontamination": op3_decontamination,
+    "op4_repeats": op4_repeats,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_quality": op7_quality,
     "op8_near_dedup": op8_near_dedup,
