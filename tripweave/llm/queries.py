@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import language, quality, secrets
 from .common import fold, table
 from .decontaminate import leaks
 from .exact import copies
+from .licenses import find_licenses
 from .near import near_copies
 from .packing import pack
 from .repeats import remove_repeats
+from .urls import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
@@ -26,6 +28,17 @@ def op1_packing(spark, sf_dir):
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+#: What the url rules are in the query; they are a parameter of the operator.
+URL_RULES = [
+    ("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"),
+]
+
+
+def op2_urls(spark, sf_dir):
+    """A verdict on the url of every page, by rules or by trust that spreads between hosts."""
+    return judge(table(spark, sf_dir, "pages"), URL_RULES).drop("url")
+
+
 def op3_decontamination(spark, sf_dir):
     """Documents with a passage that repeats a benchmark item, and where."""
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -48,6 +61,28 @@ def op5_exact_dedup(spark, sf_dir):
     )
 
 
+def _joined(spans):
+    return F.array_join(
+        F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))),
+        ",",
+    )
+
+
+def op6_secrets(spark, sf_dir):
+    """Secrets in every document: fixed patterns, and strings that look random."""
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.train(docs))
+    fixed = F.filter("spans", lambda x: x["kind"] != "random")
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"), number("assign"), number("access"), number("hex"),
+        F.sha2(_joined(fixed), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_quality(spark, sf_dir):
     """A quality score for every document, learned from four of five folds of the labels."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -64,11 +99,45 @@ def op8_near_dedup(spark, sf_dir):
     )
 
 
+def op9_language(spark, sf_dir):
+    """The language of every document, learned from two of three folds."""
+    docs = table(spark, sf_dir, "documents")
+    out = fold(F.col("doc_id"), 3) == 1
+    model = language.train(docs.where(~out))
+    kept = fold(F.col("id"), 3) == 1
+    return language.predict(docs, model).select(
+        F.col("id").alias("doc_id"), kept.alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op10_licenses(spark, sf_dir):
+    """Licence notices in every document: fixed phrases, and templates that a text covers."""
+    labels = F.transform("places", lambda x: x["label"])
+    by_cover = F.transform("spans", lambda x: x["label"])
+
+    def distinct(names):
+        return F.array_join(F.array_sort(F.array_distinct(names)), ",")
+
+    words = F.transform("places", lambda x: x["word"])
+    return find_licenses(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", F.size("places").cast("bigint").alias("n_base"),
+        F.array_min(words).alias("first_word"), F.array_max(words).alias("last_word"),
+        distinct(labels).alias("base_labels"), distinct(F.concat(labels, by_cover)).alias("labels"),
+        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(
+            F.coalesce(F.array_max(F.transform("spans", lambda x: x["cover"])), F.lit(0.0))
+        ).alias("score"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_urls": op2_urls,
     "op3_decontamination": op3_decontamination,
     "op4_repeats": op4_repeats,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_secrets": op6_secrets,
     "op7_quality": op7_quality,
     "op8_near_dedup": op8_near_dedup,
+    "op9_language": op9_language,
+    "op10_licenses": op10_licenses,
 }
