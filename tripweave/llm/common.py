@@ -29,6 +29,14 @@ def fold(key: Column, folds: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(folds)), F.lit(0))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or with underscores before it until no column of the table has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the session's ``spark.checkpoint.dir``; only a local session without one gets a new folder."""
     sc = spark.sparkContext

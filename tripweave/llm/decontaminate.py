@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, free_name
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -180,5 +180,6 @@ def leaks(
 
 def drop_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **columns) -> DataFrame:
     """The documents without those of which a passage repeats a benchmark item."""
-    leaked = leaks(docs, items, doc_id, **columns).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(leaked, F.col(doc_id).eqNullSafe(F.col("_leaked")), "left_anti")
+    gone = free_name(docs, "gone_id")
+    leaked = leaks(docs, items, doc_id, **columns).select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(leaked, F.col(doc_id).eqNullSafe(F.col(gone)), "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, free_name
 
 #: Digests that may be broadcast, and counters of the frequent-items sketch that proposes them.
 WINNERS = 256
@@ -68,10 +68,9 @@ def copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limits
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
     """The documents without the rows that ``copies`` does not keep; all columns stay as they are."""
+    gone, content = free_name(docs, "gone_id"), free_name(docs, "gone_digest")
     dropped = copies(docs, doc_id, text, **limits).where(~F.col("kept")).select(
-        F.col("id").alias("_dropped_id"), F.col("digest").alias("_dropped_digest")
-    )
-    same = (F.col(doc_id).eqNullSafe(F.col("_dropped_id"))) & (
-        digest_of(F.col(text)) == F.col("_dropped_digest")
+        F.col("id").alias(gone), F.col("digest").alias(content)
     )
+    same = F.col(doc_id).eqNullSafe(F.col(gone)) & (digest_of(F.col(text)) == F.col(content))
     return docs.join(dropped, same, "left_anti")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, cut_table, groups_of, mix, shingle_hashes, text_bytes
+from .common import cut, cut_table, free_name, groups_of, mix, shingle_hashes, text_bytes
 from .components import components
 
 #: Coordinates of a sketch, and of a band: two sets of similarity 0.8 share no band of 32 with a
@@ -278,7 +278,8 @@ def near_copies(
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **rule) -> DataFrame:
     """The documents without those that ``near_copies`` does not keep."""
+    gone = free_name(docs, "gone_id")
     dropped = near_copies(docs, doc_id, text, **rule).where(~F.col("kept")).select(
-        F.col("id").alias("_dropped")
+        F.col("id").alias(gone)
     ).distinct()
-    return docs.join(dropped.hint("merge"), F.col(doc_id) == F.col("_dropped"), "left_anti")
+    return docs.join(dropped.hint("merge"), F.col(doc_id) == F.col(gone), "left_anti")

@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 #: Labelled rows that the driver fits on, at most; picked by a hash of their ids.
 MOST_ROWS = 20_000
 TREES = 40
@@ -47,7 +49,7 @@ def statistics(text: Column) -> dict[str, Column]:
     }
 
 
-def with_statistics(docs: DataFrame, text: str, into: str = "_stats") -> DataFrame:
+def with_statistics(docs: DataFrame, text: str, into: str) -> DataFrame:
     """The statistics as one struct column, computed once per row whatever reads them."""
     columns = statistics(F.col(text))
     named = {f"{into}_{k}": v.cast("double") for k, v in columns.items()}
@@ -207,7 +209,7 @@ def train(
         F.broadcast(picked), "_id"
     )
     names = list(statistics(F.lit("")))
-    rows = with_statistics(held, "_text").select("_id", "_y", "_stats.*").toPandas()
+    rows = with_statistics(held, "_text", "_stats").select("_id", "_y", "_stats.*").toPandas()
     rows = rows.sort_values(["_id", "_y", *names], kind="stable")
     return fit_rules(rows[names].to_numpy(float), rows["_y"].to_numpy(float), names)
 
@@ -221,7 +223,8 @@ def score(
     names are replaced.
     """
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
-    scored = with_statistics(docs.select(*kept), text)
-    return scored.withColumn("score", model.score(F.col("_stats"))).withColumn(
+    stats = free_name(docs, "stats")
+    scored = with_statistics(docs.select(*kept), text, stats)
+    return scored.withColumn("score", model.score(F.col(stats))).withColumn(
         "predicted", F.when(F.col("score") >= threshold, 1).otherwise(0)
-    ).drop("_stats")
+    ).drop(stats)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, free_name
 
 DAMPING = 0.85
 ROUNDS = 16
@@ -46,10 +46,10 @@ def rule_for(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
-def _named(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def _named(df: DataFrame, rules: Sequence[Rule], found: str = "found") -> DataFrame:
     """host, path and rule beside the other columns, each computed once."""
     held = df.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
-    return held.withColumn("found", rule_for(F.col("host"), F.col("path"), rules))
+    return held.withColumn(found, rule_for(F.col("host"), F.col("path"), rules))
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
@@ -140,15 +140,17 @@ def judge(
     and are allowed.  Rows of equal or null ids are judged each for itself; columns of ``pages``
     named as the new ones are replaced, html is read but not returned.
     """
-    new = ["host", "path", "rule", "verdict", "trust", "distrust", "found"]
-    scores = host_scores(pages, rules, **options).withColumnRenamed("host", "_host")
+    new = ["host", "path", "rule", "verdict", "trust", "distrust"]
     kept = [c for c in pages.columns if c not in new and c != "html"]
-    named = _named(pages.select(*kept), rules)
-    joined = named.join(scores, F.col("host") == F.col("_host"), "left")
+    found, other = free_name(pages, "found"), free_name(pages, "scored_host")
+    scores = host_scores(pages, rules, **options).withColumnRenamed("host", other)
+    joined = _named(pages.select(*kept), rules, found).join(
+        scores, F.col("host") == F.col(other), "left"
+    )
     trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
     blocked = F.round(distrust - trust, 9) >= least_distrust
     return joined.select(
-        *kept, "host", "path", F.col("found.rule").alias("rule"),
-        F.coalesce("found.verdict", F.when(blocked, "block").otherwise("allow")).alias("verdict"),
+        *kept, "host", "path", F.col(f"{found}.rule").alias("rule"),
+        F.coalesce(f"{found}.verdict", F.when(blocked, "block").otherwise("allow")).alias("verdict"),
         trust.alias("trust"), distrust.alias("distrust"),
     )
