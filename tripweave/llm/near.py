@@ -118,9 +118,10 @@ def _differences(words: int, schema: pa.Schema):
                 known = {t: k for k, t in enumerate(dict.fromkeys(left[first:last]))}
                 hubs = shingle_hashes(list(known), words)
                 others = shingle_hashes(right[first:last], words)
-                diffs = []
+                diffs, hub_sizes = [], []
                 for i, y in enumerate(others, first):
                     x = hubs[known[left[i]]]
+                    hub_sizes.append(len(x))
                     added = np.setdiff1d(y, x, assume_unique=True)
                     lost = np.setdiff1d(x, y, assume_unique=True)
                     diffs.append(np.concatenate((added, lost)).view(np.int64))
@@ -128,9 +129,9 @@ def _differences(words: int, schema: pa.Schema):
                 sizes = np.cumsum([0] + [len(d) for d in diffs]).astype(np.int32)
                 values = pa.array(np.concatenate(diffs) if diffs else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(1), part.column(2),
-                    pa.array([len(y) for y in others], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(sizes), values).cast(schema.types[4]),
+                    part.column(0), part.column(1), part.column(2), part.column(5),
+                    pa.array([len(y) for y in others], pa.int64()), pa.array(hub_sizes, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(sizes), values).cast(schema.types[6]),
                 ], schema=schema)
 
     return run
@@ -161,12 +162,14 @@ def links_between(
 
     Sets are written as their difference from the hub's set, which is short for a near copy.  With
     H the size of the difference between two sets, their similarity is (n + m - H) / (n + m + H),
-    so similar sets have H of at most a bound that follows from the size of either.  The
-    differences of two such nodes must then share an element, and, in a fixed order of elements,
-    one among the first bound / 2 + 1 of the shorter and the first bound + 1 of the longer
-    difference (prefix filter; two nodes that need not share one are both similar to the hub).
-    Elements that the hub lacks come first: they are rare.  So the pairs that meet are few, and
-    those are counted exactly.
+    so similar sets have H of at most r (n + m), which is at most a bound that follows from either
+    size.  Differences of d and e elements must then share k = (d + e - H) / 2 of them, so, in a
+    fixed order of elements, the first d - k + 1 of the one and the first e - k + 1 of the other
+    share one (prefix filter).  Least k: for the shorter difference d - bound / 2, for the longer
+    e - bound; and for a node of the hub's component, as its partner is not similar to the hub and
+    has e > r (m + hub's size), more than (d + r (hub's size - n)) / 2.  So two nodes that need not
+    share an element are both similar to the hub, and in one component.  Elements that the hub
+    lacks come first: they are rare.  So the pairs that meet are few, and those are counted exactly.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -174,26 +177,34 @@ def links_between(
     each = tried.unionByName(tried.select("a", F.col("a").alias("b")).distinct()).join(
         whole.hint("merge"), "b", "left"
     ).select("a", "b", F.coalesce("c", "b").alias("c"))
-    mixed = each.groupBy("a").agg(F.min("c").alias("low"), F.max("c").alias("high")).where(
-        "low != high"
-    ).select("a")
+    mixed = each.groupBy("a").agg(
+        F.min("c").alias("low"), F.max("c").alias("high"),
+        F.max(F.when(F.col("a") == F.col("b"), F.col("c"))).alias("hub_c"),
+    ).where("low != high").select("a", "hub_c")
     open_ = each.join(mixed.hint("merge"), "a").where("a != b")
     kind = tried.schema["a"].dataType.simpleString()
     schema = tried.sparkSession.createDataFrame(
-        [], f"a {kind}, b {kind}, c {kind}, n bigint, diff array<bigint>"
+        [], f"a {kind}, b {kind}, c {kind}, with_hub boolean, n bigint, hub_n bigint, "
+            f"diff array<bigint>"
     ).schema
     rows = cut(
-        _with_texts(open_, texts).select("a", "b", "c", "left", "right")
+        _with_texts(open_, texts)
+        .select("a", "b", "c", "left", "right", (F.col("c") == F.col("hub_c")).alias("with_hub"))
         .mapInArrow(_differences(words, to_arrow_schema(schema)), schema)
     )
-    bound = F.floor(F.col("n") * (100 - percent) / percent).cast("int")
+    size, bound = F.size("diff"), F.floor(F.col("n") * (100 - percent) / percent).cast("int")
+    shared = F.floor(
+        (size * (100 + percent) + (F.col("hub_n") - F.col("n")) * (100 - percent))
+        / (2 * (100 + percent))
+    ).cast("int") + 1
+    most = F.when(F.col("with_hub"), F.greatest(size - F.greatest(shared, F.lit(1)) + 1, F.lit(0)))
     narrow = ["a", "b", "c", "n", F.size("diff").alias("d")]
 
     def first(length):
         return rows.select(*narrow, F.explode(F.slice("diff", 1, length)).alias("element"))
 
-    short = first(F.floor(bound / 2).cast("int") + 1).alias("s")
-    long = first(bound + 1).alias("l")
+    short = first(F.least(most, F.floor(bound / 2).cast("int") + 1)).alias("s")
+    long = first(F.least(most, bound + 1)).alias("l")
     s, l_ = (lambda c: F.col(f"s.{c}")), (lambda c: F.col(f"l.{c}"))
     meet = short.join(
         long.hint("merge"),
