@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tripweave import driver_tables as d
 from tripweave.operators import (
     are_small, broadcast_if_small, cell_counts, clean_trips, dropped_trips, latest_zip, locate,
-    nearest_zip, prepare_lookup, range_join, spread_if_few, zone_means,
+    nearest_zip, prepare_lookup, range_join, taxi_cells, zone_means,
 )
 from tripweave.operators import nearest
 from tripweave.operators.nearest import ensure_checkpoint_dir
@@ -121,9 +121,48 @@ def test_sizes(spark):
     assert "broadcast" in plan(broadcast_if_small(df).join(df, "x")).lower()
 
 
-def test_spread(spark):
-    assert spread_if_few(spark.range(100).coalesce(1)).rdd.getNumPartitions() == 4
-    assert spread_if_few(spark.range(100).repartition(9)).rdd.getNumPartitions() == 9
+def test_a_hot_order_is_split_also_with_fewer_splits_than_cores(spark, tmp_path):
+    for name in ("orders", "customer"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    items = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    hot = items.agg(F.min("l_orderkey")).first()[0]
+    key = F.when(F.col("l_partkey") % 5 < 2, F.lit(hot)).otherwise(F.col("l_orderkey"))
+    items.withColumn("l_orderkey", key).repartition(3).write.parquet(str(tmp_path / "lineitem.parquet"))
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    for conf, value in small.items():
+        spark.conf.set(conf, value)
+    try:
+        df = d.trips(spark, str(tmp_path))
+        assert len(df.collect()) == items.count()
+        final = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in final and "REPARTITION_BY_NUM" not in final
+    finally:
+        for conf in small:
+            spark.conf.unset(conf)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.mark.parametrize("limit", [1_000, 0])
+def test_an_id_that_repeats_does_not_repeat_trips(spark, make_trips, limit):
+    lookup = spark.createDataFrame([("7", "10001"), ("7", "10002"), ("7", None)], "id string, zip string")
+    found = locate(make_trips(taxi("1", start_id="7", end_id="7")), prepare_lookup(lookup, max_rows=limit))
+    assert rows(found, "start_zip", "end_zip") == [("10002", "10002")]
+
+
+def test_taxi_cells_count_each_mode_for_itself(spark, make_trips):
+    trips = make_trips(
+        taxi("1", payment_type="1"), taxi("3", payment_type="2"), taxi("2", payment_type="1", mode="green"),
+        {"mode": "bike", "pickup": "2018-08-01 05:00:00"},
+    )
+    cells = taxi_cells(locate(clean_trips(trips), prepare_lookup(lookup_rows(spark))))
+    assert rows(cells, "mode", "hour", "trips", "part", "mean") == [
+        ("green", "05", 1, 1, 2.0), ("yellow", "05", 2, 1, 2.0),
+    ]
 
 
 def test_latest_zip_and_cell_counts(spark, make_trips):
@@ -160,7 +199,7 @@ def test_zone_means_use_the_first_vertex_of_each_zone(spark):
 def brute_nearest(points, known, scale):
     out = []
     for name, lat, lon in points:
-        if lat is None or lon is None or not known:
+        if lat is None or lon is None or not known or not (abs(lat) <= 90 and abs(lon) <= 180):
             out.append((name, None))
             continue
         best = min(
@@ -186,18 +225,31 @@ def test_nearest_equals_brute_force(spark, array_points):
     grid = [(40.0 + i / 8, -74.0 + j / 8) for i in range(6) for j in range(6)]
     known = [(*p, f"{10000 + i:05d}") for i, p in enumerate(spot + wide + grid)]
     known += [(40.7, -74.0, "10999"), (40.7, -74.0, "10998"), (41.0, -74.0, "")]
-    nowhere = [(float("nan"), -74.0, "10001"), (None, -74.0, "10001")]
+    inf = float("inf")
+    nowhere = [(float("nan"), -74.0, "10001"), (None, -74.0, "10001"), (40.0, inf, "10001"),
+               (-inf, -74.0, "10001"), (90.5, -74.0, "10001"), (40.0, 1e10, "10001")]
     places = (
         spot[::3] + [(a + 1e-6, b - 1e-6) for a, b in spot[::4]]
         + [(40.0 + rng.random() * 1.5, -75.0 + rng.random() * 1.5) for _ in range(60)]
         + [(40.0 + i / 16, -74.0 + i / 16) for i in range(10)] + [(40.7, -74.0)] * 30 + [(60.0, 10.0)]
     )
     points = [(f"p{i}", *p) for i, p in enumerate(places)] + [("none", None, -74.0)]
+    points += [("far", inf, -74.0), ("off", 40.0, 181.0), ("edge", -90.0, 180.0)]
     p, k = point_frames(spark, points, known + nowhere)
     found = nearest_zip(p, k, lon_scale=0.75, max_array_points=array_points)
     assert rows(found, "id", "zip") == brute_nearest(points, [x for x in known if x[2]], 0.75)
 
 
+@pytest.mark.parametrize("sites", [1_999, 2_000, 2_001])
+def test_nearest_does_not_depend_on_the_number_of_sites(spark, sites):
+    rng = random.Random(sites)
+    known = [(40 + rng.random(), -74 + rng.random(), f"{10000 + i}") for i in range(sites - 1)]
+    known += [(40.5, float("inf"), "99999")]
+    points = [(str(i), 40 + rng.random(), -74 + rng.random()) for i in range(100)]
+    p, k = point_frames(spark, points, known)
+    assert rows(nearest_zip(p, k, 0.75), "id", "zip") == brute_nearest(points, known[:-1], 0.75)
+
+
 @pytest.mark.parametrize("array_points", [2_000, 0])
 def test_nearest_with_one_or_no_known_point(spark, array_points):
     points = [("a", 1.0, 2.0), ("b", 1.0, 2.0)]

@@ -1,3 +1,5 @@
+import sys
+
 import pytest
 from conftest import SF_DIR, rows
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from tripweave import (
 from tripweave import driver_tables as d
 from tripweave.operators import cell_counts, prepare_lookup
 from tripweave.plans.profiles import located_trips
+from tripweave.registry import QUERIES
 from tripweave.schemas import BIKE, CELL_KEYS, GREEN, MODES, YELLOW
 
 COLUMNS = [
@@ -140,7 +143,8 @@ def test_one_aggregate_equals_separate_aggregates_joined(spark):
         profile = mode_profile(located, mode)
         if mode == GREEN:
             profile = profile.drop("green_dispatch_percent")
-        found = profile.select(F.concat_ws(" ", "date", "hour"), *profile.columns[2:])
+        hour = F.when(F.col("hour") != "-1", F.col("hour"))
+        found = profile.select(F.concat_ws(" ", "date", hour), *profile.columns[2:])
         assert rows(found) == rows(expected)
     located.unpersist()
 
@@ -167,7 +171,7 @@ def test_profile_plan_shuffles_trips_once(spark):
 def test_merged_modes_need_no_further_shuffle(three, lookup, spark):
     """One exchange per mode; none for putting the modes side by side."""
     text = plan(multimodal_profile(*three, lookup, lookup))
-    assert text.count("Exchange hashpartitioning(") == 3
+    assert text.count("Exchange hashpartitioning(time_cell") == 3
     assert "Join" not in text.replace("BroadcastHashJoin", "")
 
 
@@ -225,6 +229,48 @@ def test_golden_counts(make_trips, lookup, spark):
     ]
 
 
+def test_keys_need_five_digit_zips(spark, make_trips):
+    short = prepare_lookup(spark.createDataFrame([("1", "1000")], "id string, zip string"))
+    sample = make_trips(bike("1", "1"))
+    profile = bike_profile(sample, short, keep_zero_share=True)
+    golden = golden_counts(sample, short)
+    with pytest.raises(Exception, match="five characters"):
+        audit_counts(profile, golden).collect()
+    with pytest.raises(Exception, match="cannot slice"):
+        audit_counts(profile.limit(0), golden, hour="05").collect()
+
+
+@pytest.mark.parametrize("broken", ["time", "lookup"])
+def test_the_recount_sees_faults_of_the_profile(make_trips, lookup, monkeypatch, broken):
+    sample = make_trips(bike("1", "2"), bike("2", "1"), bike("1", "1", pickup="8/1/2018 5:00"))
+    golden = golden_counts(sample, lookup)
+    if broken == "time":
+        clean = sys.modules["tripweave.operators.clean"]
+        right = clean.with_time_cell
+        monkeypatch.setattr(clean, "with_time_cell", lambda trips, pad_hour=False: right(
+            trips.withColumn("pickup", F.replace("pickup", F.lit("05:"), F.lit("06:"))), pad_hour))
+    else:
+        locate = sys.modules["tripweave.operators.locate"]
+        right_zip = locate.add_zip
+        monkeypatch.setattr(locate, "add_zip", lambda trips, lookup, end: right_zip(
+            trips.withColumn(f"{end}_id", F.lit("2")), lookup, end))
+    profile = bike_profile(sample, lookup, keep_zero_share=True)
+    assert not audit_counts(profile, golden, only_differences=True).isEmpty()
+
+
+def test_two_modes_take_one_scan_and_an_audited_hour_one_month(spark):
+    def pushed(name):
+        df = QUERIES[name](spark, SF_DIR)
+        explain = df._sc._jvm.PythonSQLUtils.explainString
+        lines = explain(df._jdf.queryExecution(), "formatted").split("\n")
+        return [x for x in lines if "PushedFilters" in x and "l_returnflag" in x]
+
+    for name in ("card_share", "mean_trip_distance"):
+        assert len(pushed(name)) == 1
+    scans = pushed("audit_hour")
+    assert scans and all("GreaterThanOrEqual(l_shipdate,1997-03-01" in x for x in scans)
+
+
 def test_audit(spark, make_trips, lookup):
     sample = make_trips(
         *[bike("1", "2", "Customer")] * 2, bike("2", "1"), bike("8", "9"),

@@ -5,6 +5,8 @@ from conftest import SF_DIR
 
 import __spark_entry__ as driver
 from check import check, compare, duck
+from tripweave.oracle import ORACLE
+from tripweave.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,18 +15,31 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLE) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert check(spark, con, SF_DIR, name) is None
 
 
+def test_the_test_tables_show_every_case(spark):
+    """Each reason to drop a trip, and the unknown hour, occur."""
+    dropped = QUERIES["dropped_trips"](spark, SF_DIR).collect()
+    for reason in ("no_time", "no_distance", "zero_distance", "bad_distance"):
+        assert sum(r[reason] for r in dropped) > 0
+    assert QUERIES["taxi_time_cells"](spark, SF_DIR).where("hour = '-1'").count() > 0
+    zeros = {r.key: r["count"] for r in QUERIES["golden_counts"](spark, SF_DIR).collect()}
+    plain = {r.key: r["count"] for r in QUERIES["golden_counts"].func(spark, SF_DIR).collect()}
+    assert any(zeros[k] > plain.get(k, 0) and k.startswith("00000") for k in zeros)
+
+
 def test_compare_sees_differences():
     assert compare([(1, "a")], [(1, "a")]) is None
     assert compare([(1, "a")], [(1, "b")])

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tripweave import sinks, sources
 from tripweave.operators import latest_zip, zone_ranges
-from tripweave.schemas import BIKE_COLUMNS, GREEN, TRIP_COLUMNS, YELLOW_POINT_COLUMNS, YELLOW_ZONE_COLUMNS
+from tripweave.schemas import (
+    BIKE_COLUMNS, GREEN, GREEN_POINT_COLUMNS, TRIP_COLUMNS, YELLOW_POINT_COLUMNS, YELLOW_ZONE_COLUMNS,
+)
 
 
 def bike_line(duration="60", time="2018-08-01 00:00:07", start="72", end="79", user="Subscriber", year="1980"):
@@ -88,6 +90,60 @@ def test_taxi_layouts(spark, tmp_path):
     assert {t for _, t in by_header.dtypes} == {"string"}
 
 
+GREEN_LEAST = ["lpep_pickup_datetime", "PULocationID", "DOLocationID", "trip_distance", "payment_type", "trip_type"]
+
+
+def test_taxi_names_in_any_letter_case(spark, tmp_path):
+    names = ["LPEP_pickup_datetime", " PULocationID", "DOLocationID ", "Trip_distance", "Payment_type", "Trip_type "]
+    (tmp_path / "a.csv").write_text(",".join(names) + "\n2018-08-01 05:00:00, 7 ,8,1.5,1,2\n")
+    (tmp_path / "b.csv").write_text(",".join(n.upper() for n in names) + "\n2018-08-01 05:00:00,7,8,2.5,1,2\n")
+    trips = sources.read_taxi_trips(spark, str(tmp_path), GREEN)
+    assert rows(trips, "start_id", "end_id", "distance", "payment_type", "trip_type") == [
+        ("7", "8", "1.5", "1", "2"), ("7", "8", "2.5", "1", "2"),
+    ]
+
+
+@pytest.mark.parametrize("lost", ["lpep_pickup_datetime", "trip_distance", "payment_type", "trip_type"])
+def test_a_missing_column_stops_the_read(spark, tmp_path, lost):
+    columns = [c for c in GREEN_LEAST if c != lost]
+    path = taxi_file(tmp_path / "a.csv", columns, {})
+    with pytest.raises(ValueError, match=lost):
+        sources.read_taxi_trips(spark, path, GREEN)
+
+
+@pytest.mark.parametrize("layout", ["header", "yellow_zones", "yellow_points"])
+def test_a_folder_of_two_layouts_stops_the_read(spark, tmp_path, layout):
+    for name, columns in (("a.csv", YELLOW_ZONE_COLUMNS), ("b.csv", YELLOW_POINT_COLUMNS)):
+        taxi_file(tmp_path / name, columns, *[{"trip_distance": "1.5"}] * 10)
+    with pytest.raises(Exception, match="(?i)header"):
+        sources.read_taxi_trips(spark, str(tmp_path), layout=layout).collect()
+
+
+def test_swapped_columns_stop_the_read(spark, tmp_path):
+    swapped = list(YELLOW_ZONE_COLUMNS)
+    i, j = swapped.index("trip_distance"), swapped.index("passenger_count")
+    swapped[i], swapped[j] = swapped[j], swapped[i]
+    path = taxi_file(tmp_path / "a.csv", swapped, {"trip_distance": "1.5"})
+    with pytest.raises(Exception, match="(?i)header"):
+        sources.read_taxi_trips(spark, path, layout="yellow_zones").collect()
+
+
+def test_older_green_layout(spark, tmp_path):
+    path = taxi_file(tmp_path / "a.csv", GREEN_POINT_COLUMNS, {
+        "lpep_pickup_datetime": "2015-01-01 05:00:00", "Trip_distance": "1.5", "Payment_type": "1", "Trip_type": "2",
+    })
+    trips = sources.read_taxi_trips(spark, path, GREEN, layout="green_points")
+    assert rows(trips, "start_id", "distance", "payment_type", "trip_type") == [(None, "1.5", "1", "2")]
+
+
+def test_malformed_rows_are_counted(spark, bike_files, tmp_path):
+    assert rows(sources.malformed_rows(spark, bike_files, "bike")) == [("bike", 8, 2, 3)]
+    path = tmp_path / "green.csv"
+    path.write_text(",".join(GREEN_LEAST) + "\n\n2018-08-01 05:00:00,1,2,0.5,1,2\n2018-08-01 05:00:00,1\n")
+    assert rows(sources.malformed_rows(spark, str(path), GREEN)) == [("green", 2, 1, 0)]
+    assert sources.read_bike_csv(spark, bike_files).count() == 8 - 2 - 3
+
+
 def test_malformed_taxi_rows(spark, tmp_path):
     columns = ["lpep_pickup_datetime", "PULocationID", "DOLocationID", "trip_distance", "payment_type", "trip_type"]
     path = tmp_path / "green.csv"
@@ -165,6 +221,20 @@ def test_table_round_trip_prunes_dates_and_keeps_them_text(spark, tmp_path):
     )
 
 
+def test_written_files_are_sorted_by_start_and_hour(spark, tmp_path):
+    df = spark.range(0, 2_000, 1, 4).select(
+        F.concat(F.lit("2018-08-0"), F.col("id") % 3 + 1).alias("date"),
+        (F.col("id") * 7 % 24).cast("string").alias("hour"),
+        (F.lit(10_000) + F.col("id") * 37 % 101).cast("string").alias("start_zip"),
+    )
+    sinks.write_table(df, str(tmp_path / "t"))
+    files = list((tmp_path / "t").glob("date=*/*.parquet"))
+    assert len(files) >= 3
+    for file in files:
+        found = [(r.start_zip, r.hour) for r in spark.read.parquet(str(file)).collect()]
+        assert found == sorted(found)
+
+
 def test_mode_tables_and_audit_log(spark, tmp_path):
     df = spark.createDataFrame([("2018-08-01", "00")], "date string, hour string")
     sinks.write_mode_tables({"bike": df, "green": df}, str(tmp_path / "m"))

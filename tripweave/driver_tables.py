@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.locate import prepare_lookups
-from .operators.sizing import spread_if_few
-from .schemas import BIKE, GREEN, TRIP_COLUMNS, YELLOW
+from .schemas import BIKE, BIKE_COLUMNS, GREEN, TAXI_LAYOUTS, TRIP_COLUMNS, YELLOW
 
 # A power-of-two grid keeps sums, means and squared distances of coordinates exact in binary, so
 # results do not depend on the order of rows.
@@ -37,17 +36,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Orders whose trips show a case that cleaning and lookups have rules for.
+def _odd(every: int) -> Column:
+    return F.col("l_orderkey") % every == 0
+
+
 def trips(
-    spark: SparkSession, sf_dir: str, *modes: str, months: tuple[str, str] | None = None
+    spark: SparkSession, sf_dir: str, *modes: str, months: tuple[str, str] | None = None,
+    bad_distances: bool = False,
 ) -> DataFrame:
     """Trips of the given modes and pickup months (all by default) as one trip table.
 
+    Some have no pickup time, none with an hour, no distance or an unknown (NULL) end, and with
+    ``bad_distances`` some distances are no numbers.
+
     Modes and months (``yyyy-MM``, first and last) are picked on stored columns, so the parquet
     reader can skip the others.
     Orders meet customers first (the smaller join), then line items once for all modes.  Line
     items and orders both grow with the data, so that join is a merge join at every scale:
     Spark's size guess for a joined side is far too high, and without the hint it would rather
-    broadcast the line items of a small test.  AQE splits an order that holds too many.
+    broadcast the line items of a small test.  Both sides are shuffled for this join alone, so AQE
+    splits an order that holds too many.
     """
     lineitem = table(spark, sf_dir, "lineitem")
     if modes:
@@ -65,25 +74,31 @@ def trips(
     placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "o_orderstatus", "o_orderpriority", "c_nationkey"
     )
-    lineitem = spread_if_few(lineitem, "l_orderkey")
     joined = lineitem.join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
 
     flag, line = F.col("l_returnflag"), F.col("l_linenumber")
     year, month = F.year("l_shipdate").cast("string"), F.month("l_shipdate").cast("string")
-    slashed = F.concat(month, F.lit("/1/"), year, F.lit(" "), line.cast("string"), F.lit(":05"))
+    us_hour = F.concat(F.lit(" "), line.cast("string"), F.lit(":05"))
+    hour = F.concat(F.lit(" "), F.lpad(line.cast("string"), 2, "0"), F.lit(":05:09"))
+    none = F.lit("")
+    slashed = F.concat(month, F.lit("/1/"), year, F.when(_odd(89), none).otherwise(us_hour))
     iso = F.concat(
-        year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-01 "),
-        F.lpad(line.cast("string"), 2, "0"), F.lit(":05:09"),
+        year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-01"), F.when(_odd(89), none).otherwise(hour)
     )
-    whole = F.col("l_quantity").cast("int").cast("string")
+    distance = F.when(F.col("l_tax") == 0, ".00").otherwise(
+        F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(".5"))
+    )
+    if bad_distances:
+        distance = F.when(_odd(71), "n/a").otherwise(distance)
     return joined.select(
         F.when(flag == FLAGS[BIKE], BIKE).when(flag == FLAGS[YELLOW], YELLOW).otherwise(GREEN)
         .alias("mode"),
-        F.when((flag == FLAGS[BIKE]) & (line % 2 == 0), slashed).otherwise(iso).alias("pickup"),
-        F.col("l_suppkey").cast("string").alias("start_id"),
-        F.col("c_nationkey").cast("string").alias("end_id"),
+        F.when(~_odd(97), F.when((flag == FLAGS[BIKE]) & (line % 2 == 0), slashed).otherwise(iso))
+        .alias("pickup"),
+        F.when(~_odd(83), F.col("l_suppkey").cast("string")).alias("start_id"),
+        F.when(~_odd(79), F.col("c_nationkey").cast("string")).alias("end_id"),
         (F.col("l_quantity") * 60 + line).alias("duration"),
-        F.when(F.col("l_tax") == 0, ".00").otherwise(F.concat(whole, F.lit(".5"))).alias("distance"),
+        F.when(~_odd(73), distance).alias("distance"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Subscriber")
         .otherwise("Customer").alias("usertype"),
         F.when(F.col("o_orderstatus") == "F", "1").otherwise("2").alias("payment_type"),
@@ -95,14 +110,18 @@ def _nation_zip() -> Column:
     return F.lpad((F.lit(10000) + F.col("n_regionkey")).cast("string"), 5, "0")
 
 
-def start_lookup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier lookup in two revisions per id; the later one holds the zip that counts."""
+def start_lookup_rows(spark: SparkSession, sf_dir: str, zeros: bool = False) -> DataFrame:
+    """Supplier lookup in two revisions per id; the later one holds the zip that counts.
+
+    With ``zeros`` some zips are ``0``, another way to write the unknown zip.
+    """
     supplier = table(spark, sf_dir, "supplier").join(
         F.broadcast(table(spark, sf_dir, "nation")),  # 25 rows at every scale
         F.col("s_nationkey") == F.col("n_nationkey"),
     )
     key = F.col("s_suppkey")
     newest = F.when(key % 19 == 0, "").otherwise(_nation_zip())
+    newest = F.when(key % 5 == 0, "0").otherwise(newest) if zeros else newest
     return (
         supplier.where(key % 17 != 0)
         .select(
@@ -124,9 +143,47 @@ def end_lookup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lookups(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def lookups(spark: SparkSession, sf_dir: str, zeros: bool = False, **limits: int) -> list[DataFrame]:
     """Start and end lookup, ready for ``operators.locate``."""
-    return prepare_lookups(start_lookup_rows(spark, sf_dir), end_lookup_rows(spark, sf_dir))
+    return prepare_lookups(
+        start_lookup_rows(spark, sf_dir, zeros), end_lookup_rows(spark, sf_dir), **limits
+    )
+
+
+def raw_trips(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Trips as raw columns of text, one table per file layout, not all of them well-formed.
+
+    Bikes have birth years that are no numbers and blank ones; the taxi layouts with points have no
+    location ids, and their names other letter case.
+    """
+    every = trips(spark, sf_dir)
+    second = F.col("duration").cast("int") % 60
+
+    def raw(mode: str, columns: list[str], at: Column, **given: Column | str) -> DataFrame:
+        values = {k.lower(): v for k, v in given.items()}
+        return every.where((F.col("mode") == mode) & at).select(*[
+            (F.col(v) if isinstance(v, str) else v).cast("string").alias(c)
+            for c in columns
+            for v in [values.get(c.replace(" ", "_").lower(), F.lit("0"))]
+        ])
+
+    taxi = {"trip_distance": "distance", "payment_type": "payment_type", "trip_type": "trip_type",
+            "PULocationID": F.concat(F.lit(" "), "start_id"), "DOLocationID": "end_id"}
+    year = F.when(second == 1, "\\N").when(second != 2, "1980")
+    yes = F.lit(True)
+    return {
+        "bike": raw(BIKE, BIKE_COLUMNS, yes, tripduration="duration", starttime="pickup",
+                    start_station_id="start_id", end_station_id="end_id", usertype="usertype",
+                    birth_year=year),
+        "yellow_zones": raw(YELLOW, TAXI_LAYOUTS["yellow_zones"], second % 2 == 0,
+                            tpep_pickup_datetime="pickup", **taxi),
+        "yellow_points": raw(YELLOW, TAXI_LAYOUTS["yellow_points"], second % 2 == 1,
+                             tpep_pickup_datetime="pickup", **taxi),
+        "green_zones": raw(GREEN, TAXI_LAYOUTS["green_zones"], second % 2 == 0,
+                           lpep_pickup_datetime="pickup", **taxi),
+        "green_points": raw(GREEN, TAXI_LAYOUTS["green_points"], second % 2 == 1,
+                            lpep_pickup_datetime="pickup", **taxi),
+    }
 
 
 def _grid(key: Column, a: int, b: int) -> list[Column]:

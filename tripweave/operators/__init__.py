@@ -1,16 +1,16 @@
 """DataFrame -> DataFrame building blocks."""
 
-from .cells import MODE_COLUMNS, cell_counts, mode_cells
+from .cells import MODE_COLUMNS, cell_counts, mode_cells, taxi_cells
 from .clean import clean_trips, dropped_trips
 from .locate import latest_zip, locate, prepare_lookup, prepare_lookups
 from .nearest import nearest_zip
 from .ranges import range_join, zone_means, zone_ranges
-from .sizing import are_small, broadcast_if_small, spread_if_few
+from .sizing import are_small, broadcast_if_small
 
 __all__ = [
     "clean_trips", "dropped_trips",
-    "are_small", "broadcast_if_small", "spread_if_few",
+    "are_small", "broadcast_if_small",
     "latest_zip", "prepare_lookup", "prepare_lookups", "locate",
-    "cell_counts", "mode_cells", "MODE_COLUMNS",
+    "cell_counts", "mode_cells", "taxi_cells", "MODE_COLUMNS",
     "zone_ranges", "range_join", "zone_means", "nearest_zip",
 ]

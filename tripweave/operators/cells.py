@@ -61,10 +61,12 @@ def _measures(mode: str, literal_dispatch: bool = False) -> dict[str, Column]:
 
 def _split_cell(cells: DataFrame) -> DataFrame:
     """Replace ``time_cell`` by ``date`` and ``hour``."""
-    rest = [c for c in cells.columns if c not in GROUP]
+    rest = [c for c in cells.columns if c not in GROUP and c != "mode"]
+    lead = ["mode"] if "mode" in cells.columns else []
     cell = F.col("time_cell")
     return cells.select(
-        cell_date(cell).alias("date"), cell_hour(cell).alias("hour"), "start_zip", "end_zip", *rest
+        *lead, cell_date(cell).alias("date"), cell_hour(cell).alias("hour"), "start_zip", "end_zip",
+        *rest,
     )
 
 
@@ -95,6 +97,16 @@ def mode_cells(
     return _split_cell(cells) if split_cell else cells
 
 
+def taxi_cells(located: DataFrame, keep_zero_share: bool = False) -> DataFrame:
+    """``mode`` and cell of all taxi trips with their ``trips, part, mean``, from one aggregate."""
+    cells = located.where(F.col("mode") != BIKE).groupBy("mode", *GROUP).agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.count_if(_part(YELLOW)).alias("part"),
+        F.avg("distance").alias("mean"),
+    )
+    return _split_cell(cells if keep_zero_share else cells.where(F.col("part") > 0))
+
+
 def profile_columns(mode: str, prefix: str = "") -> dict[str, Column]:
     """Profile columns of one mode, from its measures (named with ``prefix``)."""
     trips, part, mean, dispatched = (

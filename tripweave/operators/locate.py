@@ -12,21 +12,22 @@ _SIZE = "_id_length"
 
 
 def latest_zip(rows: DataFrame, order: str = "line") -> DataFrame:
-    """One row per id: the zip of the row with the greatest ``order``."""
-    return rows.groupBy("id").agg(F.max_by("zip", order).alias("zip"))
+    """One row per id: the zip of the row with the greatest ``order``, or, in a lookup without
+    that column, the greatest zip.  An id that repeats never makes two trips of one."""
+    zipcode = F.max_by("zip", order) if order in rows.columns else F.max("zip")
+    return rows.groupBy("id").agg(zipcode.alias("zip"))
 
 
 def prepare_lookups(*lookups: DataFrame, order: str = "line", **limits: int) -> list[DataFrame]:
-    """Lookup rows (``id, zip`` and, where ids repeat, ``order``) ready for :func:`locate`.
+    """Lookup rows (``id, zip`` and, where known, ``order``) ready for :func:`locate`.
 
-    Each keeps the latest zip per id, without blanks (no zip is the unknown zip either way), and
+    Each keeps one zip per id (``latest_zip``), without blanks (no zip is the unknown zip either way), and
     is marked for broadcast if its rows are measured to be few.  Others get a second join key.
     """
     small = are_small(*lookups, **limits)
     ready = []
     for rows, fits in zip(lookups, small, strict=True):
-        latest = latest_zip(rows, order) if order in rows.columns else rows.select("id", "zip")
-        known = latest.where(F.col("id").isNotNull() & (F.col("zip") != ""))
+        known = latest_zip(rows, order).where(F.col("id").isNotNull() & (F.col("zip") != ""))
         ready.append(F.broadcast(known) if fits else known.withColumn(_SIZE, F.length("id")))
     return ready
 

@@ -3,6 +3,9 @@
 Distances are straight lines in the plane ``(lon * lon_scale, lat)``; of equally near points the
 least zip counts.  Two exact ways, picked by the measured number of known points:
 
+Coordinates count if they are finite, latitudes within 90 and longitudes within 180 degrees;
+points elsewhere have no nearest one, and known points elsewhere are not looked at.
+
 * few (the stations or zones of a city): they travel to the tasks as arrays, and each batch of
   rows takes its minima there, with no join and no shuffle;
 * many: a quadtree descent.  Each step keeps, per place, the cells that may still hold something
@@ -37,11 +40,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if context.getCheckpointDir() is not None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None and not context.master.startswith("local"):
+    one_machine = context.master.split("[")[0] == "local"
+    if named is None and not one_machine:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tripweave-"))
 
 
+def on_earth() -> Column:
+    """Whether ``lat`` and ``lon`` are coordinates; NULL, NaN and infinite ones are not."""
+    inside = (F.abs("lat") <= 90.0) & (F.abs("lon") <= 180.0)
+    return F.coalesce(inside, F.lit(False))
+
+
 def _square(a: Column) -> Column:
     return a * a
 
@@ -56,12 +66,14 @@ def nearest_zip(
 ) -> DataFrame:
     """Add ``zip`` to ``points`` (``lat, lon, ...``) from ``known`` (``lat, lon, zip``).
 
-    Points without coordinates, or with nothing known at all, get a NULL zip.
+    Points without valid coordinates, or with nothing known at all, get a NULL zip.  Beyond
+    ``max_array_points`` known points the search runs while the result is being built, even for an
+    ``explain``, as each step depends on the last; its checkpoints are files in the session's
+    checkpoint folder, which Spark deletes only with
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``.
     """
-    sites = (
-        known.where(F.col("zip") != "")
-        .select((F.col("lon") * lon_scale).alias("x"), F.col("lat").alias("y"), "zip")
-        .dropna()  # NaN too
+    sites = known.where(on_earth() & (F.col("zip") != "")).select(
+        (F.col("lon") * lon_scale).alias("x"), F.col("lat").alias("y"), "zip"
     )
     few = sites.limit(max_array_points + 1).collect()
     if len(few) <= max_array_points:
@@ -78,7 +90,7 @@ def _from_arrays(points: DataFrame, few: list[Row], lon_scale: float) -> DataFra
     @F.pandas_udf("string")
     def nearest(px: pd.Series, py: pd.Series) -> pd.Series:
         out = np.full(len(px), None, dtype=object)
-        at = np.flatnonzero(px.notna() & py.notna()) if len(zips) else []
+        at = np.flatnonzero(px.notna()) if len(zips) else []
         px, py = px.to_numpy(), py.to_numpy()
         for i in range(0, len(at), _CHUNK):
             rows = at[i : i + _CHUNK]
@@ -86,19 +98,25 @@ def _from_arrays(points: DataFrame, few: list[Row], lon_scale: float) -> DataFra
             out[rows] = zips[np.argmin(dx * dx + dy * dy, axis=1)]
         return pd.Series(out)
 
-    return points.withColumn("zip", nearest(F.col("lon") * lon_scale, F.col("lat")))
+    return points.withColumn(
+        "zip", nearest(F.when(on_earth(), F.col("lon") * lon_scale), F.col("lat"))
+    )
 
 
 def _by_descent(points: DataFrame, sites: DataFrame, lon_scale: float) -> DataFrame:
     spark = points.sparkSession
     ensure_checkpoint_dir(spark)
 
-    placed = points.withColumns({"px": F.col("lon") * lon_scale, "py": F.col("lat")})
+    # Cut off once: a point computed again could differ in its last bit (a mean of doubles depends
+    # on their order) and would not find itself in the results.
+    placed = points.withColumns(
+        {"px": F.when(on_earth(), F.col("lon") * lon_scale), "py": F.when(on_earth(), F.col("lat"))}
+    ).checkpoint()
     places = placed.select("px", "py").dropna().distinct()
-    box = (
-        sites.select("x", "y").union(places)
-        .agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
-    )
+    sites = sites.checkpoint()
+    box = sites.agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
+    if box[0] is None:
+        return placed.withColumn("zip", F.lit(None).cast("string")).drop("px", "py")
     x0, y0 = box[0], box[1]
     side = max(box[2] - x0, box[3] - y0, 1e-9) * (1 + 1e-9)
 

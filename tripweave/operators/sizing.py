@@ -1,4 +1,4 @@
-"""Measure before broadcasting, and use all cores on inputs of few splits."""
+"""Measure before broadcasting."""
 
 from __future__ import annotations
 
@@ -43,10 +43,3 @@ def broadcast_if_small(df: DataFrame, **limits: int) -> DataFrame:
     makes too large.
     """
     return F.broadcast(df) if are_small(df, **limits)[0] else df
-
-
-def spread_if_few(df: DataFrame, *keys: str) -> DataFrame:
-    """Give an input of fewer splits than cores (one small file, one unsplittable archive) a
-    partition per core.  Inputs with enough splits are left alone, without any shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+# Some trips have no pickup time, none with an hour, no ids or no distance.
 TRIPS = """
 trips AS (
   SELECT CASE l_returnflag WHEN 'A' THEN 'bike' WHEN 'N' THEN 'yellow' ELSE 'green' END AS mode,
-         CASE WHEN l_returnflag = 'A' AND l_linenumber % 2 = 0
-              THEN concat(month(l_shipdate), '/1/', year(l_shipdate), ' ', l_linenumber, ':05')
+         CASE WHEN l_orderkey % 97 = 0 THEN NULL
+              WHEN l_returnflag = 'A' AND l_linenumber % 2 = 0
+              THEN concat(month(l_shipdate), '/1/', year(l_shipdate),
+                          CASE WHEN l_orderkey % 89 = 0 THEN '' ELSE concat(' ', l_linenumber, ':05') END)
               ELSE concat(year(l_shipdate), '-', lpad(CAST(month(l_shipdate) AS VARCHAR), 2, '0'),
-                          '-01 ', lpad(CAST(l_linenumber AS VARCHAR), 2, '0'), ':05:09')
+                          '-01', CASE WHEN l_orderkey % 89 = 0 THEN '' ELSE
+                          concat(' ', lpad(CAST(l_linenumber AS VARCHAR), 2, '0'), ':05:09') END)
          END AS pickup,
-         CAST(l_suppkey AS VARCHAR) AS start_id,
-         CAST(c_nationkey AS VARCHAR) AS end_id,
+         CASE WHEN l_orderkey % 83 <> 0 THEN CAST(l_suppkey AS VARCHAR) END AS start_id,
+         CASE WHEN l_orderkey % 79 <> 0 THEN CAST(c_nationkey AS VARCHAR) END AS end_id,
          l_quantity * 60 + l_linenumber AS duration,
-         CASE WHEN l_tax = 0 THEN '.00'
+         CASE WHEN l_orderkey % 73 = 0 THEN NULL WHEN l_tax = 0 THEN '.00'
               ELSE concat(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), '.5') END AS distance,
          CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Subscriber' ELSE 'Customer' END
            AS usertype,
@@ -32,9 +36,9 @@ timed AS (
 celled AS (
   SELECT *,
          CASE WHEN mode = 'bike' AND contains(head, '/')
-              THEN concat(split_part(split_part(head, ' ', 1), '/', 3), '-',
+              THEN rtrim(concat(split_part(split_part(head, ' ', 1), '/', 3), '-',
                           lpad(split_part(head, '/', 1), 2, '0'), '-',
-                          lpad(split_part(head, '/', 2), 2, '0'), ' ', split_part(head, ' ', 2))
+                          lpad(split_part(head, '/', 2), 2, '0'), ' ', split_part(head, ' ', 2)))
               ELSE head END AS time_cell
   FROM timed
 )"""
@@ -72,9 +76,23 @@ located AS (
   FROM celled c
   LEFT JOIN start_lookup s ON c.start_id = s.id
   LEFT JOIN end_lookup e ON c.end_id = e.id
-  WHERE mode = 'bike' OR distance <> '.00'
+  WHERE pickup IS NOT NULL AND (mode = 'bike' OR distance <> '.00')
 )"""
 
+# Distances that are no numbers, and zips that are 0.
+BAD_TRIPS = TRIPS.replace(
+    "WHEN l_tax = 0 THEN '.00'", "WHEN l_orderkey % 71 = 0 THEN 'n/a' WHEN l_tax = 0 THEN '.00'"
+)
+BAD_LOCATED = LOCATED.replace(TRIPS, BAD_TRIPS).replace(
+    "CAST(distance AS DOUBLE)", "TRY_CAST(distance AS DOUBLE)"
+).replace(
+    "distance <> '.00')", "distance <> '.00' AND TRY_CAST(distance AS DOUBLE) IS NOT NULL)"
+)
+ZERO_LOCATED = LOCATED.replace(
+    "CASE WHEN s_suppkey % 19 = 0 THEN ''",
+    "CASE WHEN s_suppkey % 5 = 0 THEN '0' WHEN s_suppkey % 19 = 0 THEN ''",
+).replace("coalesce(s.zip, '00000')", "coalesce(nullif(s.zip, '0'), '00000')")
+
 KEYS = '"date", "hour", start_zip, end_zip'
 GROUP = f"time_cell, {KEYS}"
 MINUTES = "floor(avg(duration) / 60.0 * 100.0 + 0.5) / 100.0"
@@ -237,12 +255,24 @@ SELECT start_id, coalesce(s.zip, '00000') AS start_zip, end_id,
        coalesce(e.zip, '00000') AS end_zip, count(*) AS trips
 FROM trips t LEFT JOIN start_lookup s ON start_id = s.id LEFT JOIN end_lookup e ON end_id = e.id
 GROUP BY ALL""",
+    "multimodal_profile_bad_distances": f"{_profiles(located=BAD_LOCATED)} SELECT * FROM profile",
+    "raw_layout_trips": f"""
+WITH {TRIPS},
+raw AS (SELECT *, CAST(duration AS INTEGER) % 60 AS second FROM trips)
+SELECT mode, pickup, CASE WHEN mode = 'bike' OR second % 2 = 0 THEN start_id END AS start_id,
+       CASE WHEN mode = 'bike' OR second % 2 = 0 THEN end_id END AS end_id,
+       CASE WHEN mode = 'bike' THEN duration END AS duration,
+       CASE WHEN mode <> 'bike' THEN distance END AS distance,
+       CASE WHEN mode = 'bike' THEN usertype END AS usertype,
+       CASE WHEN mode <> 'bike' THEN payment_type END AS payment_type,
+       CASE WHEN mode = 'green' THEN trip_type END AS trip_type, count(*) AS trips
+FROM raw WHERE NOT (mode = 'bike' AND second = 1) GROUP BY ALL""",
     "taxi_distance_clean": f"""
 WITH {TRIPS}
 SELECT mode, distance AS distance_text, count(*) AS trips, CAST(distance AS DOUBLE) AS trip_distance
 FROM trips WHERE mode <> 'bike' AND distance <> '.00' GROUP BY mode, distance""",
     "dropped_trips": f"""
-WITH {TRIPS}
+WITH {BAD_TRIPS}
 SELECT mode, count(*) AS trips, count(*) FILTER (WHERE pickup IS NULL) AS no_time,
        count(*) FILTER (WHERE mode <> 'bike' AND distance IS NULL) AS no_distance,
        count(*) FILTER (WHERE mode <> 'bike' AND distance = '.00') AS zero_distance,
@@ -299,7 +329,7 @@ FROM located WHERE mode <> 'bike' GROUP BY mode, {GROUP}"""),
         CARDS,
     ),
     "destinations_from_zip": f"{_profiles(all_cells=True)} {DESTINATIONS}",
-    "golden_counts": f'WITH {LOCATED}, {GOLDEN} SELECT key, "count" FROM golden',
+    "golden_counts": f'WITH {ZERO_LOCATED}, {GOLDEN} SELECT key, "count" FROM golden',
     "audit_clean": f"WITH {LOCATED}, {GOLDEN} {_delta('counted', 'golden')}",
     "audit_altered": f"""
 WITH {LOCATED}, {GOLDEN},
@@ -333,3 +363,8 @@ WITH {KNOWN},
 points AS (SELECT CAST(c_custkey AS VARCHAR) AS id, {_grid('c_custkey', 53, 29)} FROM customer)
 {_nearest('points', 'id, lat, lon')}""",
 }
+
+# The same results by another way.
+for _name in ("refresh_lookup", "zone_lookup", "nearest_zip"):
+    ORACLE[f"{_name}_descent"] = ORACLE[_name]
+ORACLE["zip_lookup_shuffled"] = ORACLE["zip_lookup"]

@@ -2,32 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import cell_date, cell_hour, cell_key, known_zip, zero_zip
-from ..operators.clean import with_time_cell
-from ..operators.locate import add_zip
-from ..schemas import UNKNOWN_ZIP
+from ..functions import cell_key
+from ..schemas import UNKNOWN_HOUR, UNKNOWN_ZIP
+
+
+def _recounted_time(trips: DataFrame) -> DataFrame:
+    """Add ``date`` and ``hour``, read off the pickup text by patterns of their own."""
+    pickup = F.col("pickup")
+    slashed = pickup.contains("/")
+
+    def us(part: int) -> Column:
+        return F.regexp_extract(pickup, r"^(\d+)/(\d+)/(\d+)(?:\s+(\d+))?", part)
+
+    date = F.when(
+        slashed, F.concat_ws("-", us(3), F.lpad(us(1), 2, "0"), F.lpad(us(2), 2, "0"))
+    ).otherwise(F.regexp_extract(pickup, r"^([^\s:]*)", 1))
+    hour = F.when(slashed, us(4)).otherwise(F.regexp_extract(pickup, r"^[^\s:]+\s+([^\s:]+)", 1))
+    return trips.where(pickup.isNotNull()).withColumns(
+        {"date": date, "hour": F.when(hour == "", UNKNOWN_HOUR).otherwise(hour)}
+    )
+
+
+def _recounted_zip(trips: DataFrame, lookup: DataFrame, end: str) -> DataFrame:
+    """Add the zip of one end; unknown, blank and ``0`` are the unknown zip."""
+    names = lookup.select(F.col("id").alias("place"), F.col("zip").alias("place_zip"))
+    named = trips.join(names, F.col(f"{end}_id") == F.col("place"), "left")
+    known = F.col("place_zip").isNotNull() & ~F.col("place_zip").isin("", "0")
+    return named.withColumn(
+        f"{end}_zip", F.when(known, F.col("place_zip")).otherwise(UNKNOWN_ZIP)
+    ).drop("place", "place_zip")
 
 
 def golden_counts(sample: DataFrame, stations: DataFrame, end_stations: DataFrame | None = None) -> DataFrame:
-    """Bike trips per key, counted straight from raw trips, apart from the profile's own path.
+    """Bike trips per key, counted from raw trips.
 
-    Trips with both ends unknown are left out; zip ``0`` counts as unknown.  The lookups come
-    from ``operators.prepare_lookup``.
+    Shares neither the reading of times nor the lookup join with the profile, so that a fault in
+    either shows as a difference.  Trips with both ends unknown are left out; zip ``0`` counts as
+    unknown.  The lookups hold one zip per id (``operators.prepare_lookup``).
     """
-    trips = add_zip(with_time_cell(sample), stations, "start")
-    trips = add_zip(trips, end_stations or stations, "end")
-    start, end = (zero_zip(known_zip(F.col(f"{e}_zip"))) for e in ("start", "end"))
-    cell = F.col("time_cell")
+    trips = _recounted_time(sample.select("pickup", "start_id", "end_id"))
+    trips = _recounted_zip(trips, stations, "start")
+    trips = _recounted_zip(trips, end_stations or stations, "end")
+    start, end = F.col("start_zip"), F.col("end_zip")
     return (
         trips.where((start != UNKNOWN_ZIP) | (end != UNKNOWN_ZIP))
-        .groupBy(cell_key(start, end, cell_date(cell), cell_hour(cell)).alias("key"))
+        .groupBy(F.concat(start, end, "date", "hour").alias("key"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
 
 
+def _five_digits(zipcode: str) -> Column:
+    """The zip; the job stops on one that has not five characters, as keys have no separator."""
+    wrong = F.raise_error(F.concat(F.lit("a key needs zips of five characters, not "), zipcode))
+    return F.when(F.length(zipcode) == 5, F.col(zipcode)).otherwise(wrong.cast("string"))
+
+
+#: Two zips, date and hour: what a key must look like to be cut into a slice.
+_KEY = r"^.{10}\d{4}-\d{2}-\d{2}(?:-1|\d{1,2})$"
+
+
 def audit_counts(
     profile: DataFrame, golden: DataFrame, date: str | None = None, hour: str | None = None,
     only_differences: bool = False,
@@ -36,6 +72,8 @@ def audit_counts(
 
     A key that only one side has counts as 0 on the other, so losses show on both sides.  With
     ``date`` and ``hour`` just that slice is compared; the golden side is cut to the same slice.
+    Keys have no separator, so a zip of other than five characters, or in a slice a golden key of
+    another form, stops the job.
     Use a profile with ``keep_zero_share=True``: golden counts hold cells without subscribers.
     """
     out = profile.where(F.col("bike_trip_count") > 0).where(
@@ -46,21 +84,22 @@ def audit_counts(
     if hour is not None:
         out = out.where(F.col("hour") == hour)
     out = out.select(
-        cell_key(*(F.col(c) for c in ("start_zip", "end_zip", "date", "hour"))).alias("key"),
+        cell_key(
+            _five_digits("start_zip"), _five_digits("end_zip"), F.col("date"), F.col("hour")
+        ).alias("key"),
         F.col("bike_trip_count").cast("long").alias("counted"),
     )
 
-    # Keys start with two five-digit zips; the rest is date and hour.
-    when = F.substring("key", 11, 10_000)
-    expected = golden.where(
-        ~(F.substring("key", 1, 10) == UNKNOWN_ZIP * 2)
-    ).select("key", F.col("count").cast("long").alias("expected"))
-    if date is not None:
-        expected = expected.where(F.startswith(when, F.lit(date)))
-    if hour is not None:
-        expected = expected.where(
-            when == date + hour if date is not None else F.substring(when, 11, 10) == hour
-        )
+    expected = golden.where(~F.startswith("key", F.lit(UNKNOWN_ZIP * 2))).select(
+        "key", F.col("count").cast("long").alias("expected")
+    )
+    if date is not None or hour is not None:
+        wrong = F.raise_error(F.concat(F.lit("cannot slice by the golden key "), "key"))
+        key = F.when(F.col("key").rlike(_KEY), F.col("key")).otherwise(wrong.cast("string"))
+        if date is not None:
+            expected = expected.where(F.substr(key, F.lit(11), F.lit(10)) == date)
+        if hour is not None:
+            expected = expected.where(F.substr(key, F.lit(21)) == hour)
 
     delta = F.coalesce("counted", F.lit(0)) - F.coalesce("expected", F.lit(0))
     deltas = out.join(expected, "key", "full").select("key", delta.cast("long").alias("delta"))

@@ -14,7 +14,7 @@ from .functions import (
 )
 from .operators import (
     cell_counts, dropped_trips, locate, mode_cells, nearest_zip,
-    zone_means, zone_ranges,
+    taxi_cells, zone_means, zone_ranges,
 )
 from .operators.cells import merged_mode_cells
 from .plans import (
@@ -22,7 +22,8 @@ from .plans import (
     multimodal_profile_of, refresh_lookup, zone_lookup,
 )
 from .plans.profiles import located_trips
-from .schemas import BIKE, CELL_KEYS, GREEN, MODES, YELLOW
+from .schemas import BIKE, CELL_KEYS, GREEN, MODES, TRIP_COLUMNS, YELLOW
+from .sources.trips import all_trips, bike_trips, taxi_trips, typed_bike
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,9 +57,17 @@ def taxi_time_cells(spark, sf_dir):
     )
 
 
-def zip_lookup(spark, sf_dir):
+def raw_layout_trips(spark, sf_dir):
+    """Trips read from raw columns of all file layouts, counted by all their fields."""
+    raw = d.raw_trips(spark, sf_dir)
+    parts = [bike_trips(typed_bike(raw.pop("bike")))]
+    parts += [taxi_trips(df, layout.split("_")[0]) for layout, df in raw.items()]
+    return all_trips(*parts).groupBy(*TRIP_COLUMNS).agg(F.count(F.lit(1)).alias("trips"))
+
+
+def zip_lookup(spark, sf_dir, **limits):
     """Trips per location and the zip found for it, from a lookup with superseded rows."""
-    located = locate(d.trips(spark, sf_dir), *d.lookups(spark, sf_dir))
+    located = locate(d.trips(spark, sf_dir), *d.lookups(spark, sf_dir, **limits))
     return located.groupBy("start_id", "start_zip", "end_id", "end_zip").agg(
         F.count(F.lit(1)).alias("trips")
     )
@@ -75,7 +84,15 @@ def taxi_distance_clean(spark, sf_dir):
 
 
 def dropped(spark, sf_dir):
-    return dropped_trips(d.trips(spark, sf_dir))
+    return dropped_trips(d.trips(spark, sf_dir, bad_distances=True))
+
+
+def without_bad_distances(spark, sf_dir):
+    """The multimodal profile of trips of which some distances are no numbers."""
+    trips = d.trips(spark, sf_dir, bad_distances=True)
+    return multimodal_profile_of(
+        located_trips(trips, *d.lookups(spark, sf_dir), on_bad_number="drop")
+    )
 
 
 def trips_per_cell(spark, sf_dir):
@@ -90,16 +107,10 @@ def subscriber_share(spark, sf_dir):
 
 
 def card_share(spark, sf_dir):
-    located = _located(spark, sf_dir, YELLOW, GREEN)
-
-    def one(mode):
-        return mode_cells(located, mode).select(
-            F.lit(mode).alias("mode"), *CELL_KEYS, F.col("trips").alias("trip_count"),
-            F.col("part").alias("cc_count"),
-            share(F.col("part"), F.col("trips")).alias("cc_percent"),
-        )
-
-    return one(YELLOW).unionByName(one(GREEN))
+    return taxi_cells(_located(spark, sf_dir, YELLOW, GREEN)).select(
+        "mode", *CELL_KEYS, F.col("trips").alias("trip_count"), F.col("part").alias("cc_count"),
+        share(F.col("part"), F.col("trips")).alias("cc_percent"),
+    )
 
 
 def dispatch_share(spark, sf_dir, literal=False):
@@ -118,14 +129,8 @@ def mean_duration_minutes(spark, sf_dir):
 
 
 def mean_trip_distance(spark, sf_dir):
-    located = _located(spark, sf_dir, YELLOW, GREEN)
-
-    def one(mode):
-        return mode_cells(located, mode, keep_zero_share=True).select(
-            F.lit(mode).alias("mode"), *CELL_KEYS, F.col("mean").alias("trip_distance_avg")
-        )
-
-    return one(YELLOW).unionByName(one(GREEN))
+    cells = taxi_cells(_located(spark, sf_dir, YELLOW, GREEN), keep_zero_share=True)
+    return cells.select("mode", *CELL_KEYS, F.col("mean").alias("trip_distance_avg"))
 
 
 def profile(spark, sf_dir, mode, **options):
@@ -169,9 +174,9 @@ def destinations_from_zip(spark, sf_dir):
     return found.select("end_zip", "travellers", *[_six_decimals(c) for c in rounded])
 
 
-def golden(spark, sf_dir):
-    bikes = d.trips(spark, sf_dir, BIKE)
-    return golden_counts(bikes, *d.lookups(spark, sf_dir))
+def golden(spark, sf_dir, zeros=False, months=None):
+    bikes = d.trips(spark, sf_dir, BIKE, months=months)
+    return golden_counts(bikes, *d.lookups(spark, sf_dir, zeros))
 
 
 def audit_clean(spark, sf_dir):
@@ -193,16 +198,18 @@ def audit_altered(spark, sf_dir):
 
 
 def audit_hour(spark, sf_dir):
-    """The audit of one date and hour."""
+    """The audit of one date and hour; only that month's trips are read, on both sides."""
+    month = ("1997-03", "1997-03")
+    bikes = located_trips(d.trips(spark, sf_dir, BIKE, months=month), *d.lookups(spark, sf_dir))
     return audit_counts(
-        profile(spark, sf_dir, BIKE, keep_zero_share=True), golden(spark, sf_dir),
+        mode_profile(bikes, BIKE, keep_zero_share=True), golden(spark, sf_dir, months=month),
         date="1997-03-01", hour="01",
     )
 
 
-def refreshed(spark, sf_dir):
+def refreshed(spark, sf_dir, **way):
     return refresh_lookup(
-        d.station_feed(spark, sf_dir), d.known_stations(spark, sf_dir), lon_scale=d.LON_SCALE
+        d.station_feed(spark, sf_dir), d.known_stations(spark, sf_dir), lon_scale=d.LON_SCALE, **way
     )
 
 
@@ -214,16 +221,17 @@ def zone_centroids(spark, sf_dir):
     return zone_means(d.zone_vertices(spark, sf_dir), _ranges(spark, sf_dir))
 
 
-def zone_zips(spark, sf_dir):
+def zone_zips(spark, sf_dir, **way):
     return zone_lookup(
         d.zone_vertices(spark, sf_dir), _ranges(spark, sf_dir), d.known_stations(spark, sf_dir),
-        lon_scale=d.LON_SCALE,
+        lon_scale=d.LON_SCALE, **way,
     )
 
 
-def nearest(spark, sf_dir):
+def nearest(spark, sf_dir, **way):
     return nearest_zip(
-        d.customer_points(spark, sf_dir), d.known_stations(spark, sf_dir), lon_scale=d.LON_SCALE
+        d.customer_points(spark, sf_dir), d.known_stations(spark, sf_dir), lon_scale=d.LON_SCALE,
+        **way,
     )
 
 
@@ -236,7 +244,10 @@ QUERIES: dict[str, Query] = {
     "multimodal_profile_joined": multimodal_joined,
     "bike_time_cells": bike_time_cells,
     "taxi_time_cells": taxi_time_cells,
+    "multimodal_profile_bad_distances": without_bad_distances,
+    "raw_layout_trips": raw_layout_trips,
     "zip_lookup": zip_lookup,
+    "zip_lookup_shuffled": partial(zip_lookup, max_rows=0),
     "taxi_distance_clean": taxi_distance_clean,
     "dropped_trips": dropped,
     "trips_per_cell": trips_per_cell,
@@ -254,7 +265,7 @@ QUERIES: dict[str, Query] = {
     "yellow_table": partial(table_of, mode=YELLOW),
     "green_table": partial(table_of, mode=GREEN),
     "destinations_from_zip": destinations_from_zip,
-    "golden_counts": golden,
+    "golden_counts": partial(golden, zeros=True),
     "audit_clean": audit_clean,
     "audit_altered": audit_altered,
     "audit_hour": audit_hour,
@@ -262,4 +273,7 @@ QUERIES: dict[str, Query] = {
     "zone_centroids": zone_centroids,
     "zone_lookup": zone_zips,
     "nearest_zip": nearest,
+    "refresh_lookup_descent": partial(refreshed, max_array_points=0),
+    "zone_lookup_descent": partial(zone_zips, max_array_points=0),
+    "nearest_zip_descent": partial(nearest, max_array_points=0),
 }

@@ -43,10 +43,19 @@ GREEN_ZONE_COLUMNS = [
     "congestion_surcharge",
 ]
 
+GREEN_POINT_COLUMNS = [
+    "VendorID", "lpep_pickup_datetime", "Lpep_dropoff_datetime", "Store_and_fwd_flag",
+    "RateCodeID", "Pickup_longitude", "Pickup_latitude", "Dropoff_longitude", "Dropoff_latitude",
+    "Passenger_count", "Trip_distance", "Fare_amount", "Extra", "MTA_tax", "Tip_amount",
+    "Tolls_amount", "Ehail_fee", "improvement_surcharge", "Total_amount", "Payment_type",
+    "Trip_type",
+]
+
 TAXI_LAYOUTS = {
     "yellow_zones": YELLOW_ZONE_COLUMNS,
     "yellow_points": YELLOW_POINT_COLUMNS,
     "green_zones": GREEN_ZONE_COLUMNS,
+    "green_points": GREEN_POINT_COLUMNS,
 }
 
 # --- Engine tables -----------------------------------------------------------------------

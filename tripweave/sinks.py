@@ -8,17 +8,23 @@ from pyspark.sql import functions as F
 from .schemas import LOOKUP_FILE_COLUMNS
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = "date") -> None:
+def write_table(
+    df: DataFrame, path: str, partition_by: str | None = "date",
+    sort_by: tuple[str, ...] = ("start_zip", "hour"),
+) -> None:
     """Overwrite a parquet table, split by date so that a date filter skips the other folders.
 
     ``rebalance`` groups rows by folder before writing (few files per date) and, unlike
-    ``repartition``, lets adaptive execution spread one large date over several tasks.
+    ``repartition``, lets adaptive execution spread one large date over several tasks.  Files are
+    sorted by those of ``sort_by`` that the table has, so that a filter on the start zip skips row
+    groups.
     """
     if partition_by is None:
         df.write.mode("overwrite").parquet(path)
         return
     (
         df.hint("rebalance", F.col(partition_by))
+        .sortWithinPartitions(partition_by, *[c for c in sort_by if c in df.columns])
         .write.mode("overwrite")
         .partitionBy(partition_by)
         .parquet(path)

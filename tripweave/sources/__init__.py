@@ -5,12 +5,12 @@ from .lookups import (
 )
 from .tables import read_golden, read_table, read_table_jdbc
 from .trips import (
-    all_trips, bike_trips, read_bike_csv, read_bike_trips, read_taxi_csv, read_taxi_trips,
-    taxi_trips,
+    all_trips, bike_trips, malformed_rows, read_bike_csv, read_bike_trips, read_taxi_csv,
+    read_taxi_trips, taxi_trips, typed_bike,
 )
 
 __all__ = [
-    "read_bike_csv", "read_bike_trips", "bike_trips",
+    "read_bike_csv", "read_bike_trips", "typed_bike", "bike_trips", "malformed_rows",
     "read_taxi_csv", "read_taxi_trips", "taxi_trips", "all_trips",
     "read_zip_lookup", "read_known_points", "read_station_feed",
     "read_zone_rings", "read_zone_vertices",

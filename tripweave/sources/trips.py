@@ -18,11 +18,14 @@ def _read_text_csv(
 
     With all columns text, malformed means of a wrong width.  ``columnPruning`` is off so that
     the parser looks at whole rows: otherwise the rows DROPMALFORMED leaves out depend on the
-    columns a query happens to use.
+    columns a query happens to use.  With a header line, each file's own must name the columns in
+    their order (letter case aside), else the job stops: without ``enforceSchema=False`` a file of
+    another layout would be read by position, or left out whole for its width.
     """
     return (
         spark.read.schema(all_text(columns))
         .option("header", header)
+        .option("enforceSchema", not header)
         .option("columnPruning", False)
         .option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE")
         .csv(path)
@@ -34,6 +37,19 @@ def _fits(name: str, type_name: str) -> Column:
     return column.isNull() | column.try_cast(type_name).isNotNull()
 
 
+def _bike_types_fit() -> Column:
+    return reduce(Column.__and__, [_fits(n, t) for n, t in BIKE_TYPED.items()])
+
+
+def typed_bike(raw: DataFrame, drop_malformed: bool = True) -> DataFrame:
+    """Raw bike columns as text -> the same with ``tripduration`` and ``birth year`` typed.
+
+    A row that breaks a type is malformed and left out; else its broken value is NULL.
+    """
+    kept = raw.where(_bike_types_fit()) if drop_malformed else raw
+    return kept.withColumns({n: F.col(f"`{n}`").try_cast(t) for n, t in BIKE_TYPED.items()})
+
+
 def read_bike_csv(
     spark: SparkSession, path: str | list[str], header: bool = False, drop_malformed: bool = True
 ) -> DataFrame:
@@ -42,10 +58,15 @@ def read_bike_csv(
     Header lines need no option: their first field is no number, so they are malformed rows.
     ``header=True`` reads a sample with a header line the usual way.
     """
-    raw = _read_text_csv(spark, path, BIKE_COLUMNS, header, drop_malformed)
-    if drop_malformed:
-        raw = raw.where(reduce(Column.__and__, [_fits(n, t) for n, t in BIKE_TYPED.items()]))
-    return raw.withColumns({n: F.col(f"`{n}`").try_cast(t) for n, t in BIKE_TYPED.items()})
+    return typed_bike(
+        _read_text_csv(spark, path, BIKE_COLUMNS, header, drop_malformed), drop_malformed
+    )
+
+
+def _layout(spark: SparkSession, path: str | list[str], layout: str | list[str]) -> list[str]:
+    if layout == "header":
+        return spark.read.option("header", True).csv(path).columns
+    return TAXI_LAYOUTS[layout] if isinstance(layout, str) else list(layout)
 
 
 def read_taxi_csv(
@@ -55,28 +76,62 @@ def read_taxi_csv(
     """Taxi files of ONE layout, every column as text.
 
     ``layout`` is a name from ``schemas.TAXI_LAYOUTS``, a list of column names, or ``"header"``
-    to take the names from the files' own header line.  Read files of different layouts one by
-    one and combine the results of :func:`taxi_trips`.
+    to take the names from a file's own header line.  The header line of every file is held
+    against it; a folder with files of another layout stops the job.  Read files of different
+    layouts one by one and combine the results of :func:`taxi_trips`.
     """
-    if layout == "header":
-        columns = spark.read.option("header", True).csv(path).columns
-    else:
-        columns = TAXI_LAYOUTS[layout] if isinstance(layout, str) else list(layout)
+    columns = _layout(spark, path, layout)
     return _read_text_csv(spark, path, columns, header=True, drop_malformed=drop_malformed)
 
 
-def _as_trips(raw: DataFrame, mode: str, fields: dict[str, str]) -> DataFrame:
-    """Rename raw columns to trip fields; fields the raw layout lacks become NULL."""
-    present = set(raw.columns)
+def malformed_rows(
+    spark: SparkSession, path: str | list[str], mode: str, layout: str | list[str] = "header",
+    header: bool = False,
+) -> DataFrame:
+    """What the readers leave out: ``mode, lines, wrong_width, wrong_type``, one row.
+
+    Lines are all but blank ones and, where the reader knows of them, header lines (always for
+    taxis, with ``header`` for bikes; else a bike header counts as of wrong type).
+    """
+    columns = BIKE_COLUMNS if mode == BIKE else _layout(spark, path, layout)
+    fits = _bike_types_fit() if mode == BIKE else F.lit(True)
+
+    def read(drop_malformed: bool) -> DataFrame:
+        return _read_text_csv(spark, path, columns, header or mode != BIKE, drop_malformed)
+
+    every = read(False).agg(F.count(F.lit(1)).alias("lines"))
+    right = read(True).agg(F.count(F.lit(1)).alias("right"), F.count_if(fits).alias("kept"))
+    return every.join(F.broadcast(right)).select(  # one row each
+        F.lit(mode).alias("mode"), "lines", (F.col("lines") - F.col("right")).alias("wrong_width"),
+        (F.col("right") - F.col("kept")).alias("wrong_type"),
+    )
+
+
+def _as_trips(
+    raw: DataFrame, mode: str, fields: dict[str, str], may_lack: tuple[str, ...] = ()
+) -> DataFrame:
+    """Rename raw columns to trip fields.
+
+    Names are found without regard to letter case and to blanks around them.  A raw layout that
+    lacks a column for one of ``fields`` stops here, unless it is one of ``may_lack``, which are
+    then NULL.  Location ids lose blanks around them, as they do in the lookups.
+    """
+    present = {c.strip().lower(): c for c in raw.columns}
+    lacking = [
+        c for f, c in fields.items() if c.lower() not in present and f not in may_lack
+    ]
+    if lacking:
+        raise ValueError(f"{mode} files need the columns {lacking}; found {raw.columns}")
     out = []
     for field in TRIP_SCHEMA:
-        source = fields.get(field.name)
+        source = present.get(fields.get(field.name, "").lower())
         if field.name == "mode":
             value = F.lit(mode)
-        elif source in present:
-            value = F.col(f"`{source}`")
-        else:
+        elif source is None:
             value = F.lit(None)
+        else:
+            value = F.col(f"`{source}`")
+            value = F.trim(value) if field.name in ("start_id", "end_id") else value
         out.append(value.cast(field.dataType).alias(field.name))
     return raw.select(*out)
 
@@ -98,19 +153,16 @@ def bike_trips(raw: DataFrame) -> DataFrame:
 
 def taxi_trips(raw: DataFrame, mode: str = YELLOW) -> DataFrame:
     """Raw taxi columns -> trip table.  A layout without location ids gives NULL ids."""
-    pickup = {YELLOW: "tpep_pickup_datetime", GREEN: "lpep_pickup_datetime"}[mode]
-    return _as_trips(
-        raw,
-        mode,
-        {
-            "pickup": pickup,
-            "start_id": "PULocationID",
-            "end_id": "DOLocationID",
-            "distance": "trip_distance",
-            "payment_type": "payment_type",
-            "trip_type": "trip_type",
-        },
-    )
+    fields = {
+        "pickup": {YELLOW: "tpep_pickup_datetime", GREEN: "lpep_pickup_datetime"}[mode],
+        "start_id": "PULocationID",
+        "end_id": "DOLocationID",
+        "distance": "trip_distance",
+        "payment_type": "payment_type",
+    }
+    if mode == GREEN:
+        fields["trip_type"] = "trip_type"
+    return _as_trips(raw, mode, fields, may_lack=("start_id", "end_id"))
 
 
 def read_bike_trips(spark: SparkSession, path: str | list[str], header: bool = False) -> DataFrame:
