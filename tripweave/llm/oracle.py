@@ -8,4 +8,36 @@ ORACLE = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op8_near_dedup": r"""
+        WITH RECURSIVE split AS (
+          SELECT doc_id, list_filter(
+                   string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+          FROM documents
+        ),
+        sets AS (
+          SELECT doc_id, list_distinct(
+                   CASE WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                        ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END
+                 ) AS shingles
+          FROM split WHERE len(words) > 0
+        ),
+        shingled AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS s FROM sets),
+        links AS (
+          SELECT a.doc_id AS a, b.doc_id AS b
+          FROM shingled a JOIN shingled b ON a.s = b.s AND a.doc_id <> b.doc_id
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n
+          HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+        ),
+        reach AS (
+          SELECT DISTINCT a AS doc_id, a AS other FROM links
+          UNION
+          SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+        ),
+        least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(len(s.shingles), 0) AS n_shingles,
+               coalesce(l.component_id, d.doc_id) AS component_id,
+               coalesce(l.component_id, d.doc_id) = d.doc_id AS kept
+        FROM documents d LEFT JOIN sets s USING (doc_id) LEFT JOIN least l USING (doc_id)
+    """,
 }
