@@ -107,7 +107,7 @@ def test_fixed_secrets(spark):
     texts = dict(rows)
     for r in secrets.scan(docs, model).collect():
         text = ",".join(f"{s.kind}:{s.start}:{s.end}" for s in r["spans"] if s.kind != "random")
-        assert text == brute_spans(texts[r["doc_id"]])
+        assert text == brute_spans(texts[r["id"]])
     assert model.of(b"x9Kq2LzP0vR7tYbW3mNc") > secrets.LEAST_RATIO
     assert model.of(b"thetionandingheredation") < 0 < secrets.LEAST_RATIO
     sha = {r.doc_id: r.base_sha256 for r in queries.op6_secrets(spark, SF_DIR).collect()}
@@ -122,7 +122,7 @@ def test_random_strings_are_found(spark):
     base = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
     more = spark.createDataFrame([(10**6, f"the und {token} der")], "doc_id bigint, text string")
     docs = base.unionByName(more)
-    spans = {r["doc_id"]: r["spans"] for r in secrets.scan(docs, secrets.train(docs)).collect()}
+    spans = {r["id"]: r["spans"] for r in secrets.scan(docs, secrets.train(docs)).collect()}
     assert [(s.kind, s.start, s.end) for s in spans[10**6]] == [("random", 8, 40)]
 
 
@@ -143,7 +143,7 @@ def test_phrases(spark):
     n = 0
     for r in licenses.find_licenses(docs).collect():
         got = r["n_words"], [(p.word, p.label) for p in r["places"]]
-        assert got == brute_phrases(texts[r["doc_id"]])
+        assert got == brute_phrases(texts[r["id"]])
         n += len(got[1])
     assert n > 15
 
@@ -232,13 +232,16 @@ def test_distrust_spreads_against_links(spark):
         (6, "http://else.org/", ""),
     ]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
-    got = {r["page_id"]: r for r in urls.judge(df, queries.URL_RULES).collect()}
+    scored = urls.judge(df, queries.URL_RULES, least_distrust=0.3)
+    got = {r["page_id"]: r for r in scored.collect()}
     assert [got[k]["verdict"] for k in (1, 2, 3, 4, 5, 6)] == [
         "block", "block", "block", "allow", "allow", "allow",
     ]
-    # friend: one of its two links leads to the blocked host, half its distrust; trust from good.
+    # Two hosts link to the blocked one and share its distrust; friend also has trust from good.
     d = urls.DAMPING
-    assert got[5]["distrust"] - got[2]["distrust"] < 0 and abs(got[6]["trust"] - d * d / 2) < 1e-9
+    for page, kind, mass in ((2, "distrust", d / 2), (5, "distrust", d / 2), (3, "distrust", d * d / 2),
+                             (5, "trust", d), (6, "trust", d * d / 2)):
+        assert abs(got[page][kind] - mass) < 1e-9
 
 
 def test_propagation_is_the_power_series(spark):

@@ -109,6 +109,7 @@ class Automaton:
         if self.length[p] + 1 == self.length[q]:
             return q
         copy = self._state(self.length[p] + 1, dict(self.step[q]), self.link[q])
+        self.ends[copy] = list(self.ends[q])
         self.link[q] = copy
         while p >= 0 and self.step[p].get(word) == q:
             self.step[p][word] = copy
