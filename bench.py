@@ -30,7 +30,7 @@ from tripweave.schemas import BIKE, GREEN, YELLOW
 HEADLINE = [
     "multimodal_profile", "bike_profile", "yellow_profile", "green_profile", "citi_table",
     "trips_per_cell", "zip_lookup", "destinations_from_zip", "golden_counts", "audit_clean",
-    "refresh_lookup", "zone_lookup", "nearest_zip",
+    "refresh_lookup", "zone_lookup", "nearest_zip", "card_share", "audit_hour", "nearest_zip_descent",
 ]
 
 
