@@ -138,12 +138,10 @@ def _shard(length: int, schema: pa.Schema):
         raw = b"".join(parts)
         text = np.frombuffer(raw, dtype=np.uint8)
         order = suffix_order(text, length)
-        shared = common_prefixes(text, order, length)
         owner = np.repeat(np.arange(len(parts)), sizes)
         ends = np.cumsum(sizes)
-        whole = order + length <= ends[owner[order]]
-        classes = np.cumsum(shared[order] < length)[whole]
-        at = order[whole]
+        at = order[order + length <= ends[owner[order]]]  # where a whole string begins
+        classes = np.cumsum(common_prefixes(text, at, length)[at] < length)
         by = np.lexsort((at, classes))  # segments are in the order of their documents
         at, classes = at[by], classes[by]
         first = np.concatenate(([True] * bool(len(at)), classes[1:] != classes[:-1]))

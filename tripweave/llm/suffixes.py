@@ -137,20 +137,29 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     names = name[leftmost]
     if len(leftmost) > 1 and not same.any():
         return _induce(text, small, sorted_)
-    return _induce(text, small, leftmost[_ranked(names, depth)])
+    # Leftmost positions are at least two bytes apart.
+    return _induce(text, small, leftmost[_ranked(names, depth // 2 + 2)])
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """By text position: bytes in common with the suffix before it in the order, ``most`` at most."""
+    """By text position: bytes in common with the suffix before it in the order, ``most`` at most.
+
+    The order may be of some suffixes only; others have 0.  Eight bytes are compared at a time.
+    """
     n = len(text)
-    padded = np.concatenate((text.astype(np.int16), np.full(most + 1, -1, np.int16)))
     out = np.zeros(n, dtype=np.int64)
+    padded = np.concatenate((text, np.zeros(most + 16, dtype=np.uint8))).astype(np.uint64)
+    eight = np.zeros(n + most + 8, dtype=np.uint64)
+    for k in range(8):
+        eight |= padded[k:k + len(eight)] << np.uint64(8 * k)
     at, before = order[1:], order[:-1]
-    pending = np.arange(n - 1)
-    for k in range(most):
-        a, b = at[pending] + k, before[pending] + k
-        pending = pending[(padded[a] == padded[b]) & (a < n) & (b < n)]
-        if not len(pending):
-            break
-        out[at[pending]] = k + 1
+    room = np.minimum(most, n - np.maximum(at, before))  # up to the end of the text
+    pending, offset = np.arange(len(at)), 0
+    while len(pending):
+        differ = eight[at[pending] + offset] ^ eight[before[pending] + offset]
+        low = differ & (~differ + np.uint64(1))
+        same = np.where(differ == 0, 8, (np.log2(np.maximum(low, 1).astype(np.float64)) // 8).astype(np.int64))
+        out[at[pending]] = np.minimum(offset + same, room[pending])
+        offset += 8
+        pending = pending[(same == 8) & (room[pending] > offset)]
     return out
