@@ -129,9 +129,9 @@ def _differences(words: int, schema: pa.Schema):
                 sizes = np.cumsum([0] + [len(d) for d in diffs]).astype(np.int32)
                 values = pa.array(np.concatenate(diffs) if diffs else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(1), part.column(2), part.column(5),
+                    part.column(0), part.column(1), part.column(2), part.column(5), part.column(6),
                     pa.array([len(y) for y in others], pa.int64()), pa.array(hub_sizes, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(sizes), values).cast(schema.types[6]),
+                    pa.ListArray.from_arrays(pa.array(sizes), values).cast(schema.types[7]),
                 ], schema=schema)
 
     return run
@@ -170,6 +170,7 @@ def links_between(
     has e > r (m + hub's size), more than (d + r (hub's size - n)) / 2.  So two nodes that need not
     share an element are both similar to the hub, and in one component.  Elements that the hub
     lacks come first: they are rare.  So the pairs that meet are few, and those are counted exactly.
+    Two nodes that share their largest hub meet with that one only.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -181,15 +182,21 @@ def links_between(
         F.min("c").alias("low"), F.max("c").alias("high"),
         F.max(F.when(F.col("a") == F.col("b"), F.col("c"))).alias("hub_c"),
     ).where("low != high").select("a", "hub_c")
-    open_ = each.join(mixed.hint("merge"), "a").where("a != b")
+    open_ = cut(each.join(mixed.hint("merge"), "a").where("a != b"))
+    groups = open_.groupBy("a").agg(F.count(F.lit(1)).alias("size"))
+    main = open_.join(groups.hint("merge"), "a").groupBy("b").agg(
+        F.max(F.struct("size", "a")).alias("main")
+    ).select("b", F.col("main.a").alias("main"))
+    open_ = open_.join(main.hint("merge"), "b")
     kind = tried.schema["a"].dataType.simpleString()
     schema = tried.sparkSession.createDataFrame(
-        [], f"a {kind}, b {kind}, c {kind}, with_hub boolean, n bigint, hub_n bigint, "
-            f"diff array<bigint>"
+        [], f"a {kind}, b {kind}, c {kind}, with_hub boolean, main {kind}, n bigint, "
+            f"hub_n bigint, diff array<bigint>"
     ).schema
     rows = cut(
         _with_texts(open_, texts)
-        .select("a", "b", "c", "left", "right", (F.col("c") == F.col("hub_c")).alias("with_hub"))
+        .select("a", "b", "c", "left", "right", (F.col("c") == F.col("hub_c")).alias("with_hub"),
+                "main")
         .mapInArrow(_differences(words, to_arrow_schema(schema)), schema)
     )
     size, bound = F.size("diff"), F.floor(F.col("n") * (100 - percent) / percent).cast("int")
@@ -198,7 +205,7 @@ def links_between(
         / (2 * (100 + percent))
     ).cast("int") + 1
     most = F.when(F.col("with_hub"), F.greatest(size - F.greatest(shared, F.lit(1)) + 1, F.lit(0)))
-    narrow = ["a", "b", "c", "n", F.size("diff").alias("d")]
+    narrow = ["a", "b", "c", "main", "n", F.size("diff").alias("d")]
 
     def first(length):
         return rows.select(*narrow, F.explode(F.slice("diff", 1, length)).alias("element"))
@@ -209,6 +216,7 @@ def links_between(
     meet = short.join(
         long.hint("merge"),
         (s("a") == l_("a")) & (s("element") == l_("element")) & (s("c") != l_("c"))
+        & ((s("main") != l_("main")) | (s("main") == s("a")))
         & ((s("d") < l_("d")) | ((s("d") == l_("d")) & (s("b") < l_("b"))))
         & (100 * F.least(s("n"), l_("n")) >= percent * F.greatest(s("n"), l_("n")))
         & ((l_("d") - s("d")) * (100 + percent) <= (s("n") + l_("n")) * (100 - percent)),
@@ -237,10 +245,11 @@ def near_copies(
     by its own text.  Other columns are not read.
 
     1. Texts of equal shingle sets form a class, named by its least id; only that one goes on.
-    2. Classes that share a band of their sketches meet in a bucket.  Each is compared with the
-       bucket's least class on full texts, so a bucket of n classes costs n - 1 comparisons.
-    3. Links between classes that met the same least class but are then still in different
-       components are found by their differences from it (``links_between``), so none is lost.
+    2. Classes that share a band of their sketches meet in a bucket.  Each is compared on full texts
+       with the bucket's hub, the class that shares buckets with most others, so a bucket of n
+       classes costs n - 1 comparisons.
+    3. Links between classes that met the same hub but are then still in different components are
+       found by their differences from it (``links_between``), so none is lost.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -255,10 +264,13 @@ def near_copies(
         F.min("id").alias("node"), F.first("bands").alias("bands")
     )
     members = classes.select("node", F.explode("bands").alias("band"))
-    hubs = members.groupBy("band").agg(
-        F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")
-    ).where("size > 1").drop("size")
-    met = cut(members.join(hubs.hint("merge"), "band"))
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    buckets = cut(members.join(sizes.hint("merge"), "band"))
+    central = buckets.groupBy("node").agg(F.sum("size").alias("score"))
+    hubs = buckets.join(central.hint("merge"), "node").groupBy("band").agg(
+        F.max(F.struct("score", "node")).alias("hub")
+    ).select("band", F.col("hub.node").alias("hub"))
+    met = cut(buckets.drop("size").join(hubs.hint("merge"), "band"))
 
     needed = met.select("node").distinct()
     texts = cut_table(
