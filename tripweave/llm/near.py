@@ -118,20 +118,22 @@ def _differences(words: int, schema: pa.Schema):
                 known = {t: k for k, t in enumerate(dict.fromkeys(left[first:last]))}
                 hubs = shingle_hashes(list(known), words)
                 others = shingle_hashes(right[first:last], words)
-                diffs, hub_sizes = [], []
+                diffs, adds, hub_sizes = [], [], []
                 for i, y in enumerate(others, first):
                     x = hubs[known[left[i]]]
                     hub_sizes.append(len(x))
                     added = np.setdiff1d(y, x, assume_unique=True)
                     lost = np.setdiff1d(x, y, assume_unique=True)
                     diffs.append(np.concatenate((added, lost)).view(np.int64))
+                    adds.append(len(added))
                 part = batch.slice(first, last - first)
                 sizes = np.cumsum([0] + [len(d) for d in diffs]).astype(np.int32)
                 values = pa.array(np.concatenate(diffs) if diffs else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), part.column(2), part.column(5), part.column(6),
                     pa.array([len(y) for y in others], pa.int64()), pa.array(hub_sizes, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(sizes), values).cast(schema.types[7]),
+                    pa.array(adds, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(sizes), values).cast(schema.types[8]),
                 ], schema=schema)
 
     return run
@@ -169,7 +171,9 @@ def links_between(
     e - bound; and for a node of the hub's component, as its partner is not similar to the hub and
     has e > r (m + hub's size), more than (d + r (hub's size - n)) / 2.  So two nodes that need not
     share an element are both similar to the hub, and in one component.  Elements that the hub
-    lacks come first: they are rare.  So the pairs that meet are few, and those are counted exactly.
+    lacks come first: they are rare.  A pair whose k is more than the elements of the hub that both
+    lack can be must share one that the hub lacks, and meets by those only.  So the pairs that meet
+    are few, and those are counted exactly.
     Two nodes that share their largest hub meet with that one only.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -191,7 +195,7 @@ def links_between(
     kind = tried.schema["a"].dataType.simpleString()
     schema = tried.sparkSession.createDataFrame(
         [], f"a {kind}, b {kind}, c {kind}, with_hub boolean, main {kind}, n bigint, "
-            f"hub_n bigint, diff array<bigint>"
+            f"hub_n bigint, adds bigint, diff array<bigint>"
     ).schema
     rows = cut(
         _with_texts(open_, texts)
@@ -205,18 +209,25 @@ def links_between(
         / (2 * (100 + percent))
     ).cast("int") + 1
     most = F.when(F.col("with_hub"), F.greatest(size - F.greatest(shared, F.lit(1)) + 1, F.lit(0)))
-    narrow = ["a", "b", "c", "main", "n", F.size("diff").alias("d")]
+    narrow = ["a", "b", "c", "main", "n", "adds", F.size("diff").alias("d")]
 
     def first(length):
-        return rows.select(*narrow, F.explode(F.slice("diff", 1, length)).alias("element"))
+        return rows.select(
+            *narrow, F.posexplode(F.slice("diff", 1, length)).alias("place", "element")
+        )
 
     short = first(F.least(most, F.floor(bound / 2).cast("int") + 1)).alias("s")
     long = first(F.least(most, bound + 1)).alias("l")
     s, l_ = (lambda c: F.col(f"s.{c}")), (lambda c: F.col(f"l.{c}"))
+    common = F.least(s("d") - s("adds"), l_("d") - l_("adds"))  # of the hub's, at most
+    enough = (s("d") + l_("d")) * (100 + percent) <= (
+        2 * common * (100 + percent) + (s("n") + l_("n")) * (100 - percent)
+    )
     meet = short.join(
         long.hint("merge"),
         (s("a") == l_("a")) & (s("element") == l_("element")) & (s("c") != l_("c"))
         & ((s("main") != l_("main")) | (s("main") == s("a")))
+        & ((s("place") < s("adds")) | enough)
         & ((s("d") < l_("d")) | ((s("d") == l_("d")) & (s("b") < l_("b"))))
         & (100 * F.least(s("n"), l_("n")) >= percent * F.greatest(s("n"), l_("n")))
         & ((l_("d") - s("d")) * (100 + percent) <= (s("n") + l_("n")) * (100 - percent)),
