@@ -203,6 +203,30 @@ def test_leaks_against_every_window(spark):
     assert all(r["distance"] <= RADIUS for r in found)
 
 
+def test_leaks_that_lost_words_in_a_row(spark):
+    rng = random.Random(12)
+    items, texts, want = {}, {}, {}
+    for i in range(360):
+        item = prose(rng, rng.choice([50, 94, 150]))
+        lost = (len(item) - 4) // 9
+        fresh = [f"new{rng.randrange(10**6)}" for _ in range(lost)]
+        shared = len(item) - 4 - lost
+        words, similarity = [
+            (item[:-lost] + fresh, shared / (shared + 2 * lost)),
+            (fresh + item[lost:], shared / (shared + 2 * lost)),
+            (item[:-(2 * lost - 1)], (shared - lost + 1) / (shared + lost)),
+        ][i % 3]
+        items[i], texts[i] = " ".join(item), " ".join(words)
+        if similarity >= 0.8:
+            want[i, i] = similarity
+    found = leaks(
+        table(spark, texts), spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    ).collect()
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in found}
+    assert got == pytest.approx(want) and len(want) > 250
+    assert any(r["distance"] > RADIUS for r in found)
+
+
 def test_leaks_of_the_test_documents(spark, texts):
     items = {r.item_id: r.text for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()}
     want = {(i, k) for i, t in texts.items() for k, item in items.items() if item in (t or "")}

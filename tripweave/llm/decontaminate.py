@@ -1,4 +1,4 @@
-"""Benchmark decontamination: SimHash of item-sized windows, multi-index search, exact check.
+"""Benchmark decontamination: item-sized windows by counts of shared shingles, exact check, SimHash.
 
 Spark's own functions only.
 """
@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, free_name
+from .exact import digest_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Fingerprints of 64 bits in 8 blocks.  Two that differ in at most RADIUS bits have a block that
-#: differs in at most RADIUS // 8 = 1 bit, and the items are indexed under all such block values.
+#: Bits of 64 within which nearly all windows stay whose edits are scattered.  No window is left out
+#: for its distance: one that lost many words in a row may be farther.
 RADIUS = 15
-BLOCKS = 8
-#: Index tables of the items are broadcast up to so many rows (16 bytes each), else shuffled.
+#: Tables of the items are broadcast up to so many rows (16 bytes each), else shuffled.
 BROADCAST_ROWS = 2_000_000
 
 _LANES = 0x0000000100000001
@@ -63,46 +63,15 @@ def fingerprints(windows: DataFrame, keys: list[str], words: str = "words") -> D
     return counted.select(*keys, bits.alias("fingerprint"))
 
 
-def _block(fingerprint: Column, block: int) -> Column:
-    width = 64 // BLOCKS
-    return F.shiftrightunsigned(fingerprint, block * width).bitwiseAND(F.lit((1 << width) - 1))
-
-
-def _blocks(fingerprint: Column, near: bool) -> Column:
-    """(block, value) of a fingerprint; with ``near`` also all values that differ in one bit."""
-    flips = [0, *[1 << b for b in range(64 // BLOCKS)]] if near else [0]
-    return F.explode(F.array(*[
-        F.struct(
-            F.lit(k).alias("block"), _block(fingerprint, k).bitwiseXOR(F.lit(f).cast("bigint")).alias("value")
-        )
-        for k in range(BLOCKS) for f in flips
-    ]))
-
-
 def _sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("merge")
 
 
-def leaks(
-    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
-    item_id: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY,
+def _passages(
+    docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str,
+    similarity: float,
 ) -> DataFrame:
-    """One row per document and benchmark item that a passage of it repeats: doc_id, item_id, start
-    (first word of the best window), distance (of the fingerprints), similarity.
-
-    A window has as many words as the item (or is the whole of a shorter document).  Similarity is
-    the weighted Jaccard similarity of five-word shingles, each weighing as often as it occurs.
-
-    1. A window that shares no shingle with an item has similarity 0 to it, so windows are laid only
-       where a shingle of an item stands: aligned with it, and beginning at it.
-    2. Windows get 64-bit fingerprints; items of the window's size within ``RADIUS`` bits are found
-       by blocks, without comparing each with each.
-    3. Those pairs are verified by their shingles, counted exactly.
-
-    Items of fewer than five words are no evidence and match nothing; null or empty texts have no
-    words.  Rows of equal id are looked through each for itself and reported under that id; null
-    ids are kept apart from others only as null.  Other columns are not read.
-    """
+    """All windows found, under the document's id and the digest of its text; see ``leaks``."""
     items = cut(
         items.select(F.col(item_id).alias("item"), words_of(F.col(item_text)).alias("item_words"))
         .where(F.size("item_words") >= SHINGLE)
@@ -113,61 +82,98 @@ def leaks(
         .withColumnsRenamed({"pos": "at", "col": "gram"})
     )
     n_grams = grams.count()
-    read = docs.select(F.col(doc_id).alias("doc"), words_of(F.col(text)).alias("words"))
-    places = read.select(
-        "doc", F.size("words").alias("n"), F.posexplode(shingles_of(F.col("words")))
+    row = ["doc", "digest"]
+    read = docs.select(
+        F.col(doc_id).alias("doc"), F.unhex(digest_of(F.col(text))).alias("digest"),
+        F.col(text).alias("text"),
+    )
+    places = read.select(*row, words_of(F.col("text")).alias("words")).select(
+        *row, F.size("words").alias("n"), F.posexplode(shingles_of(F.col("words")))
     ).withColumnsRenamed({"pos": "place", "col": "gram"})
     aligned = F.col("place") - F.col("at")
     starts = F.array_distinct(F.array(*[
         F.greatest(F.lit(0), F.least(s, F.col("n") - F.col("size"))) for s in (aligned, F.col("place"))
     ]))
+
+    def cell(place: Column) -> Column:
+        return F.floor(place / F.col("size")).cast("int")
+
+    # A window that starts in a cell (of the item's size) ends in the next one at the latest.
+    hits = places.join(_sized(grams, n_grams), "gram").select(
+        *row, "n", "item", "size", "place", starts.alias("starts"),
+        F.explode(F.array(cell(F.col("place")), cell(F.col("place")) - 1)).alias("cell"),
+    ).withColumn("starts", F.filter("starts", lambda s: cell(s) == F.col("cell")))
+    window = F.least("n", "size") - F.lit(SHINGLE - 1)
+    total = window + F.col("size") - F.lit(SHINGLE - 1)
+    needed = F.ceil(total * F.lit(similarity / (1 + similarity)) - F.lit(1e-6))
+    inside = F.filter("places", lambda p: (p >= F.col("start")) & (p < F.col("start") + window))
     laid = cut(
-        places.join(_sized(grams, n_grams), "gram")
-        .select("doc", "size", F.explode(starts).alias("start")).distinct()
+        hits.groupBy(*row, "n", "item", "size", "cell").agg(
+            F.collect_set("place").alias("places"), F.collect_set("starts").alias("starts")
+        ).where(F.size("places") >= needed)
+        .withColumn("start", F.explode(F.array_distinct(F.flatten("starts"))))
+        .where(F.size(inside) >= needed)
+        .select(*row, "item", "size", "start", F.xxhash64(*row, "size", "start").alias("key"))
     )
-    by_doc = laid.groupBy("doc").agg(
-        F.collect_set(F.struct("start", "size")).alias("windows")
+    by_doc = laid.groupBy(*row).agg(
+        F.collect_set(F.struct("key", "start", "size")).alias("windows")
     )
+    same = (read["digest"] == by_doc["digest"]) & read["doc"].eqNullSafe(by_doc["doc"])
     windows = cut(
-        read.join(by_doc.hint("merge"), read["doc"].eqNullSafe(by_doc["doc"]))
-        .select(read["doc"], "words", F.explode("windows").alias("w"))
-        .select("doc", "w.start", "w.size",
-                F.slice("words", F.col("w.start") + F.lit(1), F.col("w.size")).alias("words"))
-        .withColumn("key", F.xxhash64("doc", "start", "size", "words"))
-    )
-
-    index = cut(
-        fingerprints(items, ["item", "size"], "item_words")
-        .select("item", "size", F.col("fingerprint").alias("item_print"),
-                _blocks(F.col("fingerprint"), near=True).alias("b"))
-        .select("item", "size", "item_print", "b.block", "b.value")
-    )
-    probes = fingerprints(windows, ["key", "size"]).select(
-        "key", "size", "fingerprint", _blocks(F.col("fingerprint"), near=False).alias("b")
-    ).select("key", "size", "fingerprint", "b.block", "b.value")
-    distance = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print")))
-    near = cut(
-        probes.join(_sized(index, n_grams * BLOCKS * 9), ["size", "block", "value"])
-        .where(distance <= RADIUS)
-        .select("key", "item", distance.alias("distance")).distinct()
+        read.join(by_doc.hint("merge"), same)
+        .select(words_of(F.col("text")).alias("words"), F.explode("windows").alias("w"))
+        .select("w.key", F.slice("words", F.col("w.start") + F.lit(1), F.col("w.size")).alias("words"))
+        .dropDuplicates(["key"])
     )
 
     side = ["key", "item", "gram"]
-    ours = near.join(windows.select("key", "words").dropDuplicates(["key"]).hint("merge"), "key").select(
+    pairs = laid.select("key", "item").distinct()
+    ours = pairs.join(windows.hint("merge"), "key").select(
         "key", "item", F.explode(shingles_of(F.col("words"))).alias("gram"),
         F.lit(1).alias("here"), F.lit(0).alias("there"),
     )
-    theirs = near.join(_sized(grams, n_grams), "item").select(
+    theirs = pairs.join(_sized(grams, n_grams), "item").select(
         "key", "item", "gram", F.lit(0).alias("here"), F.lit(1).alias("there")
     )
-    weighed = ours.unionByName(theirs).groupBy(*side).agg(
+    weighed = cut(ours.unionByName(theirs).groupBy(*side).agg(
         F.sum("here").alias("here"), F.sum("there").alias("there")
     ).groupBy("key", "item").agg(
         (F.sum(F.least("here", "there")) / F.sum(F.greatest("here", "there"))).alias("similarity")
-    ).where(F.col("similarity") >= similarity)
-    found = weighed.join(near, ["key", "item"]).join(
-        windows.select("key", "doc", "start").distinct(), "key"
+    ).where(F.col("similarity") >= similarity))
+
+    ends = windows.join(weighed.select("key").distinct().hint("merge"), "key")
+    prints = fingerprints(items, ["item"], "item_words").withColumnRenamed("fingerprint", "item_print")
+    distance = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print")))
+    return weighed.join(fingerprints(ends, ["key"]).hint("merge"), "key").join(
+        _sized(prints, n_grams), "item"
+    ).join(laid.select(*row, "item", "start", "key").hint("merge"), ["key", "item"]).select(
+        *row, "item", "start", distance.alias("distance"), "similarity"
     )
+
+
+def leaks(
+    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
+    item_id: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY,
+) -> DataFrame:
+    """One row per document and benchmark item that a passage of it repeats: doc_id, item_id, start
+    (first word of the best window), distance (of the fingerprints), similarity.
+
+    A window has as many words as the item (or is the whole of a shorter document).  Similarity is
+    the weighted Jaccard similarity of five-word shingles, each weighing as often as it occurs.
+
+    1. A window that shares no shingle with an item has similarity 0 to it, so windows are laid only
+       where a shingle of an item stands: aligned with it, and beginning at it.
+    2. A window of n and an item of m shingles whose similarity is s have s (n + m) / (1 + s) in
+       common, so a window goes on only if at so many of its places a shingle of the item stands.
+       No similar window is lost by that, wherever its words differ.
+    3. Those pairs are verified by their shingles, counted exactly.
+    4. The distance of a found pair is that of the 64-bit SimHash fingerprints of window and item.
+
+    Items of fewer than five words are no evidence and match nothing; null or empty texts have no
+    words.  Rows of equal id are looked through each for itself and reported under that id; null
+    ids are kept apart from others only as null.  Other columns are not read.
+    """
+    found = _passages(docs, items, doc_id, text, item_id, item_text, similarity)
     best = F.struct("similarity", -F.col("start"), -F.col("distance"))
     return found.groupBy("doc", "item").agg(
         F.max(best).alias("best")
