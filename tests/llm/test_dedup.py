@@ -152,6 +152,24 @@ def test_repeats_dealt_over_several_shards(spark, monkeypatch):
     assert {r["id"]: (bytes(r["kept"]), len(r["spans"])) for r in got} == want
 
 
+@pytest.mark.parametrize("shared", [7, None])
+def test_repeats_of_different_texts_under_one_id(spark, shared):
+    rng = random.Random(3)
+    fresh = ["".join(rng.choice("abcdefgh") for _ in range(200)) for _ in range(4)]
+    common = "".join(rng.choice("ijklmnop") for _ in range(150))
+    rows = [
+        (1 if shared else -(2**62), common), (shared, fresh[0] + common), (shared, fresh[1]),
+        (shared, fresh[2] + common), (shared, fresh[3] + fresh[3]), (9, common + fresh[1][:120]),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = [(r["id"], bytes(r["kept"]).decode()) for r in repeats.remove_repeats(df).collect()]
+    kept = [t for i, t in got if i == shared]
+    assert all(any(t.startswith(f) for t in kept) for f in fresh)
+    assert len(kept) == 4 and fresh[1] in kept and fresh[3] in kept
+    assert sum(common in t for _, t in got) == 1
+    assert (9, "") in got
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.one_of(st.binary(max_size=80), st.text("ab", max_size=120).map(str.encode)), st.integers(1, 12))
 def test_suffix_order(raw, depth):

@@ -69,8 +69,10 @@ def _anchored(length: int, gram: int, schema: pa.Schema):
                 doc, first, count, anchor, content = segments(data, sizes)
                 offset = first - (np.cumsum(sizes) - sizes)[doc]
                 ids = batch.column(0).slice(a, b - a)
+                marks = batch.column(2).slice(a, b - a)
                 place = np.array(ids.fill_null(-(2**63)))[doc] if len(doc) else doc
-                order = np.lexsort((offset, place, content, anchor))
+                mark = np.array(marks)[doc] if len(doc) else doc
+                order = np.lexsort((offset, mark, place, content, anchor))
                 doc, offset, count = doc[order], offset[order], count[order]
                 anchor, content = anchor[order], content[order]
                 lead = np.flatnonzero(np.concatenate((
@@ -80,20 +82,24 @@ def _anchored(length: int, gram: int, schema: pa.Schema):
                 which = np.repeat(np.arange(len(lead)), np.diff(np.append(lead, len(doc))))
                 at = lead[which]
                 # A row given twice does not come after itself.
-                rest = (place[order] != place[order][at]) | (offset != offset[at])
+                place, mark = place[order], mark[order]
+                rest = (place != place[at]) | (mark != mark[at]) | (offset != offset[at])
                 others = np.bincount(which[rest], minlength=len(lead))
                 again = pa.StructArray.from_arrays(
-                    [ids.take(pa.array(doc[rest])), pa.array(offset[rest])], ["id", "start"]
+                    [ids.take(pa.array(doc[rest])), marks.take(pa.array(doc[rest])),
+                     pa.array(offset[rest])],
+                    ["id", "mark", "start"],
                 )
                 bounds = np.concatenate(([0], np.cumsum(others))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(anchor[lead].view(np.int64)), pa.array(content[lead].view(np.int64)),
-                    ids.take(pa.array(doc[lead])), pa.array(offset[lead]),
+                    ids.take(pa.array(doc[lead])), marks.take(pa.array(doc[lead])),
+                    pa.array(offset[lead]),
                     pa.array(count[lead], pa.int64()),
                     pa.ListArray.from_arrays(
-                        pa.array(bounds), again.cast(schema.types[5].value_type),
+                        pa.array(bounds), again.cast(schema.types[6].value_type),
                         mask=pa.array(others == 0),
-                    ).cast(schema.types[5]),
+                    ).cast(schema.types[6]),
                 ], schema=schema)
 
     return run
@@ -116,6 +122,7 @@ def _cut_out(length: int, schema: pa.Schema):
                 yield pa.RecordBatch.from_arrays([
                     picked.field("shard"), picked.field("part"), picked.field("parts"),
                     pa.array([batch.column(0)[k].as_py()] * len(parts), schema.types[3]),
+                    pa.array([batch.column(3)[k].as_py()] * len(parts), pa.int64()),
                     picked.field("start"), pa.array(parts, pa.binary()),
                 ], schema=schema)
 
@@ -125,12 +132,12 @@ def _cut_out(length: int, schema: pa.Schema):
 def _shard(length: int, schema: pa.Schema):
     """The classes of equal strings of one shard: which strings come later than another of them.
 
-    Rows (id, start, count, digest): runs of strings that do, with a null digest; and, for segments
+    Rows (id, mark, start, count, digest): runs of strings that do, with a null digest; and, for segments
     of anchors that are dealt over several shards, the first string of each class with its digest.
     """
     def run(group: pa.Table) -> pa.Table:
         group = group.take(pa.array(np.lexsort((
-            np.array(group.column("start")),
+            np.array(group.column("start")), np.array(group.column("mark")),
             np.array(group.column("id").combine_chunks().fill_null(-(2**63))),
         ))))
         parts = [bytes(x) for x in group.column("bytes").to_pylist()]
@@ -146,13 +153,16 @@ def _shard(length: int, schema: pa.Schema):
         at, classes = at[by], classes[by]
         first = np.concatenate(([True] * bool(len(at)), classes[1:] != classes[:-1]))
         starts = np.array(group.column("start"))
-        ids = group.column("id").combine_chunks()
+        ids, marks = group.column("id").combine_chunks(), group.column("mark").combine_chunks()
         begin = ends - sizes
         home = starts[owner[at]] + at - begin[owner[at]]
         # The same string at the same place (a row given twice) does not come after itself.
         origin = np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
         number = np.array(ids.fill_null(-(2**63)))[owner[at]] if len(at) else at
-        same_place = (home == home[origin]) & (number == number[origin])
+        mark = np.array(marks)[owner[at]] if len(at) else at
+        same_place = (
+            (home == home[origin]) & (number == number[origin]) & (mark == mark[origin])
+        )
         later = np.zeros(len(text), dtype=bool)
         later[at[~first & ~same_place]] = True
         # Runs do not cross segments, as the last length - 1 bytes of one begin no whole string.
@@ -162,7 +172,7 @@ def _shard(length: int, schema: pa.Schema):
         lead = at[first & dealt]
         rows = np.concatenate((owner[a], owner[lead])).astype(np.int64)
         return pa.Table.from_arrays([
-            ids.take(pa.array(rows)),
+            ids.take(pa.array(rows)), marks.take(pa.array(rows)),
             pa.array(starts[rows] + np.concatenate((a, lead)) - begin[rows]),
             pa.array(np.concatenate((b - a, np.ones(len(lead), np.int64)))),
             pa.array([None] * len(a) + [
@@ -212,8 +222,9 @@ def remove_repeats(
     Texts are UTF-8 bytes; null counts as empty.  A byte goes if a string of ``length`` bytes that
     covers it also starts earlier: in a document of smaller id, or earlier in the same one.  Strings
     do not cross documents and are judged on the input.  Null ids come before all others.  Rows that
-    repeat an id count as one document: what repeats in one of them goes from each, as far as it
-    reaches.  Other columns are not read.
+    repeat both id and text count as one document seen more than once; rows of different texts under
+    one id (or null) are documents of their own, in the order of a hash of their text, the row's
+    ``mark``.  Other columns are not read.
 
     1. The anchor of a string is its gram of least hash, so equal strings have equal anchors.  Each
        document is cut into segments: runs of strings of the same anchor.
@@ -228,34 +239,36 @@ def remove_repeats(
 
     spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).withColumn(
+        "mark", F.xxhash64("text")
+    )
 
     def declared(ddl: str):
         schema = spark.createDataFrame([], ddl).schema
         return schema, to_arrow_schema(schema)
 
     schema, arrow = declared(
-        f"anchor bigint, content bigint, id {kind}, start bigint, count bigint, "
-        f"again array<struct<id:{kind},start:bigint>>"
+        f"anchor bigint, content bigint, id {kind}, mark bigint, start bigint, count bigint, "
+        f"again array<struct<id:{kind},mark:bigint,start:bigint>>"
     )
     found = rows.mapInArrow(_anchored(length, min(GRAM, length), arrow), schema)
     same = Window.partitionBy("anchor", "content")
     alike = Window.partitionBy("anchor")
     ranked = (
         found.repartition("anchor")
-        .withColumn("rank", F.rank().over(same.orderBy("id", "start")))
-        .withColumn("lead", (F.row_number().over(same.orderBy("id", "start")) == 1).cast("int"))
+        .withColumn("rank", F.rank().over(same.orderBy("id", "mark", "start")))
+        .withColumn("lead", (F.row_number().over(same.orderBy("id", "mark", "start")) == 1).cast("int"))
         .withColumn("contents", F.sum("lead").over(alike))
     )
     segments = cut_table(
         ranked.where("rank > 1 or contents > 1 or again is not null")
-        .select("anchor", "content", "id", "start", "count", "again", "contents",
+        .select("anchor", "content", "id", "mark", "start", "count", "again", "contents",
                 (F.col("rank") > 1).alias("goes"),
                 ((F.col("lead") == 1) & (F.col("contents") > 1)).alias("open"))
     )
-    sure = segments.where("goes").select("id", "start", "count").unionByName(
+    sure = segments.where("goes").select("id", "mark", "start", "count").unionByName(
         segments.where("again is not null").select(F.explode("again").alias("x"), "count")
-        .select("x.id", "x.start", "count")
+        .select("x.id", "x.mark", "x.start", "count")
     )
 
     open_ = segments.where("open")
@@ -264,37 +277,40 @@ def remove_repeats(
     parts = F.ceil(F.col("contents") / F.lit(PER_ANCHOR)).cast("int")
     part = F.pmod(F.xxhash64("content", F.lit("part")), parts)
     wanted = open_.select(
-        "id",
+        "id", "mark",
         F.struct(
             "start", "count",
             F.pmod(F.xxhash64("anchor", part), F.lit(shards)).cast("int").alias("shard"),
             part.cast("int").alias("part"), parts.alias("parts"),
         ).alias("segment"),
-    ).groupBy("id").agg(F.collect_list("segment").alias("segments"))
+    ).groupBy("id", "mark").agg(F.collect_list("segment").alias("segments"))
     schema, arrow = declared(
-        f"shard int, part int, parts int, id {kind}, start bigint, bytes binary"
+        f"shard int, part int, parts int, id {kind}, mark bigint, start bigint, bytes binary"
     )
-    texts = rows.withColumnRenamed("id", "doc")
+    texts = rows.withColumnsRenamed({"id": "doc", "mark": "doc_mark"})
+    of_row = (F.col("doc_mark") == F.col("mark")) & F.col("doc").eqNullSafe(F.col("id"))
     pieces = (
-        texts.join(wanted.hint("merge"), F.col("doc").eqNullSafe(F.col("id")))
-        .select("id", "text", "segments").mapInArrow(_cut_out(length, arrow), schema)
+        texts.join(wanted.hint("merge"), of_row)
+        .select("id", "text", "segments", "mark").mapInArrow(_cut_out(length, arrow), schema)
     )
-    schema, arrow = declared(f"id {kind}, start bigint, count bigint, digest binary")
+    schema, arrow = declared(f"id {kind}, mark bigint, start bigint, count bigint, digest binary")
     judged = cut(pieces.groupBy("shard").applyInArrow(_shard(length, arrow), schema))
     first = judged.where("digest is not null").groupBy("digest").agg(
-        F.min(F.struct("id", "start")).alias("first"), F.count(F.lit(1)).alias("n")
+        F.min(F.struct("id", "mark", "start")).alias("first"), F.count(F.lit(1)).alias("n")
     ).where("n > 1")
     crossed = judged.join(first.hint("merge"), "digest").where(
-        ~F.struct("id", "start").eqNullSafe(F.col("first"))
+        ~F.struct("id", "mark", "start").eqNullSafe(F.col("first"))
     )
     runs = sure.unionByName(
-        judged.where("digest is null").select("id", "start", "count")
-    ).unionByName(crossed.select("id", "start", "count"))
-    by_doc = runs.groupBy("id").agg(F.collect_list(F.struct("start", "count")).alias("runs"))
+        judged.where("digest is null").select("id", "mark", "start", "count")
+    ).unionByName(crossed.select("id", "mark", "start", "count"))
+    by_doc = runs.groupBy("id", "mark").agg(
+        F.collect_set(F.struct("start", "count")).alias("runs")
+    )
     schema, arrow = declared(
         f"id {kind}, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
     )
     return (
-        texts.join(by_doc.hint("merge"), F.col("doc").eqNullSafe(F.col("id")), "left")
+        texts.join(by_doc.hint("merge"), of_row, "left")
         .select(F.col("doc").alias("id"), "text", "runs").mapInArrow(_without(length, arrow), schema)
     )
