@@ -73,6 +73,25 @@ def test_leaks(odd, items):
     assert leaks(odd, items.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_dropped_each_by_itself(spark):
+    base, other = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    unique = [" ".join(f"{x}{i}" for i in range(60)) for x in "cdef"]
+    item = " ".join(f"q{i}" for i in range(40))
+    rows = [
+        (1, base), (2, base + " more"), (2, unique[0]), (3, other), (3, other + " more"),
+        (4, item), (4, unique[1]), (None, item), (None, unique[2]), (2, unique[3]),
+        (5, unique[3] + " more"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    near = [(r["doc_id"], r["text"]) for r in drop_near_copies(docs).collect()]
+    assert (1, base) in near and (2, base + " more") not in near and (2, unique[0]) in near
+    assert sum(i == 3 for i, _ in near) == 1 and (2, unique[3]) in near
+    assert len(near) == len(rows) - 3
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    left = {(r["doc_id"], r["text"]) for r in drop_leaks(docs, items).collect()}
+    assert left == set(rows) - {(4, item), (None, item)}
+
+
 def test_repeats(odd):
     got = of(remove_repeats(odd), "id")
     assert len(got) == odd.count()

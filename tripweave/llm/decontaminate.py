@@ -184,8 +184,19 @@ def leaks(
     )
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **columns) -> DataFrame:
-    """The documents without those of which a passage repeats a benchmark item."""
-    gone = free_name(docs, "gone_id")
-    leaked = leaks(docs, items, doc_id, **columns).select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(leaked, F.col(doc_id).eqNullSafe(F.col(gone)), "left_anti")
+def drop_leaks(
+    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
+    item_id: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY,
+) -> DataFrame:
+    """The documents without those of which a passage repeats a benchmark item.
+
+    Rows are matched by id and text, so others of the same or of no id stay.
+    """
+    gone, content = free_name(docs, "gone_id"), free_name(docs, "gone_digest")
+    leaked = _passages(docs, items, doc_id, text, item_id, item_text, similarity).select(
+        F.col("doc").alias(gone), F.col("digest").alias(content)
+    ).distinct()
+    same = F.col(doc_id).eqNullSafe(F.col(gone)) & (
+        F.unhex(digest_of(F.col(text))) == F.col(content)
+    )
+    return docs.join(leaked, same, "left_anti")

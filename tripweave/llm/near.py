@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, cut_table, free_name, groups_of, mix, shingle_hashes, text_bytes
@@ -79,9 +79,10 @@ def _signatures(words: int, schema: pa.Schema):
                 ends = np.cumsum([0] + [rows.shape[1] * f for f in filled]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, last - first),
+                    batch.column(2).slice(first, last - first),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(digests, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends), values).cast(schema.types[3]),
+                    pa.ListArray.from_arrays(pa.array(ends), values).cast(schema.types[4]),
                 ], schema=schema)
 
     return run
@@ -244,35 +245,26 @@ def links_between(
     )
 
 
-def near_copies(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80,
-) -> DataFrame:
-    """One row per document: id, n_shingles, component (its least id), kept (id = component).
+def _mark(text: str) -> Column:
+    """With the id it names a row; rows that repeat both are one document."""
+    return F.xxhash64(F.col(text).cast("string"))
 
-    Two documents are linked if 100 times the number of common shingles is at least ``percent``
-    times the number of all.  See ``common.shingle_hashes`` for words and shingles; documents
-    without words (or text) are linked with nothing.  A null id is linked with nothing and its row
-    kept, with a null component.  Ids are expected to be unique; a row that repeats one is judged
-    by its own text.  Other columns are not read.
 
-    1. Texts of equal shingle sets form a class, named by its least id; only that one goes on.
-    2. Classes that share a band of their sketches meet in a bucket.  Each is compared on full texts
-       with the bucket's hub, the class that shares buckets with most others, so a bucket of n
-       classes costs n - 1 comparisons.
-    3. Links between classes that met the same hub but are then still in different components are
-       found by their differences from it (``links_between``), so none is lost.
-    """
+def _judged(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
+    """What ``near_copies`` returns, and the mark of each row."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(
+        F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"), _mark(text).alias("mark")
+    )
     schema = rows.sparkSession.createDataFrame(
-        [], f"id {kind}, n_shingles bigint, class binary, bands array<bigint>"
+        [], f"id {kind}, mark bigint, n_shingles bigint, class binary, bands array<bigint>"
     ).schema
     signed = cut(rows.mapInArrow(_signatures(words, to_arrow_schema(schema)), schema))
     named = signed.where(F.col("class").isNotNull() & F.col("id").isNotNull())
     classes = named.groupBy("class").agg(
-        F.min("id").alias("node"), F.first("bands").alias("bands")
+        F.min(F.struct("id", "mark")).alias("node"), F.first("bands").alias("bands")
     )
     members = classes.select("node", F.explode("bands").alias("band"))
     sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -283,9 +275,10 @@ def near_copies(
     ).select("band", F.col("hub.node").alias("hub"))
     met = cut(buckets.drop("size").join(hubs.hint("merge"), "band"))
 
-    needed = met.select("node").distinct()
+    needed = met.select(F.col("node.id").alias("id"), F.col("node.mark").alias("mark")).distinct()
     texts = cut_table(
-        rows.join(needed.hint("merge"), F.col("id") == F.col("node")).select("node", "text")
+        rows.join(needed.hint("merge"), ["id", "mark"]).groupBy("id", "mark")
+        .agg(F.first("text").alias("text")).select(F.struct("id", "mark").alias("node"), "text")
     )
     tried = cut(
         met.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
@@ -297,23 +290,50 @@ def near_copies(
     found = components(
         found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late)
     )
-
     class_of = classes.select("class", "node")
+    root = F.coalesce("component", "node")
     return (
         signed.drop("bands").join(class_of.hint("merge"), "class", "left")
         .join(found.hint("merge"), "node", "left")
         .select(
-            "id", "n_shingles",
-            F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id")).alias("component"),
+            "id", "mark", "n_shingles",
+            F.when(F.col("id").isNotNull(), F.coalesce(root["id"], "id")).alias("component"),
+            # Of classes of one id in a component, the least stays.
+            (F.col("id").isNull() | root.isNull() | (
+                (F.col("id") == root["id"]) & (F.col("node") == root)
+            )).alias("kept"),
         )
-        .withColumn("kept", F.col("id").eqNullSafe(F.col("component")))
     )
 
 
+def near_copies(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80,
+) -> DataFrame:
+    """One row per document: id, n_shingles, component (its least id), kept (the id is the component's).
+
+    Two documents are linked if 100 times the number of common shingles is at least ``percent``
+    times the number of all.  See ``common.shingle_hashes`` for words and shingles; documents
+    without words (or text) are linked with nothing.  A null id is linked with nothing and its row
+    kept, with a null component.  A row that repeats an id is judged by its own text, so different
+    texts of one id may have different components; of those in one component, one class of equal
+    shingle sets is kept.  Other columns are not read.
+
+    1. Texts of equal shingle sets form a class, named by its least row (id, then a hash of the text); only
+       that one goes on.
+    2. Classes that share a band of their sketches meet in a bucket.  Each is compared on full texts
+       with the bucket's hub, the class that shares buckets with most others, so a bucket of n
+       classes costs n - 1 comparisons.
+    3. Links between classes that met the same hub but are then still in different components are
+       found by their differences from it (``links_between``), so none is lost.
+    """
+    return _judged(docs, doc_id, text, words, percent).drop("mark")
+
+
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **rule) -> DataFrame:
-    """The documents without those that ``near_copies`` does not keep."""
-    gone = free_name(docs, "gone_id")
-    dropped = near_copies(docs, doc_id, text, **rule).where(~F.col("kept")).select(
-        F.col("id").alias(gone)
-    ).distinct()
-    return docs.join(dropped.hint("merge"), F.col(doc_id) == F.col(gone), "left_anti")
+    """The documents without those that ``near_copies`` does not keep, matched by id and text."""
+    gone, content = free_name(docs, "gone_id"), free_name(docs, "gone_mark")
+    dropped = _judged(docs, doc_id, text, **{"words": 5, "percent": 80, **rule}).where(
+        ~F.col("kept")
+    ).select(F.col("id").alias(gone), F.col("mark").alias(content)).distinct()
+    same = (F.col(doc_id) == F.col(gone)) & (_mark(text) == F.col(content))
+    return docs.join(dropped.hint("merge"), same, "left_anti")

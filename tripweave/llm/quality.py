@@ -198,7 +198,8 @@ def train(
     """Fit on at most ``most_rows`` labelled documents, picked by a hash of their ids.
 
     Null labels and ids are left out.  The picked ids are few and are broadcast; only the picked
-    documents' statistics reach the driver.
+    documents' statistics reach the driver, one row for each label: of documents that share an id,
+    those of the least.
     """
     picked = (
         labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
@@ -209,7 +210,8 @@ def train(
         F.broadcast(picked), "_id"
     )
     names = list(statistics(F.lit("")))
-    rows = with_statistics(held, "_text", "_stats").select("_id", "_y", "_stats.*").toPandas()
+    one = with_statistics(held, "_text", "_stats").groupBy("_id", "_y").agg(F.min("_stats").alias("_stats"))
+    rows = one.select("_id", "_y", "_stats.*").toPandas()
     rows = rows.sort_values(["_id", "_y", *names], kind="stable")
     return fit_rules(rows[names].to_numpy(float), rows["_y"].to_numpy(float), names)
 
