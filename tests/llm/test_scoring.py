@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tripweave.llm import licenses, quality, queries, secrets, urls
+from tripweave.llm import language, licenses, quality, queries, secrets, urls
 from tripweave.llm.packing import Levels
 from tripweave.llm.tokens import WordTokens
 
@@ -264,3 +264,15 @@ def test_propagation_is_the_power_series(spark):
         want = {str(i): x[i] for i in range(n) if x[i] > 1e-12}
         got = {r["host"]: r["mass"] for r in out if r["kind"] == kind and r["mass"] > 1e-12}
         assert got.keys() == want.keys() and all(abs(got[h] - want[h]) < 1e-9 for h in want)
+
+
+def test_every_language_is_learned(spark):
+    rng = random.Random(5)
+    rows, words = [], {}
+    for k in range(105):
+        words[k] = ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(6)]
+        for _ in range(2 if k < 5 else 3):  # the first five are the least frequent
+            rows.append((len(rows), " ".join(rng.choices(words[k], k=30)), f"l{k:03d}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.train(docs, family_of={f"l{k:03d}": f"f{k % 10}" for k in range(105)})
+    assert sorted(x for names in model.families.values() for x in names) == [f"l{k:03d}" for k in range(105)]

@@ -15,8 +15,6 @@ from .common import groups_of
 
 #: Documents of a language that the driver fits on, about; picked by a hash of their ids.
 PER_LANGUAGE = 600
-#: Languages that are learned at most, the most frequent first.
-MOST_LANGUAGES = 100
 BUCKETS = 1 << 12
 UNKNOWN = "und"
 
@@ -171,29 +169,33 @@ def train(
 ) -> LanguageModel:
     """Fit on about ``per_language`` documents of each language, picked by a hash of their ids.
 
-    Only rows of non-null language, text and id are learned from.  Counting the languages reads one
-    column; the driver gets the counts and the picked documents' hashed features.
+    Every language is learned, so the driver's work grows with their number: by its square within a
+    family, and by the square of the number of families.  Only rows of non-null language, text and
+    id are learned from.  Counting the languages reads one column; the driver gets the counts and
+    the picked documents' hashed features.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     known = docs.where(
         F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull()
     )
-    counts = (
-        known.groupBy(F.col(lang).alias("lang")).count()
-        .orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    )
+    counts = known.groupBy(F.col(lang).alias("lang")).count().collect()
     if not counts:
         return LanguageModel({}, [], {})
-    share = F.lit(0.0)
-    for row in counts:
-        part = min(1.0, per_language / row["count"])
-        share = F.when(F.col(lang) == row["lang"], F.lit(part)).otherwise(share)
+    shares = F.broadcast(docs.sparkSession.createDataFrame(
+        [(row["lang"], min(1.0, per_language / row["count"])) for row in counts],
+        "_lang string, _share double",
+    ))
     spot = F.pmod(F.xxhash64(doc_id), F.lit(1 << 30)) / float(1 << 30)
     schema = docs.sparkSession.createDataFrame(
         [], "lang string, buckets array<bigint>, shares array<double>"
     ).schema
-    picked = known.where(spot < share).select(F.col(lang), F.col(text).cast("string")).mapInArrow(
+    read = known.select(
+        F.col(lang).alias("_of"), F.col(text).cast("string").alias("_text"), spot.alias("_spot")
+    )
+    picked = read.join(shares, F.col("_of") == F.col("_lang")).where("_spot < _share").select(
+        "_of", "_text"
+    ).mapInArrow(
         _sampled(to_arrow_schema(schema)), schema
     ).limit(2 * per_language * len(counts) + 1000)
     rows = [(r["lang"], np.array(r["buckets"], int), np.array(r["shares"])) for r in picked.collect()]
