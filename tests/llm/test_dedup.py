@@ -155,7 +155,7 @@ def test_repeats_dealt_over_several_shards(spark, monkeypatch):
 @pytest.mark.parametrize("shared", [7, None])
 def test_repeats_of_different_texts_under_one_id(spark, shared):
     rng = random.Random(3)
-    fresh = ["".join(rng.choice("abcdefgh") for _ in range(200)) for _ in range(4)]
+    fresh = ["".join(rng.choice("abcdefgh") for _ in range(n)) for n in (200, 400, 200, 200)]
     common = "".join(rng.choice("ijklmnop") for _ in range(150))
     rows = [
         (1 if shared else -(2**62), common), (shared, fresh[0] + common), (shared, fresh[1]),
