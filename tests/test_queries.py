@@ -1,5 +1,10 @@
 """Every named query against its SQL on DuckDB."""
 
+import os
+import shutil
+import subprocess
+import sys
+
 import pytest
 from conftest import SF_DIR
 
@@ -20,6 +25,25 @@ def test_every_query_has_sql():
     assert set(ORACLE) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
+@pytest.mark.parametrize("left", ["nothing", "empty folder", "pipeline"])
+def test_without_the_operators_for_training_text(tmp_path, left):
+    """All other queries are there, whether or not the pipeline or an empty folder is left."""
+    root = os.path.dirname(os.path.abspath(driver.__file__))
+    shutil.copytree(f"{root}/tripweave", tmp_path / "tripweave", ignore=lambda _, names: {"llm"} & set(names))
+    kept = ["__spark_entry__.py"] + (["corpus_pipeline.py"] if left != "nothing" else [])
+    for name in kept:
+        if os.path.exists(f"{root}/{name}"):
+            shutil.copy(f"{root}/{name}", tmp_path)
+    if left == "empty folder":
+        (tmp_path / "tripweave" / "llm" / "__pycache__").mkdir(parents=True)
+    names = "import __spark_entry__ as e; print(*sorted(e.queries())); print(*sorted(e.oracle_sql()))"
+    run = subprocess.run(
+        [sys.executable, "-c", names], cwd=tmp_path, capture_output=True, text=True, check=True
+    )
+    asked, sql = (line.split() for line in run.stdout.splitlines())
+    assert asked == sorted(QUERIES) and sql == sorted(ORACLE)
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
