@@ -16,6 +16,7 @@ from .licenses import find_licenses
 from .near import near_copies
 from .packing import pack
 from .repeats import remove_repeats
+from .runs import find_runs
 from .urls import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +130,46 @@ def op10_licenses(spark, sf_dir):
     )
 
 
+def with_loops(docs: DataFrame) -> DataFrame:
+    """The documents, of which one in ten repeats a stretch of its words from some word on to its end."""
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    looped = (
+        docs.withColumn("g", F.floor(number / 10))
+        .withColumn("words", F.when(number % 10 == 0, split))
+        .withColumn("n", F.size("words"))
+        .withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+        .withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    )
+    i_to = F.transform(
+        F.sequence(F.lit(0), F.col("n") - 1),
+        lambda i: F.get("words", F.when(i < F.col("a"), i).otherwise(
+            F.col("a") + (i - F.col("a")) % F.col("p")
+        ).cast("int")),
+    )
+    changed = F.when(F.col("a").isNotNull(), F.array_join(i_to, " ")).otherwise(F.col("text"))
+    return looped.withColumn("text", changed).select(*docs.columns)
+
+
+def op11_runs(spark, sf_dir):
+    """Periodic runs of words in every document, and a digest of what is left without them."""
+    found = find_runs(with_loops(table(spark, sf_dir, "documents")))
+    best = F.aggregate(
+        "runs", F.get("runs", F.lit(0)),
+        lambda best, x: F.when(x["length"] * best["period"] > best["length"] * x["period"], x).otherwise(best),
+    )
+    lines = F.transform("runs", lambda x: F.concat(F.concat_ws(",", *[
+        x[c].cast("string") for c in ("start", "length", "period")
+    ]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_urls": op2_urls,
@@ -140,4 +181,5 @@ QUERIES: dict[str, Query] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_language": op9_language,
     "op10_licenses": op10_licenses,
+    "op11_runs": op11_runs,
 }
