@@ -17,6 +17,7 @@ from .near import near_copies
 from .packing import pack
 from .repeats import remove_repeats
 from .runs import find_runs
+from .simhash import simhash_copies
 from .urls import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,6 +171,14 @@ def op11_runs(spark, sf_dir):
     )
 
 
+def op13_simhash(spark, sf_dir):
+    """The SimHash of every document, and the least document that near fingerprints lead to."""
+    return simhash_copies(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_urls": op2_urls,
@@ -182,4 +191,5 @@ QUERIES: dict[str, Query] = {
     "op9_language": op9_language,
     "op10_licenses": op10_licenses,
     "op11_runs": op11_runs,
+    "op13_simhash": op13_simhash,
 }
