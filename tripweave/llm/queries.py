@@ -15,6 +15,7 @@ from .exact import copies
 from .licenses import find_licenses
 from .near import near_copies
 from .packing import pack
+from .phrases import collocations
 from .repeats import remove_repeats
 from .runs import find_runs
 from .simhash import simhash_copies
@@ -171,6 +172,11 @@ def op11_runs(spark, sf_dir):
     )
 
 
+def op12_phrases(spark, sf_dir):
+    """The best collocations of every language."""
+    return collocations(table(spark, sf_dir, "documents")).drop("first_doc")
+
+
 def op13_simhash(spark, sf_dir):
     """The SimHash of every document, and the least document that near fingerprints lead to."""
     return simhash_copies(table(spark, sf_dir, "documents")).select(
@@ -191,5 +197,6 @@ QUERIES: dict[str, Query] = {
     "op9_language": op9_language,
     "op10_licenses": op10_licenses,
     "op11_runs": op11_runs,
+    "op12_phrases": op12_phrases,
     "op13_simhash": op13_simhash,
 }
