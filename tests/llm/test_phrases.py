@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripweave.llm import phrases
-from tripweave.llm.phrases import Filter, Fingerprints, collocations, filter_of, phrase_counts
+from tripweave.llm.phrases import Filter, Fingerprints, Words, collocations, filter_of, phrase_counts
 
 P = 2**61 - 1
 
@@ -115,13 +115,15 @@ def test_the_pointer_is_the_least_document(spark):
 
 def test_prefix_polynomials():
     prints = Fingerprints(5)
-    numbers = prints.numbers([b"a", b"b", b"a", b"b", b"c", b".", b"a", b"b"] * 50)
-    prefixes = prints.prefixes(numbers)
-    value = [int(x) for x in prints.prints]
+    words = Words([b"a b\tA b c. a b"] * 50, np.array([0, 1] * 25), ["en", "fr"])
+    assert len(words) == 450 and words.phrase(9, 5) == b"a b a b c"
+    values = words.prints[words.numbers]
+    prefixes = prints.prefixes(values)
+    value = values.tolist()
     for size in (1, 2, 5):
-        at = np.arange(len(numbers) - size + 1)
+        at = np.arange(len(value) - size + 1)
         want = [
-            sum(value[numbers[i + k]] * pow(phrases._BASE, k, P) for k in range(size)) % P for i in at
+            sum(value[i + k] * pow(phrases._BASE, k, P) for k in range(size)) % P for i in at
         ]
         assert prints.of(prefixes, at, size).tolist() == want
 

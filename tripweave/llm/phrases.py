@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _ODD, cut, groups_of, mix, text_bytes
+from .common import _ODD, cut, groups_of, mix, text_bytes, word_hashes
 
 #: Language of documents without one.
 NO_LANG = "und"
@@ -55,40 +55,18 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Fingerprints:
-    """Words as numbers, and fingerprints of stretches of them from prefix polynomials.
+    """Fingerprints of stretches of up to ``longest`` words, from prefix polynomials."""
 
-    Words are remembered, about ``remembered`` of them; number 0 ends a piece.
-    """
-
-    def __init__(self, longest: int, remembered: int = 1_000_000):
-        self.longest, self.remembered = longest, remembered
+    def __init__(self, longest: int):
+        self.longest = longest
         self.power = _powers(_BASE, _STEP + longest)
         self.inverse = _powers(pow(_BASE, -1, 2**61 - 1), _STEP + longest)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {_MARK: 0}
-        self.words = [_MARK]
-        self.prints = np.zeros(1, dtype=np.uint64)
-
-    def numbers(self, tokens: list[bytes]) -> np.ndarray:
-        if len(self.words) > self.remembered:
-            self._forget()
-        known, words = self.known, self.words
-        before = len(words)
-        for w in set(tokens).difference(known):
-            known[w] = len(words)
-            words.append(w)
-        new = b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in words[before:])
-        fresh = np.frombuffer(new, dtype="<u8") % (_PRIME - np.uint64(1)) + np.uint64(1)
-        self.prints = np.concatenate((self.prints, fresh))
-        return np.array([known[w] for w in tokens], dtype=np.int64)
-
-    def prefixes(self, numbers: np.ndarray) -> np.ndarray:
+
+    def prefixes(self, words: np.ndarray) -> np.ndarray:
         """Sums of word fingerprints times powers of the base, of all words before each place."""
-        terms = _times(self.prints[numbers], self.power[:len(numbers)])
+        terms = _times(words, self.power[:len(words)])
         low, high = terms & np.uint64(2**31 - 1), terms >> np.uint64(31)
-        total = np.zeros(len(numbers) + 1, dtype=np.uint64)
+        total = np.zeros(len(words) + 1, dtype=np.uint64)
         high = _times(_reduced(np.cumsum(high, dtype=np.uint64)), np.uint64(2**31))
         total[1:] = _reduced(high + _reduced(np.cumsum(low, dtype=np.uint64)))
         return total
@@ -149,33 +127,68 @@ def filter_of(keys: DataFrame) -> Filter:
     return Filter(bits)
 
 
-def _tokens(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """Words and ends of pieces of all texts, and how many each text has."""
-    out: list[bytes] = []
-    sizes = []
-    for t in texts:
-        split = t.translate(_CLEAN).replace(_MARK, b" . ").split()
-        split.append(_MARK)
-        out += split
-        sizes.append(len(split))
-    return out, np.array(sizes, dtype=np.int64)
-
-
-def _stretches(prints: Fingerprints, numbers, salt, filters: list[Filter], sizes: range):
-    """Size, places and keys of all stretches whose parts pass the filters of their sizes."""
-    for begin in range(0, len(numbers), _STEP):
-        part = numbers[begin:begin + _STEP + prints.longest - 1]
-        mine = min(_STEP, len(numbers) - begin)  # where stretches of this part begin
-        prefixes = prints.prefixes(part)
-        here = salt[begin:begin + len(part)]
-        fits = part > 0
-        for size in range(1, sizes.stop):
-            if size > 1:
-                fits = fits[:-1] & fits[1:]
+class Words:
+    """The words of some texts one after the other, as numbers; each text and piece ends with a mark.
+
+    Words of a language are numbered without gaps by ``codes`` (the mark too).
+    """
+
+    def __init__(self, texts: list[bytes], langs: np.ndarray, names: list[str]):
+        cleaned = []
+        for t in texts:
+            words = b" ".join(t.translate(_CLEAN).replace(_MARK, b" . ").split())
+            cleaned.append(words + b" . " if words else b". ")
+        self.raw = b"".join(cleaned)
+        ends = np.flatnonzero(np.frombuffer(self.raw, dtype=np.uint8) == 0x20)
+        self.starts = np.concatenate(([0], ends + 1))  # each word ends with one space
+        last = np.searchsorted(ends, np.cumsum([len(c) for c in cleaned]) - 1)
+        self.text_ends = last + 1
+        spans = pa.Array.from_buffers(
+            pa.large_binary(), len(ends),
+            [None, pa.py_buffer(self.starts.astype(np.int64)), pa.py_buffer(self.raw)],
+        ).dictionary_encode()
+        numbers = spans.indices.to_numpy().astype(np.int64)
+        at = np.frombuffer(spans.dictionary.buffers()[1], dtype=np.int64)[:len(spans.dictionary) + 1]
+        hashes = word_hashes(np.frombuffer(spans.dictionary.buffers()[2], dtype=np.uint8)[:at[-1]], at[:-1], at[1:])
+        self.prints = hashes % (_PRIME - np.uint64(1)) + np.uint64(1)
+        self.numbers, self.names = numbers, names
+        self.is_word = numbers != numbers[-1]
+        self.langs = np.repeat(langs, np.diff(self.text_ends, prepend=0))
+        self.salts = _salts(names)
+        self.codes = numbers * len(names) + self.langs
+
+    def __len__(self) -> int:
+        return len(self.numbers)
+
+    def single(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes, keys and numbers of occurrences of all words."""
+        total = np.bincount(self.codes[self.is_word], minlength=len(self.prints) * len(self.names))
+        code = np.flatnonzero(total)
+        number, lang = np.divmod(code, len(self.names))
+        return code, mix(self.prints[number] + self.salts[lang] + _ODD), total[code]
+
+    def phrase(self, at: int, size: int) -> bytes:
+        return self.raw[self.starts[at]:self.starts[at + size] - 1]
+
+
+def _stretches(prints: Fingerprints, words: Words, filters: list[Filter], sizes: range):
+    """Size, places and keys of all stretches of two words and more whose parts pass their filters."""
+    code, keys, _ = words.single()
+    passes = np.zeros(len(words.prints) * len(words.names), dtype=bool)
+    passes[code[filters[0](keys)]] = True
+    often = passes[words.codes]
+    for begin in range(0, len(words), _STEP):
+        here = slice(begin, begin + _STEP + prints.longest - 1)
+        fits = often[here]
+        mine = min(_STEP, len(words) - begin)  # where stretches of this part begin
+        prefixes = prints.prefixes(words.prints[words.numbers[here]])
+        salt = words.salts[words.langs[here]]
+        for size in range(2, sizes.stop):
+            fits = fits[:-1] & fits[1:]
             at = np.flatnonzero(fits)
             if not len(at):
                 break
-            keys = mix(prints.of(prefixes, at, size) + here[at] + np.uint64(size * int(_ODD) % 2**64))
+            keys = mix(prints.of(prefixes, at, size) + salt[at] + np.uint64(size * int(_ODD) % 2**64))
             if size <= len(filters):
                 passed = filters[size - 1](keys)
                 fits[at[~passed]] = False
@@ -185,15 +198,15 @@ def _stretches(prints: Fingerprints, numbers, salt, filters: list[Filter], sizes
                 yield size, at[own] + begin, keys[own]
 
 
-def _texts(batch: pa.RecordBatch):
-    """Texts, languages as numbers, languages and ids of a batch, by id, in groups of some megabytes."""
+def _words(batch: pa.RecordBatch) -> Iterator[tuple[Words, pa.Array]]:
+    """Words of the texts of a batch, by id, in groups of some megabytes, and the ids."""
     batch = batch.take(pc.sort_indices(batch.column(0)))
     langs = batch.column(1).fill_null(NO_LANG).dictionary_encode()
     texts = text_bytes(batch.column(2))
     codes = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     names = langs.dictionary.to_pylist()
-    for first, last in groups_of(texts, 8_000_000):
-        yield texts[first:last], codes[first:last], names, batch.column(0).slice(first, last - first)
+    for first, last in groups_of(texts, 3_000_000):
+        yield Words(texts[first:last], codes[first:last], names), batch.column(0).slice(first, last - first)
 
 
 def _salts(names: list[str]) -> np.ndarray:
@@ -207,24 +220,23 @@ def _counted(size: int, held: list, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints, filters = Fingerprints(size), [f.value for f in held]
         for batch in batches:
-            for texts, codes, names, _ in _texts(batch):
-                tokens, sizes = _tokens(texts)
-                salt = np.repeat(_salts(names)[codes], sizes)
-                found = [k for _, _, k in _stretches(
-                    prints, prints.numbers(tokens), salt, filters, range(size, size + 1)
-                )]
-                keys, n = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
+            for words, _ in _words(batch):
+                if size == 1:
+                    _, keys, n = words.single()
+                else:
+                    found = [k for _, _, k in _stretches(prints, words, filters, range(size, size + 1))]
+                    keys, n = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], schema=schema)
 
     return run
 
 
-def _grouped(numbers: np.ndarray, langs: np.ndarray, at: np.ndarray, keys: np.ndarray, size: int):
+def _grouped(words: Words, at: np.ndarray, keys: np.ndarray, size: int):
     """First place and number of occurrences of each different stretch: by key, held to the words."""
     _, first, which, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-    words = [numbers[at + k] for k in range(size)] + [langs[at]]
-    if not all(np.array_equal(w, w[first][which]) for w in words):  # two stretches of one key
-        _, first, n = np.unique(np.stack(words, axis=1), axis=0, return_index=True, return_counts=True)
+    stretch = [words.codes[at + k] for k in range(size)]
+    if not all(np.array_equal(w, w[first][which]) for w in stretch):  # two stretches of one key
+        _, first, n = np.unique(np.stack(stretch, axis=1), axis=0, return_index=True, return_counts=True)
     return at[first], n
 
 
@@ -234,34 +246,31 @@ def _written(longest: int, held: list, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints, filters = Fingerprints(longest), [f.value for f in held]
         for batch in batches:
-            for texts, codes, names, ids in _texts(batch):
-                tokens, sizes = _tokens(texts)
-                numbers, langs = prints.numbers(tokens), np.repeat(codes, sizes)
+            for words, ids in _words(batch):
                 found: dict[int, list] = {}
-                for size, at, keys in _stretches(
-                    prints, numbers, _salts(names)[langs], filters, range(1, longest + 1)
-                ):
+                for size, at, keys in _stretches(prints, words, filters, range(2, longest + 1)):
                     found.setdefault(size, []).append((at, keys))
-                total = np.bincount(langs[numbers > 0], minlength=len(names))
+                code, keys, n = words.single()
+                total = np.bincount(code % len(words.names), weights=n, minlength=len(words.names))
+                first = np.zeros(len(words.prints) * len(words.names), dtype=np.int64)
+                first[words.codes[::-1]] = np.arange(len(words))[::-1]
+                often = filters[0](keys)
                 used = np.flatnonzero(total)
-                lang, phrase, count, doc, lengths = [used], [b""] * len(used), [total[used]], [], []
-                doc.append(np.zeros(len(used), dtype=np.int64))
-                lengths.append(np.zeros(len(used), dtype=np.int64))
-                ends = np.cumsum(sizes)
-                for size, parts in found.items():
-                    at, keys = (np.concatenate(x) for x in zip(*parts, strict=True))
-                    first, n = _grouped(numbers, langs, at, keys, size)
-                    phrase += [b" ".join(tokens[i:i + size]) for i in first.tolist()]
-                    lang.append(langs[first])
-                    count.append(n)
-                    doc.append(np.searchsorted(ends, first, "right"))
-                    lengths.append(np.full(len(first), size))
+                parts = [(1, first[code[often]], n[often])]
+                for size, some in found.items():
+                    at, keys = (np.concatenate(x) for x in zip(*some, strict=True))
+                    parts.append((size, *_grouped(words, at, keys, size)))
+                at = np.concatenate([a for _, a, _ in parts])
+                doc = np.concatenate((np.zeros(len(used), np.int64), np.searchsorted(words.text_ends, at, "right")))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(names, pa.string()).take(pa.array(np.concatenate(lang))),
-                    pa.array(np.concatenate(lengths), pa.int32()),
-                    pa.array(phrase, pa.binary()).cast(pa.string()),
-                    pa.array(np.concatenate(count), pa.int64()),
-                    ids.take(pa.array(np.concatenate(doc))),
+                    pa.array(words.names, pa.string()).take(pa.array(np.concatenate((used, words.langs[at])))),
+                    pa.array(np.repeat([0] + [size for size, _, _ in parts],
+                                       [len(used)] + [len(a) for _, a, _ in parts]).astype(np.int32)),
+                    pa.array([b""] * len(used) + [
+                        words.phrase(i, size) for size, a, _ in parts for i in a.tolist()
+                    ], pa.binary()).cast(pa.string()),
+                    pa.array(np.concatenate([total[used].astype(np.int64), *[n for _, _, n in parts]])),
+                    ids.take(pa.array(doc)),
                 ], schema=schema)
 
     return run
@@ -269,16 +278,16 @@ def _written(longest: int, held: list, schema: pa.Schema):
 
 def phrase_counts(
     docs: DataFrame, least: int, longest: int, doc_id: str = "doc_id", text: str = "text",
-    lang: str = "lang", filtered: int = 3,
+    lang: str = "lang",
 ) -> DataFrame:
     """lang, size, phrase, count, first_doc of all phrases of 1 to ``longest`` words that occur often.
 
     Often: ``least`` times in the texts of a language, overlaps included.  The row of size 0 holds the
     number of all words of a language.  See ``collocations`` for texts and words.
 
-    1. For sizes 1 to ``filtered``, one after the other: a task hashes every stretch whose shorter
-       parts can be frequent, by prefix polynomials, and counts hashes; a shuffle adds them up.
-       Those of ``least`` and more go into a filter of bounded size.
+    1. For each size, one after the other: a task hashes every stretch whose shorter parts can be
+       frequent, by prefix polynomials, and counts hashes; a shuffle adds them up.  Those of
+       ``least`` and more go into a filter of bounded size.
     2. A last scan groups the stretches that pass by hash, with the place of an occurrence, holds
        all occurrences to the words there, and writes the phrase out once a task.  These counts are
        added up by text, so a hash that two phrases share changes nothing.
@@ -293,7 +302,7 @@ def phrase_counts(
     )
     schema = spark.createDataFrame([], "key bigint, n bigint").schema
     held: list = []
-    for size in range(1, min(filtered, longest) + 1):
+    for size in range(1, longest + 1):
         counted = rows.mapInArrow(_counted(size, held, to_arrow_schema(schema)), schema)
         often = cut(counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key"))
         held = [*held, spark.sparkContext.broadcast(filter_of(often))]
