@@ -97,7 +97,8 @@ def test_phrases_of_one_fingerprint_are_told_apart(spark, monkeypatch):
     assert {(r.lang, r.phrase): r["count"] for r in got} == want
 
 
-def test_the_pointer_is_the_least_document(spark):
+def test_the_pointer_is_the_least_document(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "_TALLIED", 20)
     rows = texts(random.Random(6), 50)
     least = {}
     for i, text, lang in rows:
