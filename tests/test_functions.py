@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tripweave.functions import (
     bike_time_cell, cell_date, cell_hour, cell_key, known_zip, minutes, number, pad_cell_hour,
-    share, taxi_time_cell, zero_zip,
+    share, taxi_time_cell,
 )
 
 
@@ -99,7 +99,6 @@ def test_bad_numbers_fail_without_ansi_mode_too(spark):
 
 def test_zips_shares_and_keys(spark):
     assert values(spark, ["10001", "", None], known_zip) == ["10001", "00000", "00000"]
-    assert values(spark, ["0", "10001"], zero_zip) == ["00000", "10001"]
     assert values(spark, [3], lambda c: share(c, F.lit(4)), "long") == [0.75]
     key = cell_key(F.lit("10001"), F.lit("10002"), F.lit("2019-06-01"), F.lit("00"))
     assert values(spark, ["x"], lambda c: key) == ["10001100022019-06-0100"]

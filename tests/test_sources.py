@@ -235,10 +235,7 @@ def test_written_files_are_sorted_by_start_and_hour(spark, tmp_path):
         assert found == sorted(found)
 
 
-def test_mode_tables_and_audit_log(spark, tmp_path):
-    df = spark.createDataFrame([("2018-08-01", "00")], "date string, hour string")
-    sinks.write_mode_tables({"bike": df, "green": df}, str(tmp_path / "m"))
-    assert sources.read_table(spark, str(tmp_path / "m" / "green")).count() == 1
+def test_audit_log(spark, tmp_path):
     deltas = spark.createDataFrame([("k1", 0), ("k2", -3)], "key string, delta long")
     sinks.write_audit_log(deltas, str(tmp_path / "log"), files=1)
     parts = list((tmp_path / "log").glob("part-*"))

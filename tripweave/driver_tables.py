@@ -29,6 +29,7 @@ SCHEMAS = {
     "customer": "c_custkey bigint, c_nationkey int",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
     "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int",
 }
 
 
@@ -150,7 +151,29 @@ def lookups(spark: SparkSession, sf_dir: str, zeros: bool = False, **limits: int
     )
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+# A zone's outer ring, with dents, and the hole in it (1/1024 degrees east and north).
+ZONE_RING = [(-48, -40), (0, -16), (52, -44), (28, 4), (48, 52), (4, 24), (-44, 48), (-20, 0)]
+ZONE_HOLE = [(-8, -8), (8, -8), (8, 8), (-8, 8)]
+
+
+def _points() -> dict[str, Column]:
+    """Pickup and drop-off coordinates of the layouts that have some; a few are zero."""
+    start, end = F.col("start_id").cast("long"), F.col("end_id").cast("long")
+    line, minute = F.col("duration").cast("long") % 60, F.floor(F.col("duration") / 60)
+
+    def at(base: int, steps: Column) -> Column:
+        inside = (F.lit(float(base)) + F.pmod(steps, F.lit(1024)) / F.lit(1024.0)).cast("string")
+        return F.when(minute == 13, "0").when(minute == 14, "unknown").otherwise(inside)
+
+    return {
+        "pickup_latitude": at(40, start * 37 + line * 6 - 20),
+        "pickup_longitude": at(-74, start * 91 + line * 5 - 30),
+        "dropoff_latitude": at(40, end * 173 + minute * 59),
+        "dropoff_longitude": at(-74, end * 311 + minute * 101),
+    }
+
+
+def raw_trips(spark: SparkSession, sf_dir: str, keep_second: bool = False) -> dict[str, DataFrame]:
     """Trips as raw columns of text, one table per file layout, not all of them well-formed.
 
     Bikes have birth years that are no numbers and blank ones; the taxi layouts with points have no
@@ -165,9 +188,10 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             (F.col(v) if isinstance(v, str) else v).cast("string").alias(c)
             for c in columns
             for v in [values.get(c.replace(" ", "_").lower(), F.lit("0"))]
-        ])
+        ], *([second.alias("second")] if keep_second else []))
 
     taxi = {"trip_distance": "distance", "payment_type": "payment_type", "trip_type": "trip_type",
+            **_points(),
             "PULocationID": F.concat(F.lit(" "), "start_id"), "DOLocationID": "end_id"}
     year = F.when(second == 1, "\\N").when(second != 2, "1980")
     yes = F.lit(True)
@@ -186,6 +210,53 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def write_raw_files(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str]:
+    """Raw trips as CSV files with header lines, one folder a layout; some lines are cut or too long.
+
+    Lines are written as one column, named like the header line, with a separator no line has.
+    """
+    paths = {}
+    for layout, raw in raw_trips(spark, sf_dir, keep_second=True).items():
+        columns = [c for c in raw.columns if c != "second"]
+        line = F.concat_ws(",", *[F.coalesce(f"`{c}`", F.lit("")) for c in columns])
+        spoilt = F.when(F.col("second") == 3, F.concat(line, F.lit(",more"))).when(
+            F.col("second") == 4, F.substring_index(line, ",", 3)
+        ).otherwise(line)
+        paths[layout] = f"{folder}/{layout}"
+        raw.select(spoilt.alias(",".join(columns))).write.options(
+            header=True, sep="\x01", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        ).csv(paths[layout])
+    return paths
+
+
+def zone_shapes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Rings (outer one and hole) and vertices of zones around the suppliers' places."""
+    key = F.col("s_suppkey")
+    zones = table(spark, sf_dir, "supplier")
+    first, outer = key * 16, len(ZONE_RING)
+    rings = zones.select(key.cast("int").alias("zone"), F.inline(F.array(
+        F.struct(first.alias("first"), (first + outer - 1).alias("last")),
+        F.struct((first + outer).alias("first"), (first + outer + len(ZONE_HOLE) - 1).alias("last")),
+    )))
+    steps = F.array(*[
+        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ZONE_RING + ZONE_HOLE
+    ])
+    vertices = zones.select(key.alias("s"), *_grid(key, 37, 91), F.posexplode(steps).alias("n", "step")).select(
+        (F.col("s") * 16 + F.col("n")).alias("id"), (F.col("lat") + F.col("step.y") / F.lit(1024.0)).alias("lat"),
+        (F.col("lon") + F.col("step.x") / F.lit(1024.0)).alias("lon"),
+    )
+    return rings, vertices
+
+
+def wanted_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One date and hour for each region but the last."""
+    key = F.col("r_regionkey")
+    return table(spark, sf_dir, "region").where(key < 4).select(
+        F.concat((key + 1993).cast("string"), F.lit("-0"), (key + 2).cast("string"), F.lit("-01")).alias("date"),
+        F.lpad((key + 1).cast("string"), 2, "0").alias("hour"),
+    )
+
+
 def _grid(key: Column, a: int, b: int) -> list[Column]:
     """Coordinates inside one city, spread by the key."""
     return [

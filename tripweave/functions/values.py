@@ -29,6 +29,50 @@ def number(text: Column, on_bad: str = "fail") -> Column:
     return F.coalesce(parsed, F.when(text.isNotNull(), failure))
 
 
+#: Fixed-point scales of the two parts of an exact sum: 16 bits after the point, and 32 more.
+_COARSE, _FINE = 2.0 ** 16, 2.0 ** 32
+#: Values from here on, and NaN, are added as they are.
+_LARGE = 2.0 ** 46
+
+
+def sum_parts(value: Column) -> dict[str, Column]:
+    """Aggregates that add doubles without regard to their order: ``coarse``, ``fine``, ``rest``, ``n``.
+
+    Each value is cut into two whole numbers, of 2**-16 and 2**-48, and those are added as longs,
+    so any partitioning and any merge gives the same bits (digits beyond 2**-48 do not count).  A sum
+    beyond 1.4e14 stops the job in ANSI mode.  Values from 2**46 on are added as doubles.
+    """
+    scaled = value * _COARSE
+    whole = F.floor(scaled)
+    fits = F.abs(value) < _LARGE
+    return {
+        "coarse": F.sum(F.when(fits, whole)),
+        "fine": F.sum(F.when(fits, F.floor((scaled - whole) * _FINE))),
+        "rest": F.sum(F.when(~fits, value)),
+        "n": F.count(value),
+    }
+
+
+def sum_of(parts: dict[str, Column]) -> Column:
+    """The sum as a double, from its parts (or the sums of parts of several batches); NULL of no value."""
+    exact = parts["coarse"] / F.lit(_COARSE) + parts["fine"] / F.lit(_COARSE * _FINE)
+    return F.when(parts["rest"].isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + parts["rest"])
+
+
+def mean_of(parts: dict[str, Column]) -> Column:
+    return F.when(parts["n"] > 0, sum_of(parts) / parts["n"])
+
+
+def exact_sum(value: Column) -> Column:
+    """The sum of doubles, the same in every order of rows."""
+    return sum_of(sum_parts(value))
+
+
+def exact_mean(value: Column) -> Column:
+    """The mean of doubles, the same in every order of rows."""
+    return mean_of(sum_parts(value))
+
+
 def share(part: Column, total: Column) -> Column:
     """part / total as a double between 0 and 1."""
     return part.cast("double") / total.cast("double")
@@ -39,11 +83,6 @@ def known_zip(zipcode: Column) -> Column:
     return F.coalesce(F.nullif(zipcode, F.lit("")), F.lit(UNKNOWN_ZIP))
 
 
-def zero_zip(zipcode: Column) -> Column:
-    """Zip ``0`` is another way to write the unknown zip."""
-    return F.when(zipcode == "0", F.lit(UNKNOWN_ZIP)).otherwise(zipcode)
-
-
 def cell_key(start_zip: Column, end_zip: Column, date: Column, hour: Column) -> Column:
     """The audit key: both zips, date and hour, joined without a separator."""
     return F.concat(start_zip, end_zip, date, hour)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import cell_date, cell_hour, minutes, share
+from ..functions import cell_date, cell_hour, exact_mean, mean_of, minutes, share, sum_parts
 from ..schemas import BIKE, CELL_KEYS, GREEN, MODES, YELLOW
 
 GROUP = ["time_cell", "start_zip", "end_zip"]
@@ -49,7 +49,7 @@ def _measures(mode: str, literal_dispatch: bool = False) -> dict[str, Column]:
     out = {
         "trips": F.count_if(of_mode),
         "part": F.count_if(of_mode & _part(mode)),
-        "mean": F.avg(F.when(of_mode, measure)),
+        "mean": exact_mean(F.when(of_mode, measure)),
     }
     if mode == GREEN:
         out["dispatched"] = (
@@ -102,7 +102,7 @@ def taxi_cells(located: DataFrame, keep_zero_share: bool = False) -> DataFrame:
     cells = located.where(F.col("mode") != BIKE).groupBy("mode", *GROUP).agg(
         F.count(F.lit(1)).alias("trips"),
         F.count_if(_part(YELLOW)).alias("part"),
-        F.avg("distance").alias("mean"),
+        exact_mean(F.col("distance")).alias("mean"),
     )
     return _split_cell(cells if keep_zero_share else cells.where(F.col("part") > 0))
 
@@ -161,6 +161,73 @@ def merged_mode_cells(
     return _profile_rows(side_by_side, how, keep_zero_share)
 
 
+def _reported(literal_dispatch: bool = False) -> dict[str, Column]:
+    """What one aggregate with the mode in its key counts: trips, the reported part, dispatched ones."""
+    part = F.when(F.col("mode") == BIKE, _part(BIKE)).otherwise(_part(YELLOW))
+    dispatched = F.lit(True) if literal_dispatch else F.col("trip_type") == DISPATCHED
+    return {
+        "trips": F.count(F.lit(1)),
+        "part": F.count_if(part),
+        "dispatched": F.count_if((F.col("mode") == GREEN) & dispatched),
+    }
+
+
+def _measure() -> Column:
+    return F.when(F.col("mode") == BIKE, F.col("duration")).otherwise(F.col("distance"))
+
+
+def mode_rows(
+    located: DataFrame, keep_zero_share: bool = False, literal_dispatch: bool = False
+) -> DataFrame:
+    """``mode``, ``date``, ``hour``, cell, ``trips, part, dispatched, mean`` of all modes: one aggregate."""
+    rows = located.groupBy("mode", *GROUP).agg(
+        *[c.alias(n) for n, c in _reported(literal_dispatch).items()],
+        exact_mean(_measure()).alias("mean"),
+    )
+    kept = rows if keep_zero_share else rows.where(F.col("part") > 0)
+    cell = F.col("time_cell")
+    return kept.withColumns({"date": cell_date(cell), "hour": cell_hour(cell)})
+
+
+_COUNTS = ["trips", "part", "dispatched"]
+_PARTS = ["coarse", "fine", "rest", "n"]
+#: Columns of a table of cell states.
+STATE_COLUMNS = ["mode", "date", *GROUP, *_COUNTS, *_PARTS]
+
+
+def cell_states(located: DataFrame, literal_dispatch: bool = False) -> DataFrame:
+    """What has to be kept of a batch of trips so that it can be merged with others.
+
+    One row per mode and cell: counts, and the parts of an order-free sum of durations or distances.
+    """
+    rows = located.groupBy("mode", *GROUP).agg(
+        *[c.alias(n) for n, c in _reported(literal_dispatch).items()],
+        *[c.alias(n) for n, c in sum_parts(_measure()).items()],
+    )
+    return rows.withColumn("date", cell_date(F.col("time_cell"))).select(*STATE_COLUMNS)
+
+
+def merge_states(*batches: DataFrame) -> DataFrame:
+    """The states of all batches together, the same as of all their trips."""
+    every = reduce(DataFrame.unionByName, [b.select(*STATE_COLUMNS) for b in batches])
+    return every.groupBy("mode", "date", *GROUP).agg(
+        *[F.sum(c).alias(c) for c in _COUNTS + _PARTS]
+    ).select(*STATE_COLUMNS)
+
+
+def cells_from_states(states: DataFrame, how: str = "full", keep_zero_share: bool = False) -> DataFrame:
+    """The multimodal table from states, which may be those of several batches: one aggregate."""
+    def of_mode(mode: str, column: str) -> Column:
+        return F.sum(F.when(F.col("mode") == mode, F.col(column)))
+
+    measures = {}
+    for mode in MODES:
+        measures |= {f"{mode}_{c}": F.coalesce(of_mode(mode, c), F.lit(0)) for c in _COUNTS}
+        measures[f"{mode}_mean"] = mean_of({c: of_mode(mode, c) for c in _PARTS})
+    cells = states.groupBy(*GROUP).agg(*[c.alias(n) for n, c in measures.items()])
+    return _profile_rows(cells, how, keep_zero_share)
+
+
 def _profile_rows(cells: DataFrame, how: str, keep_zero_share: bool) -> DataFrame:
     """Measures of all modes per cell -> profile columns, NULL where a mode has no profile row."""
     if how not in ("full", "inner"):

@@ -158,12 +158,15 @@ SELECT key, coalesce(c.n, 0) - coalesce(g."count", 0) AS delta
 FROM {counted} c FULL JOIN {golden} g USING (key)"""
 
 
-def _six(expression: str, name: str) -> str:
-    return f"floor(({expression}) * 1e6 + 0.5) / 1e6 AS {name}"
+def _exact_sum(value: str) -> str:
+    """A sum of doubles that does not depend on their order: whole numbers of 2**-16 and of 2**-48."""
+    coarse = f"floor({value} * 65536.0)"
+    return (f"(sum(CAST({coarse} AS BIGINT)) / 65536.0 + "
+            f"sum(CAST(floor(({value} * 65536.0 - {coarse}) * 4294967296.0) AS BIGINT)) / 281474976710656.0)")
 
 
 def _weighted(value: str, mode: str) -> str:
-    return f"sum({value} * {mode}_trip_count) / sum({mode}_trip_count)"
+    return f"{_exact_sum(f'({value} * {mode}_trip_count)')} / sum({mode}_trip_count)"
 
 
 def _grid(key: str, a: int, b: int) -> str:
@@ -205,22 +208,68 @@ DESTINATIONS = f"""
 SELECT end_zip,
        CAST(sum(coalesce(bike_trip_count, 0) + coalesce(yellow_trip_count, 0)
                 + coalesce(green_trip_count, 0)) AS BIGINT) AS travellers,
-       {_six("sum(coalesce(bike_trip_count, 0)) / sum(coalesce(bike_trip_count, 0) + coalesce(yellow_trip_count, 0) + coalesce(green_trip_count, 0))", "bike_share")},
-       {_six("sum(coalesce(yellow_trip_count, 0)) / sum(coalesce(bike_trip_count, 0) + coalesce(yellow_trip_count, 0) + coalesce(green_trip_count, 0))", "yellow_share")},
-       {_six("sum(coalesce(green_trip_count, 0)) / sum(coalesce(bike_trip_count, 0) + coalesce(yellow_trip_count, 0) + coalesce(green_trip_count, 0))", "green_share")},
-       {_six(_weighted("sub_percent", "bike"), "subscriber_share")},
-       {_six("sum(yellow_cc_count) / sum(yellow_trip_count)", "yellow_card_share")},
-       {_six("sum(green_cc_count) / sum(green_trip_count)", "green_card_share")},
-       {_six(_weighted("yellow_trip_distance_avg", "yellow"), "yellow_distance")},
-       {_six(_weighted("green_trip_distance_avg", "green"), "green_distance")},
-       {_six(_weighted("bike_duration", "bike"), "bike_minutes")},
-       {_six(_weighted("green_dispatch_percent", "green"), "dispatch_share")}
+       sum(coalesce(bike_trip_count, 0)) / sum(coalesce(bike_trip_count, 0) + coalesce(yellow_trip_count, 0) + coalesce(green_trip_count, 0)) AS bike_share,
+       sum(coalesce(yellow_trip_count, 0)) / sum(coalesce(bike_trip_count, 0) + coalesce(yellow_trip_count, 0) + coalesce(green_trip_count, 0)) AS yellow_share,
+       sum(coalesce(green_trip_count, 0)) / sum(coalesce(bike_trip_count, 0) + coalesce(yellow_trip_count, 0) + coalesce(green_trip_count, 0)) AS green_share,
+       {_weighted("sub_percent", "bike")} AS subscriber_share,
+       sum(yellow_cc_count) / sum(yellow_trip_count) AS yellow_card_share,
+       sum(green_cc_count) / sum(green_trip_count) AS green_card_share,
+       {_weighted("yellow_trip_distance_avg", "yellow")} AS yellow_distance,
+       {_weighted("green_trip_distance_avg", "green")} AS green_distance,
+       {_weighted("bike_duration", "bike")} AS bike_minutes,
+       {_weighted("green_dispatch_percent", "green")} AS dispatch_share
 FROM profile
 WHERE start_zip = '10001' AND "date" BETWEEN '1996-01-01' AND '1999-12-31'
   AND "hour" IN ('1', '01', '2', '02', '3', '03', '4', '04')
 GROUP BY end_zip"""
 
 
+# Half the trips come from files with points and no location ids.
+POINTS = f"""
+{TRIPS},
+{LOOKUPS},
+point_trips AS (
+  SELECT mode,
+         CASE minute WHEN 13 THEN 0.0 WHEN 14 THEN NULL ELSE 40.0 + ((s * 37 + line * 6 - 20) % 1024 + 1024) % 1024 / 1024.0 END AS start_lat,
+         CASE minute WHEN 13 THEN 0.0 WHEN 14 THEN NULL ELSE -74.0 + ((s * 91 + line * 5 - 30) % 1024 + 1024) % 1024 / 1024.0 END AS start_lon,
+         CASE minute WHEN 13 THEN 0.0 WHEN 14 THEN NULL ELSE 40.0 + (e * 173 + minute * 59) % 1024 / 1024.0 END AS end_lat,
+         CASE minute WHEN 13 THEN 0.0 WHEN 14 THEN NULL ELSE -74.0 + (e * 311 + minute * 101) % 1024 / 1024.0 END AS end_lon
+  FROM (SELECT *, CAST(duration AS BIGINT) % 60 AS line, CAST(floor(duration / 60) AS BIGINT) AS minute,
+               CAST(start_id AS BIGINT) AS s, CAST(end_id AS BIGINT) AS e FROM trips)
+  WHERE mode <> 'bike' AND line % 2 = 1
+),
+edges AS (
+  SELECT CAST(s_suppkey AS INTEGER) AS zone, lon + a.x / 1024.0 AS x1, lat + a.y / 1024.0 AS y1,
+         lon + b.x / 1024.0 AS x2, lat + b.y / 1024.0 AS y2
+  FROM (SELECT s_suppkey, {_grid('s_suppkey', 37, 91)} FROM supplier),
+       (VALUES (0, -48, -40, 1), (1, 0, -16, 2), (2, 52, -44, 3), (3, 28, 4, 4), (4, 48, 52, 5), (5, 4, 24, 6),
+               (6, -44, 48, 7), (7, -20, 0, 0), (8, -8, -8, 9), (9, 8, -8, 10), (10, 8, 8, 11), (11, -8, 8, 8)
+       ) AS a(n, x, y, next_n)
+  JOIN (VALUES (0, -48, -40), (1, 0, -16), (2, 52, -44), (3, 28, 4), (4, 48, 52), (5, 4, 24), (6, -44, 48),
+               (7, -20, 0), (8, -8, -8), (9, 8, -8), (10, 8, 8), (11, -8, 8)) AS b(n, x, y) ON a.next_n = b.n
+),
+places AS (
+  SELECT start_lat AS lat, start_lon AS lon FROM point_trips UNION SELECT end_lat, end_lon FROM point_trips
+),
+held AS (
+  SELECT lat, lon, zone FROM places JOIN edges ON (y1 > lat) <> (y2 > lat)
+   AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1
+  GROUP BY lat, lon, zone HAVING count(*) % 2 = 1
+),
+zoned AS (SELECT lat, lon, CAST(min(zone) AS VARCHAR) AS id FROM held GROUP BY lat, lon)"""
+
+MALFORMED = f"""
+WITH {TRIPS},
+raw AS (SELECT mode, CAST(duration AS INTEGER) % 60 AS line FROM trips),
+laid AS (
+  SELECT *, CASE WHEN mode = 'bike' THEN mode WHEN line % 2 = 0 THEN concat(mode, '_zones')
+                 ELSE concat(mode, '_points') END AS layout FROM raw
+)
+SELECT layout, mode, count(*) AS lines, count(*) FILTER (WHERE line IN (3, 4)) AS wrong_width,
+       count(*) FILTER (WHERE mode = 'bike' AND line = 1) AS wrong_type
+FROM laid GROUP BY layout, mode"""
+
+
 def _from_located(select: str) -> str:
     return f"WITH {LOCATED} {select}"
 
@@ -364,7 +413,53 @@ points AS (SELECT CAST(c_custkey AS VARCHAR) AS id, {_grid('c_custkey', 53, 29)}
 {_nearest('points', 'id, lat, lon')}""",
 }
 
+ORACLE |= {
+    "raw_files_trips": ORACLE["raw_layout_trips"].replace(
+        "WHERE NOT (mode = 'bike' AND second = 1)",
+        "WHERE second NOT IN (3, 4) AND NOT (mode = 'bike' AND second = 1)",
+    ),
+    "malformed_lines": MALFORMED,
+    "point_trips_zip": f"""
+WITH {POINTS}
+SELECT mode, p.id AS start_id, coalesce(s.zip, '00000') AS start_zip, d.id AS end_id,
+       coalesce(e.zip, '00000') AS end_zip, count(*) AS trips
+FROM point_trips t
+LEFT JOIN zoned p ON start_lat = p.lat AND start_lon = p.lon
+LEFT JOIN zoned d ON end_lat = d.lat AND end_lon = d.lon
+LEFT JOIN start_lookup s ON p.id = s.id LEFT JOIN start_lookup e ON d.id = e.id
+GROUP BY ALL""",
+    "stored_slices": f"""
+{_profiles()},
+wanted AS (
+  SELECT concat(r_regionkey + 1993, '-0', r_regionkey + 2, '-01') AS "date",
+         lpad(CAST(r_regionkey + 1 AS VARCHAR), 2, '0') AS "hour"
+  FROM region WHERE r_regionkey < 4
+)
+SELECT p.* FROM profile p SEMI JOIN wanted w ON p."date" = w."date" AND p."hour" = w."hour"
+""",
+    "rewritten_dates": f"""
+WITH {LOCATED.replace("located AS (", "every AS (")},
+located AS (
+  SELECT * FROM every
+  WHERE "date" BETWEEN '1997-01-01' AND '1997-12-31' OR CAST(duration AS INTEGER) % 60 <> 7
+)
+{_bike("")}""",
+    "key_ranges": """
+WITH ranges AS (
+  SELECT n_nationkey AS zone, n_nationkey * n_nationkey * 7 AS lo,
+         CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey * n_nationkey * 7 + 300 ELSE 1000000007 - n_nationkey END AS hi
+  FROM nation
+)
+SELECT zone, count(*) AS orders, min(o_orderkey) AS "first", max(o_orderkey) AS "last"
+FROM orders JOIN ranges ON o_orderkey >= lo AND o_orderkey < hi GROUP BY zone""",
+}
+
 # The same results by another way.
+for _name in ("citi", "yellow", "green"):
+    ORACLE[f"stored_{_name}_table"] = ORACLE[f"{_name}_table"]
+ORACLE["point_trips_zip_shuffled"] = ORACLE["point_trips_zip"]
+ORACLE["profile_from_states"] = ORACLE["multimodal_profile"]
+ORACLE["audit_by_digest"] = ORACLE["audit_altered"]
 for _name in ("refresh_lookup", "zone_lookup", "nearest_zip"):
     ORACLE[f"{_name}_descent"] = ORACLE[_name]
 ORACLE["zip_lookup_shuffled"] = ORACLE["zip_lookup"]

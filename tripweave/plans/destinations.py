@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import exact_sum
+
 
 def destinations_from(
     profile: DataFrame,
@@ -16,7 +18,7 @@ def destinations_from(
 
     ``dates`` is one date or an inclusive (first, last) pair, ``hours`` one hour or a list.
     Shares and means are weighted with the trips of their mode, never averaged over cells; they
-    are NULL where the mode has no trip.  Start from a profile with ``keep_zero_share=True`` to
+    are NULL where the mode has no trip, and do not depend on the order of rows.  Start from a profile with ``keep_zero_share=True`` to
     count every traveller.
     """
     wanted = F.col("start_zip") == start_zip
@@ -34,7 +36,7 @@ def destinations_from(
 
     def weighted(value: str, mode: str) -> Column:
         trips = F.col(f"{mode}_trip_count")
-        return F.try_divide(F.sum(F.col(value) * trips), F.sum(trips))
+        return F.try_divide(exact_sum(F.col(value) * trips), F.sum(trips))
 
     def counted(part: str, mode: str) -> Column:
         return F.try_divide(F.sum(part), F.sum(f"{mode}_trip_count"))

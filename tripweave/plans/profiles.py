@@ -9,7 +9,7 @@ from ..functions import cell_date, cell_hour, minutes, share
 from ..operators.cells import all_mode_cells, merged_mode_cells, mode_cells, profile_columns
 from ..operators.clean import clean_trips
 from ..operators.locate import locate
-from ..schemas import BIKE, CELL_KEYS, GREEN, YELLOW
+from ..schemas import BIKE, CELL_KEYS, GREEN, MODES, YELLOW
 
 
 def located_trips(
@@ -84,6 +84,12 @@ def mode_tables(
     def cells(mode: str) -> DataFrame:
         return mode_cells(located, mode, keep_zero_share, literal_dispatch, split_cell=False)
 
+    return {mode: mode_table(cells(mode), mode) for mode in MODES}
+
+
+def mode_table(cells: DataFrame, mode: str) -> DataFrame:
+    """One mode's cells (``time_cell``, zips, ``trips, part, mean, dispatched``) as its stand-alone table."""
+
     def named(pickup: str, start: str, end: str) -> list:
         return [
             F.col("time_cell").alias(pickup),
@@ -96,22 +102,23 @@ def mode_tables(
     ratio = share(F.col("part"), F.col("trips"))
     trips, part, mean, dispatched = (F.col(c) for c in ("trips", "part", "mean", "dispatched"))
 
-    return {
-        BIKE: cells(BIKE).select(
+    columns = {
+        BIKE: [
             *named("starttime", "start station id", "end station id"),
             trips.alias("count"), part.alias("sub_count"), ratio.alias("sub_percent"),
             hour, date, minutes(mean).alias("avg(tripduration)"),
-        ),
-        YELLOW: cells(YELLOW).select(
+        ],
+        YELLOW: [
             *named("tpep_pickup_datetime", "PULocationID", "DOLocationID"),
             trips.alias("yellow_count"), ratio.alias("yellow_cc_percent"),
             hour, date, mean.alias("yellow_avg_dist"),
-        ),
-        GREEN: cells(GREEN).select(
+        ],
+        GREEN: [
             *named("lpep_pickup_datetime", "PULocationID", "DOLocationID"),
             trips.alias("green_count"), ratio.alias("green_cc_percent"),
             hour, date, mean.alias("green_avg_dist"),
             dispatched.alias("dispatch_count"),
             share(dispatched, trips).alias("dispatch_percent"),
-        ),
+        ],
     }
+    return cells.select(*columns[mode])

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import driver_tables as d
@@ -13,17 +13,24 @@ from .functions import (
     bike_time_cell, cell_date, cell_hour, minutes, number, share, taxi_time_cell,
 )
 from .operators import (
-    cell_counts, dropped_trips, locate, mode_cells, nearest_zip,
+    MODE_COLUMNS, cell_counts, cell_states, cells_from_states, dropped_trips, locate, locate_points,
+    merge_states, mode_cells, mode_rows, nearest_zip, prepare_cover, range_join, ring_edges,
     taxi_cells, zone_means, zone_ranges,
 )
 from .operators.cells import merged_mode_cells
 from .plans import (
-    audit_counts, destinations_from, golden_counts, join_profiles, mode_profile, mode_tables,
+    audit_by_digest, audit_counts, destinations_from, golden_counts, join_profiles, mode_profile, mode_tables,
     multimodal_profile_of, refresh_lookup, zone_lookup,
 )
 from .plans.profiles import located_trips
-from .schemas import BIKE, CELL_KEYS, GREEN, MODES, TRIP_COLUMNS, YELLOW
-from .sources.trips import all_trips, bike_trips, taxi_trips, typed_bike
+from .schemas import BIKE, BIKE_COLUMNS, CELL_KEYS, GREEN, MODES, TAXI_LAYOUTS, TRIP_COLUMNS, YELLOW
+from .shared import new_folder
+from .sinks import write_golden, write_mode_tables, write_table
+from .sources import read_golden, read_mode_table, read_slices, read_table
+from .sources.trips import (
+    all_trips, bike_trips, kept_trips, malformed_rows, read_labelled, taxi_point_trips, taxi_trips,
+    typed_bike,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,11 +39,6 @@ def _located(spark: SparkSession, sf_dir: str, *modes: str, **cleaning) -> DataF
     return located_trips(d.trips(spark, sf_dir, *modes), *d.lookups(spark, sf_dir), **cleaning)
 
 
-def _six_decimals(column: str) -> Column:
-    """Cut what depends on the order in which doubles were added."""
-    return (F.floor(F.col(column) * 1e6 + 0.5) / 1e6).alias(column)
-
-
 def bike_time_cells(spark, sf_dir):
     cell = bike_time_cell(F.col("pickup"))
     return (
@@ -65,6 +67,40 @@ def raw_layout_trips(spark, sf_dir):
     return all_trips(*parts).groupBy(*TRIP_COLUMNS).agg(F.count(F.lit(1)).alias("trips"))
 
 
+def raw_files_trips(spark, sf_dir):
+    """Trips read back from raw files with spoilt lines, counted by all their fields."""
+    paths = d.write_raw_files(spark, sf_dir, new_folder(spark, "raw"))
+    parts = [
+        kept_trips(read_labelled(spark, path, mode := layout.split("_")[0],
+                                 layout=TAXI_LAYOUTS.get(layout, BIKE_COLUMNS), header=True), mode)
+        for layout, path in paths.items()
+    ]
+    return all_trips(*parts).groupBy(*TRIP_COLUMNS).agg(F.count(F.lit(1)).alias("trips"))
+
+
+def malformed_file_lines(spark, sf_dir):
+    """How many lines of the same files are left out, and why, per layout."""
+    paths = d.write_raw_files(spark, sf_dir, new_folder(spark, "raw"))
+    parts = [
+        malformed_rows(spark, path, layout.split("_")[0], layout=TAXI_LAYOUTS.get(layout, "header"),
+                       header=True).withColumn("layout", F.lit(layout))
+        for layout, path in paths.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def point_trips_zip(spark, sf_dir, **limits):
+    """Zips of taxi trips whose files have points and no location ids, by the zone a point lies in."""
+    raw = d.raw_trips(spark, sf_dir)
+    trips = [taxi_point_trips(raw[f"{mode}_points"], mode) for mode in (YELLOW, GREEN)]
+    cover = prepare_cover(ring_edges(*d.zone_shapes(spark, sf_dir)), **limits)
+    zoned = locate_points(reduce(DataFrame.unionByName, trips), cover)
+    located = locate(zoned, d.lookups(spark, sf_dir)[0])
+    return located.groupBy("mode", "start_id", "start_zip", "end_id", "end_zip").agg(
+        F.count(F.lit(1)).alias("trips")
+    )
+
+
 def zip_lookup(spark, sf_dir, **limits):
     """Trips per location and the zip found for it, from a lookup with superseded rows."""
     located = locate(d.trips(spark, sf_dir), *d.lookups(spark, sf_dir, **limits))
@@ -158,6 +194,42 @@ def multimodal_merged(spark, sf_dir):
     return merged_mode_cells(located)
 
 
+def stored_slices(spark, sf_dir):
+    """Several dates and hours of a stored profile at once; only their folders are read."""
+    path = new_folder(spark, "profile")
+    write_table(multimodal(spark, sf_dir), path)
+    profile = read_slices(spark, path, d.wanted_slices(spark, sf_dir))
+    return profile.select(*CELL_KEYS, *[c for m in MODES for c in MODE_COLUMNS[m]])
+
+
+def rewritten_dates(spark, sf_dir):
+    """A stored bike profile that lacks late trips, after the dates of one year were written anew."""
+    path = new_folder(spark, "profile")
+    every = _located(spark, sf_dir, BIKE)
+    write_table(mode_profile(every.where(F.col("duration") % 60 != 7), BIKE, keep_zero_share=True), path)
+    year = every.where(cell_date(F.col("time_cell")).between("1997-01-01", "1997-12-31"))
+    write_table(mode_profile(year, BIKE, keep_zero_share=True), path, replace="dates")
+    return read_table(spark, path).select(*CELL_KEYS, *MODE_COLUMNS[BIKE])
+
+
+def profile_from_states(spark, sf_dir):
+    """The multimodal profile from the stored cell states of two batches of trips."""
+    located = _located(spark, sf_dir)
+    late = F.col("duration") % 60 >= 4
+    stored = []
+    for batch in (located.where(~late), located.where(late)):
+        stored.append(new_folder(spark, "states"))
+        write_table(cell_states(batch), stored[-1], sort_by=("start_zip", "time_cell"))
+    return cells_from_states(merge_states(*[read_table(spark, path) for path in stored]))
+
+
+def stored_mode_table(spark, sf_dir, mode):
+    """One mode's table, of those that one pass over the trips of all modes has written."""
+    folder = new_folder(spark, "modes")
+    write_mode_tables(mode_rows(_located(spark, sf_dir)), folder)
+    return read_mode_table(spark, folder, mode)
+
+
 def table_of(spark, sf_dir, mode):
     return mode_tables(_located(spark, sf_dir, mode))[mode]
 
@@ -167,11 +239,9 @@ def destinations_from_zip(spark, sf_dir):
     profile = multimodal_profile_of(
         located_trips(trips, *d.lookups(spark, sf_dir)), keep_zero_share=True
     )
-    found = destinations_from(
+    return destinations_from(
         profile, "10001", ("1996-01-01", "1999-12-31"), ["1", "01", "2", "02", "3", "03", "4", "04"]
     )
-    rounded = [c for c in found.columns if c not in ("end_zip", "travellers")]
-    return found.select("end_zip", "travellers", *[_six_decimals(c) for c in rounded])
 
 
 def golden(spark, sf_dir, zeros=False, months=None):
@@ -186,17 +256,30 @@ def audit_clean(spark, sf_dir):
     )
 
 
-def audit_altered(spark, sf_dir):
-    """Golden counts with some keys lost and some counts changed: just those keys show."""
+def altered_golden(spark, sf_dir):
+    """Golden counts with some keys lost and some counts changed."""
     start = F.substring("key", 1, 5)
-    altered = golden(spark, sf_dir).where(start != "10002").withColumn(
+    return golden(spark, sf_dir).where(start != "10002").withColumn(
         "count", F.col("count") + F.when(start == "10001", 1).otherwise(0)
     )
+
+
+def audit_altered(spark, sf_dir):
+    """Of altered golden counts just the altered keys show."""
     return audit_counts(
-        profile(spark, sf_dir, BIKE, keep_zero_share=True), altered, only_differences=True
+        profile(spark, sf_dir, BIKE, keep_zero_share=True), altered_golden(spark, sf_dir),
+        only_differences=True,
     )
 
 
+def audit_digests(spark, sf_dir):
+    """The audit of altered golden counts by digests, over stored tables of both sides."""
+    counted, expected = new_folder(spark, "profile"), new_folder(spark, "golden")
+    write_table(profile(spark, sf_dir, BIKE, keep_zero_share=True), counted)
+    write_golden(altered_golden(spark, sf_dir), expected)
+    return audit_by_digest(read_table(spark, counted), read_golden(spark, expected))
+
+
 def audit_hour(spark, sf_dir):
     """The audit of one date and hour; only that month's trips are read, on both sides."""
     month = ("1997-03", "1997-03")
@@ -213,6 +296,19 @@ def refreshed(spark, sf_dir, **way):
     )
 
 
+def trips_of_key_ranges(spark, sf_dir):
+    """Orders in ranges of their keys, of which the longest has about a billion keys."""
+    key = F.col("n_nationkey").cast("long")
+    ranges = d.table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("zone"), (key * key * 7).alias("lo"),
+        F.when(key % 2 == 0, key * key * 7 + 300).otherwise(F.lit(1_000_000_007) - key).alias("hi"),
+    )
+    orders = d.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    return range_join(orders, ranges).groupBy("zone").agg(
+        F.count(F.lit(1)).alias("orders"), F.min("id").alias("first"), F.max("id").alias("last")
+    )
+
+
 def _ranges(spark, sf_dir):
     return zone_ranges(d.zone_rings(spark, sf_dir))
 
@@ -246,6 +342,18 @@ QUERIES: dict[str, Query] = {
     "taxi_time_cells": taxi_time_cells,
     "multimodal_profile_bad_distances": without_bad_distances,
     "raw_layout_trips": raw_layout_trips,
+    "raw_files_trips": raw_files_trips,
+    "malformed_lines": malformed_file_lines,
+    "point_trips_zip": point_trips_zip,
+    "point_trips_zip_shuffled": partial(point_trips_zip, max_rows=0),
+    "stored_slices": stored_slices,
+    "rewritten_dates": rewritten_dates,
+    "profile_from_states": profile_from_states,
+    "stored_citi_table": partial(stored_mode_table, mode=BIKE),
+    "stored_yellow_table": partial(stored_mode_table, mode=YELLOW),
+    "stored_green_table": partial(stored_mode_table, mode=GREEN),
+    "audit_by_digest": audit_digests,
+    "key_ranges": trips_of_key_ranges,
     "zip_lookup": zip_lookup,
     "zip_lookup_shuffled": partial(zip_lookup, max_rows=0),
     "taxi_distance_clean": taxi_distance_clean,

@@ -9,24 +9,34 @@ from .schemas import LOOKUP_FILE_COLUMNS
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: str | None = "date",
-    sort_by: tuple[str, ...] = ("start_zip", "hour"),
+    df: DataFrame, path: str, partition_by: str | tuple[str, ...] | None = "date",
+    sort_by: tuple[str, ...] = ("start_zip", "hour"), replace: str = "table",
 ) -> None:
     """Overwrite a parquet table, split by date so that a date filter skips the other folders.
 
+    With ``replace="dates"`` only the dates that ``df`` has are overwritten (dynamic partition
+    overwrite): a day that arrives late, or again, replaces its own folder and no other file.
+    Spark writes the new files aside and moves them when all are there.
+
     ``rebalance`` groups rows by folder before writing (few files per date) and, unlike
     ``repartition``, lets adaptive execution spread one large date over several tasks.  Files are
     sorted by those of ``sort_by`` that the table has, so that a filter on the start zip skips row
     groups.
     """
+    if replace not in ("table", "dates"):
+        raise ValueError(f"replace must be 'table' or 'dates', not {replace!r}")
+    if partition_by is None and replace == "dates":
+        raise ValueError("a table that is not split by date has no dates to replace")
     if partition_by is None:
         df.write.mode("overwrite").parquet(path)
         return
+    folders = (partition_by,) if isinstance(partition_by, str) else partition_by
     (
-        df.hint("rebalance", F.col(partition_by))
-        .sortWithinPartitions(partition_by, *[c for c in sort_by if c in df.columns])
+        df.hint("rebalance", *[F.col(c) for c in folders])
+        .sortWithinPartitions(*folders, *[c for c in sort_by if c in df.columns])
         .write.mode("overwrite")
-        .partitionBy(partition_by)
+        .option("partitionOverwriteMode", "dynamic" if replace == "dates" else "static")
+        .partitionBy(*folders)
         .parquet(path)
     )
 
@@ -42,10 +52,12 @@ def write_table_jdbc(
     )
 
 
-def write_mode_tables(tables: dict[str, DataFrame], folder: str) -> None:
-    """One table per mode below ``folder``."""
-    for name, df in tables.items():
-        write_table(df, f"{folder.rstrip('/')}/{name}")
+def write_mode_tables(rows: DataFrame, folder: str, replace: str = "table") -> None:
+    """The tables of all modes, from ``operators.mode_rows``: one pass, one folder per mode and date.
+
+    Read one with ``sources.read_mode_table``.
+    """
+    write_table(rows, folder, ("mode", "date"), replace=replace)
 
 
 def write_audit_log(deltas: DataFrame, path: str, files: int | None = None) -> None:

@@ -32,6 +32,11 @@ def _read_text_csv(
     )
 
 
+#: What became of a line, and the text of one of a wrong width.
+STATUS, WRONG_LINE = "line_status", "wrong_line"
+KEPT, WRONG_WIDTH, WRONG_TYPE = "kept", "wrong_width", "wrong_type"
+
+
 def _fits(name: str, type_name: str) -> Column:
     column = F.col(f"`{name}`")
     return column.isNull() | column.try_cast(type_name).isNotNull()
@@ -84,33 +89,63 @@ def read_taxi_csv(
     return _read_text_csv(spark, path, columns, header=True, drop_malformed=drop_malformed)
 
 
-def malformed_rows(
+def read_labelled(
     spark: SparkSession, path: str | list[str], mode: str, layout: str | list[str] = "header",
     header: bool = False,
 ) -> DataFrame:
-    """What the readers leave out: ``mode, lines, wrong_width, wrong_type``, one row.
+    """All lines of raw files, as text, from one scan: the raw columns, ``line_status``, ``wrong_line``.
 
+    A line is ``kept``, or of a ``wrong_width`` (its text is then in ``wrong_line``), or of a
+    ``wrong_type``.  The readers that drop malformed rows drop just the lines that are not kept.
     Lines are all but blank ones and, where the reader knows of them, header lines (always for
     taxis, with ``header`` for bikes; else a bike header counts as of wrong type).
     """
     columns = BIKE_COLUMNS if mode == BIKE else _layout(spark, path, layout)
+    header = header or mode != BIKE
+    lines = (
+        spark.read.schema(all_text(columns).add(WRONG_LINE, "string"))
+        .option("header", header)
+        .option("enforceSchema", not header)
+        .option("columnPruning", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", WRONG_LINE)
+        .csv(path)
+    )
     fits = _bike_types_fit() if mode == BIKE else F.lit(True)
+    never = F.length(f"`{columns[0]}`") < 0  # Spark wants a column of the file itself to be read
+    status = F.when(F.col(WRONG_LINE).isNotNull() | never, WRONG_WIDTH).when(fits, KEPT).otherwise(WRONG_TYPE)
+    return lines.withColumn(STATUS, status)
 
-    def read(drop_malformed: bool) -> DataFrame:
-        return _read_text_csv(spark, path, columns, header or mode != BIKE, drop_malformed)
 
-    every = read(False).agg(F.count(F.lit(1)).alias("lines"))
-    right = read(True).agg(F.count(F.lit(1)).alias("right"), F.count_if(fits).alias("kept"))
-    return every.join(F.broadcast(right)).select(  # one row each
-        F.lit(mode).alias("mode"), "lines", (F.col("lines") - F.col("right")).alias("wrong_width"),
-        (F.col("right") - F.col("kept")).alias("wrong_type"),
-    )
+def kept_trips(labelled: DataFrame, mode: str) -> DataFrame:
+    """The trip table of the lines that are kept."""
+    raw = labelled.where(F.col(STATUS) == KEPT).drop(STATUS, WRONG_LINE)
+    return bike_trips(typed_bike(raw, drop_malformed=False)) if mode == BIKE else taxi_trips(raw, mode)
+
+
+def malformed_lines(labelled: DataFrame, mode: str) -> DataFrame:
+    """How many lines are left out, and why: ``mode, lines, wrong_width, wrong_type``, one row."""
+    status = F.col(STATUS)
+    return labelled.agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(status == WRONG_WIDTH).alias("wrong_width"),
+        F.count_if(status == WRONG_TYPE).alias("wrong_type"),
+    ).select(F.lit(mode).alias("mode"), "lines", "wrong_width", "wrong_type")
+
+
+def malformed_rows(
+    spark: SparkSession, path: str | list[str], mode: str, layout: str | list[str] = "header",
+    header: bool = False,
+) -> DataFrame:
+    """What the readers leave out of raw files, see ``malformed_lines``; one scan."""
+    return malformed_lines(read_labelled(spark, path, mode, layout, header), mode)
 
 
 def _as_trips(
-    raw: DataFrame, mode: str, fields: dict[str, str], may_lack: tuple[str, ...] = ()
+    raw: DataFrame, mode: str, fields: dict[str, str], may_lack: tuple[str, ...] = (),
+    also: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Rename raw columns to trip fields.
+    """Rename raw columns to trip fields; the columns ``also`` stay as they are.
 
     Names are found without regard to letter case and to blanks around them.  A raw layout that
     lacks a column for one of ``fields`` stops here, unless it is one of ``may_lack``, which are
@@ -133,7 +168,22 @@ def _as_trips(
             value = F.col(f"`{source}`")
             value = F.trim(value) if field.name in ("start_id", "end_id") else value
         out.append(value.cast(field.dataType).alias(field.name))
-    return raw.select(*out)
+    return raw.select(*out, *also)
+
+
+#: Trip fields that a layout with points has no column for.
+_LOCATIONS = ("start_id", "end_id")
+
+
+def _taxi_fields(mode: str) -> dict[str, str]:
+    fields = {
+        "pickup": {YELLOW: "tpep_pickup_datetime", GREEN: "lpep_pickup_datetime"}[mode],
+        "start_id": "PULocationID",
+        "end_id": "DOLocationID",
+        "distance": "trip_distance",
+        "payment_type": "payment_type",
+    }
+    return fields | ({"trip_type": "trip_type"} if mode == GREEN else {})
 
 
 def bike_trips(raw: DataFrame) -> DataFrame:
@@ -151,18 +201,28 @@ def bike_trips(raw: DataFrame) -> DataFrame:
     )
 
 
+def taxi_point_trips(raw: DataFrame, mode: str = YELLOW) -> DataFrame:
+    """Raw taxi columns of a layout with points -> trip table with ``start_lat, start_lon, end_lat, end_lon``.
+
+    Feed it to ``operators.locate_points``.  Coordinates that are no numbers are NULL.
+    """
+    names = {c.strip().lower(): c for c in raw.columns}
+    points = {
+        f"{end}_{part}": names.get(f"{word}_{name}")
+        for end, word in (("start", "pickup"), ("end", "dropoff"))
+        for part, name in (("lat", "latitude"), ("lon", "longitude"))
+    }
+    if None in points.values():
+        raise ValueError(f"a layout with points is needed; found {raw.columns}")
+    kept = raw.withColumns({f"_{p}": F.trim(F.col(f"`{c}`")).try_cast("double") for p, c in points.items()})
+    return _as_trips(kept, mode, _taxi_fields(mode), _LOCATIONS, tuple(f"_{p}" for p in points)).select(
+        *TRIP_COLUMNS, *[F.col(f"_{p}").alias(p) for p in points]
+    )
+
+
 def taxi_trips(raw: DataFrame, mode: str = YELLOW) -> DataFrame:
     """Raw taxi columns -> trip table.  A layout without location ids gives NULL ids."""
-    fields = {
-        "pickup": {YELLOW: "tpep_pickup_datetime", GREEN: "lpep_pickup_datetime"}[mode],
-        "start_id": "PULocationID",
-        "end_id": "DOLocationID",
-        "distance": "trip_distance",
-        "payment_type": "payment_type",
-    }
-    if mode == GREEN:
-        fields["trip_type"] = "trip_type"
-    return _as_trips(raw, mode, fields, may_lack=("start_id", "end_id"))
+    return _as_trips(raw, mode, _taxi_fields(mode), _LOCATIONS)
 
 
 def read_bike_trips(spark: SparkSession, path: str | list[str], header: bool = False) -> DataFrame:
