@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -107,6 +108,11 @@ def spans_of(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
+#: Longer spans are hashed by BLAKE2: regular strings of a thousand bytes collide in a polynomial
+#: modulo 2**64.
+_SHORT = 64
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of bytes; equal bytes get equal hashes wherever they stand."""
     if not len(starts):
@@ -114,7 +120,11 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_BYTES[data] * _powers(len(data), _BASE), out=total[1:])
     value = (total[ends] - total[starts]) * _powers(len(data), _INVERSE)[starts]
-    return mix(value + (ends - starts).astype(np.uint64) * _ODD)
+    hashes = mix(value + (ends - starts).astype(np.uint64) * _ODD)
+    for k in np.flatnonzero(ends - starts > _SHORT).tolist():
+        digest = hashlib.blake2b(data[starts[k]:ends[k]].tobytes(), digest_size=8).digest()
+        hashes[k] = int.from_bytes(digest, "little")
+    return hashes
 
 
 LOWER = bytes(range(256)).lower()  # A-Z only

@@ -13,6 +13,9 @@ from .common import groups_of, word_hashes
 
 #: Pieces of more bytes are left to the tokenizer library; the rounds below are one merge each.
 LONG = 64
+#: Bytes that are merged at once: a place among them fits into the low bits of a rank (``_PLACE``).
+_PLACE = 22
+_AT_ONCE = 1 << (_PLACE - 2)
 
 
 #: Texts of letters beyond Latin-1 are cut into words first, and only their odd words are sent to
@@ -50,6 +53,28 @@ def _pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[:-1][word], at[1:][word]
 
 
+def _distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of an example of each different span, and for every span the number of its own.
+
+    Spans are grouped by hash and then held to their example's bytes.
+    """
+    _, example, which = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    size, model = ends - starts, example[which]
+    same = np.array_equal(size, size[model])
+    if same:
+        end = np.cumsum(size)
+        within = np.arange(end[-1] if len(end) else 0) - np.repeat(end - size, size)
+        same = np.array_equal(
+            data[np.repeat(starts, size) + within], data[np.repeat(starts[model], size) + within]
+        )
+    if not same:  # two spans of one hash
+        spans = [data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        number: dict[bytes, int] = {}
+        which = np.array([number.setdefault(s, len(number)) for s in spans])
+        example = np.unique(which, return_index=True)[1]
+    return example, which
+
+
 _NONE = np.int64(1) << 40
 
 
@@ -104,10 +129,12 @@ class WordTokens:
         rank = np.full(len(ids), _NONE)
         rank[:-1] = self._rank(ids[:-1], ids[1:])
         rank[ends] = _NONE
+        if len(ids) >= 1 << _PLACE:
+            raise ValueError("too many bytes at once")
         who = np.arange(len(pieces))
         while len(who):
-            least = np.minimum.reduceat((rank << 22) | np.arange(len(rank)), starts)
-            at, found = least & ((1 << 22) - 1), least >> 22
+            least = np.minimum.reduceat((rank << _PLACE) | np.arange(len(rank)), starts)
+            at, found = least & ((1 << _PLACE) - 1), least >> _PLACE
             done = found >= _NONE
             if done.any():
                 raw = ids.astype("<u4").tobytes()
@@ -142,12 +169,10 @@ class WordTokens:
 
     def _learn(self, new: list[bytes]) -> None:
         short = [p for p in new if len(p) <= LONG]
-        for first in range(0, len(short), 50_000):
-            part = short[first:first + 50_000]
-            merged = self.merge([
-                p if p.isascii() else p.decode("latin-1").encode() for p in part
-            ])
-            self.pieces.update(zip(part, merged, strict=True))
+        encoded = [p if p.isascii() else p.decode("latin-1").encode() for p in short]
+        for first, last in groups_of(encoded, _AT_ONCE):
+            merged = self.merge(encoded[first:last])
+            self.pieces.update(zip(short[first:last], merged, strict=True))
         long = (p for p in new if len(p) > LONG)
         self.pieces.update({p: self._library(p.decode("latin-1")) for p in long})
 
@@ -168,10 +193,7 @@ class WordTokens:
             starts, ends = _pieces(np.frombuffer(raw, dtype=np.uint8))
             if len(self.pieces) > self.remembered:
                 self.pieces.clear()
-            _, example, which = np.unique(
-                word_hashes(np.frombuffer(raw, dtype=np.uint8), starts, ends),
-                return_index=True, return_inverse=True,
-            )
+            example, which = _distinct(np.frombuffer(raw, dtype=np.uint8), starts, ends)
             spans = zip(starts[example].tolist(), ends[example].tolist(), strict=True)
             distinct = [raw[a:b] for a, b in spans]
             self._learn([p for p in distinct if p not in self.pieces])
