@@ -11,7 +11,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tripweave.llm import language, licenses, quality, queries, secrets, urls
+from tripweave.llm import language, licenses, quality, queries, secrets, tokens, urls
+from tripweave.llm.common import shingle_hashes
 from tripweave.llm.packing import Levels
 from tripweave.llm.tokens import WordTokens
 
@@ -39,6 +40,36 @@ def test_special_and_long_words():
     assert [np.frombuffer(x, "<u4").tolist() for x in TOKENS.ids(texts)] == [ids_of(t) for t in texts]
 
 
+def test_many_long_words_of_two_byte_letters():
+    """More bytes than one round of merges takes."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("éàöñß") for _ in range(63)) for _ in range(20_000)]
+    text = " ".join(words)
+    assert np.frombuffer(TOKENS.ids([text])[0], "<u4").tolist() == ids_of(text)
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(tokens, "word_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64))
+    texts = ["one two six ten", "abc two, abd"]
+    fresh = WordTokens(PATH)
+    assert [np.frombuffer(x, "<u4").tolist() for x in fresh.ids(texts)] == [ids_of(t) for t in texts]
+
+
+def twins():
+    """The Thue-Morse word of 1,024 letters and the one with letters swapped."""
+    word = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_regular_words_have_hashes_of_their_own():
+    a, b = twins()
+    assert [np.frombuffer(x, "<u4").tolist() for x in TOKENS.ids([a, b, f"{a} {b}"])] == [
+        ids_of(t) for t in (a, b, f"{a} {b}")
+    ]
+    x, y = shingle_hashes([a.encode(), b.encode()], 4)
+    assert x[0] != y[0]
+
+
 def test_packing_is_a_round_trip(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     pieces = queries.op1_packing(spark, SF_DIR).collect()
@@ -150,24 +181,41 @@ def test_phrases(spark):
 
 def test_matching_statistics():
     rng = random.Random(6)
-    for _ in range(60):
-        sequences = [[rng.randrange(4) for _ in range(rng.randint(1, 12))] for _ in range(3)]
-        a = licenses.Automaton()
+    for turn in range(80):
+        sequences = [[rng.randrange(3) for _ in range(rng.randint(1, 10))] for _ in range(4)]
+        sequences[3] = sequences[0][1:4] or [1]  # one inside another
+        a, least = licenses.Automaton(), 1 + turn % 3
         for k, s in enumerate(sequences):
             a.add(s, k)
-        subs = {tuple(s[i:j]): None for s in sequences for i in range(len(s)) for j in range(i + 1, len(s) + 1)}
-        words = [rng.randrange(5) for _ in range(25)]
+        words = [rng.randrange(4) for _ in range(25)]
         want = []
-        for e in range(1, 26):
-            size = max((n for n in range(1, e + 1) if tuple(words[e - n:e]) in subs), default=0)
-            if size and (e == 25 or tuple(words[e - size:e + 1]) not in subs):
-                want.append((e - size, size))
-        found = list(a.matches(words))
-        assert [(s, n) for s, n, _ in found] == want
-        for s, n, state in found:
-            ends = sorted((k, j) for k, q in enumerate(sequences) for j in range(len(q))
-                          if q[max(0, j - n + 1):j + 1] == words[s:s + n])
-            assert sorted(a.ends[state]) == ends
+        for k, s in enumerate(sequences):
+            subs = {tuple(s[i:j]) for i in range(len(s)) for j in range(i + 1, len(s) + 1)}
+            longest = [
+                max((n for n in range(1, e + 1) if tuple(words[e - n:e]) in subs), default=0) for e in range(26)
+            ]
+            for e, n in enumerate(longest):
+                if n >= min(least, len(s)) and (e == 25 or longest[e + 1] != n + 1):
+                    want += [(k, e - n, i, n) for i in range(len(s) - n + 1) if s[i:i + n] == words[e - n:e]]
+        found = a.matches(words, a.parts([len(s) for s in sequences], least))
+        assert sorted((k, *m) for k, some in found.items() for m in some) == sorted(want)
+
+
+def test_every_notice_of_a_template_is_found():
+    """Two notices close by, one in another template, and many in a row."""
+    notice = " ".join(f"w{i}" for i in range(20))
+    more = " ".join(f"m{i}" for i in range(30))
+    outer = f"before this {notice} and {more}"
+    index = licenses.LicenseIndex({"inner": [notice], "outer": [outer]}, {})
+
+    def spans(text):
+        return [(s["label"], s["start"], s["end"]) for s in index.scan(text.encode())["spans"]]
+
+    assert spans(f"{notice} a b c d e f {notice}") == [("inner", 0, 20), ("inner", 26, 46)]
+    assert spans(outer) == [("outer", 0, 53), ("inner", 2, 22)]
+    assert spans(" ".join([notice] * 40)) == [("inner", 20 * k, 20 * k + 20) for k in range(40)]
+    broken = notice.replace("w9 ", "x ")
+    assert spans(f"{broken} {broken} w1 w2") == [("inner", 0, 20), ("inner", 20, 40)]
 
 
 def test_altered_notices():
@@ -244,26 +292,41 @@ def test_distrust_spreads_against_links(spark):
         assert abs(got[page][kind] - mass) < 1e-9
 
 
-def test_propagation_is_the_power_series(spark):
-    rng = np.random.default_rng(9)
-    n = 12
-    a = rng.random((n, n)) < 0.25
-    np.fill_diagonal(a, False)
-    seeds = {"trust": rng.random(n) * (rng.random(n) < 0.4), "distrust": rng.random(n) * (rng.random(n) < 0.4)}
+def check_propagation(spark, a, seeds):
+    """Against the solution of the dense equations, which is the whole series."""
+    n = len(a)
     edges = [(str(i), str(j)) for i, j in zip(*np.nonzero(a), strict=True)]
     rows = [(str(i), k, float(s[i])) for k, s in seeds.items() for i in range(n) if s[i]]
     out = urls.propagate(
         spark.createDataFrame(rows, "host string, kind string, mass double"),
-        spark.createDataFrame(edges, "source string, target string"), rounds=6,
+        spark.createDataFrame(edges, "source string, target string"),
     ).collect()
     for kind, m in (("trust", a), ("distrust", a.T)):
         p = m / np.maximum(m.sum(axis=1, keepdims=True), 1)
-        want = x = seeds[kind]
-        for _ in range(6):
-            x = seeds[kind] + urls.DAMPING * p.T @ x
-        want = {str(i): x[i] for i in range(n) if x[i] > 1e-12}
-        got = {r["host"]: r["mass"] for r in out if r["kind"] == kind and r["mass"] > 1e-12}
-        assert got.keys() == want.keys() and all(abs(got[h] - want[h]) < 1e-9 for h in want)
+        want = np.linalg.solve(np.eye(n) - urls.DAMPING * p.T, seeds[kind])
+        got = {r["host"]: r["mass"] for r in out if r["kind"] == kind}
+        assert all(abs(got.get(str(i), 0.0) - want[i]) <= 1.1 * urls.LEAST_CHANGE for i in range(n))
+
+
+def test_propagation_is_the_whole_series(spark):
+    rng = np.random.default_rng(9)
+    n = 12
+    a = rng.random((n, n)) < 0.25
+    np.fill_diagonal(a, False)
+    check_propagation(spark, a, {
+        k: rng.random(n) * (rng.random(n) < 0.4) for k in ("trust", "distrust")
+    })
+
+
+def test_propagation_along_a_long_chain(spark):
+    """Thirty hosts one after the other, the last of which links to twenty blocked ones."""
+    a = np.zeros((50, 50), dtype=bool)
+    for i in range(29):
+        a[i, i + 1] = True
+    a[29, 30:] = True
+    distrust = np.zeros(50)
+    distrust[30:] = 1.0
+    check_propagation(spark, a, {"trust": np.zeros(50), "distrust": distrust})
 
 
 def test_every_language_is_learned(spark):

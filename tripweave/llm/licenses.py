@@ -137,12 +137,39 @@ class Automaton:
                 self.ends[state].append((number, index))
                 state = self.link[state]
 
-    def matches(self, words: list[int]) -> Iterator[tuple[int, int, int]]:
-        """(start, length, state) of the longest matches that cannot be extended to the right."""
+    def parts(self, sizes: list[int], least: int) -> list[list[tuple[int, int, list[int], int]]]:
+        """For each state (sequence, length, last indices, least length) of its longest suffix in each.
+
+        Suffixes shorter than ``least`` words, or than the whole sequence, are left out.  A suffix
+        that other sequences end longer ones with is found over the links.
+        """
+        out: list[list[tuple[int, int, list[int], int]]] = []
+        needed = [min(least, n) for n in sizes]
+        for state in range(len(self.step)):
+            seen: dict[int, tuple[int, list[int]]] = {}
+            at = state
+            while at > 0:
+                here: dict[int, list[int]] = {}
+                for sequence, last in self.ends[at]:
+                    here.setdefault(sequence, []).append(last)
+                for sequence, lasts in here.items():
+                    seen.setdefault(sequence, (self.length[at], lasts))
+                at = self.link[at]
+            out.append([
+                (k, size, lasts, needed[k]) for k, (size, lasts) in seen.items() if size >= needed[k]
+            ])
+        return out
+
+    def matches(self, words: list[int], parts) -> dict[int, list[tuple[int, int, int]]]:
+        """(start, place in the sequence, length) of all matches of each sequence, by their ends.
+
+        Matching statistics: after each word, for every sequence, the longest string that ends here
+        and is in it.  One that the next word does not make longer is a match.
+        """
+        out: dict[int, list[tuple[int, int, int]]] = {}
+        now: dict[int, tuple[int, list[int]]] = {}
         state = held = 0
-        for index, word in enumerate(words):
-            if held and word not in self.step[state]:
-                yield index - held, held, state
+        for index, word in enumerate([*words, -1]):
             while state and word not in self.step[state]:
                 state = self.link[state]
                 held = self.length[state]
@@ -150,8 +177,31 @@ class Automaton:
                 state, held = self.step[state][word], held + 1
             else:
                 state = held = 0
-        if held:
-            yield len(words) - held, held, state
+            after = {
+                k: (min(size, held), lasts) for k, size, lasts, need in parts[state] if held >= need
+            }
+            for k, (size, lasts) in now.items():
+                if k not in after or after[k][0] != size + 1:
+                    out.setdefault(k, []).extend((index - size, last - size + 1, size) for last in lasts)
+            now = after
+        return out
+
+
+def _best_chain(found: list[tuple[int, int, int]]) -> tuple[int, int, int]:
+    """Covered words, start and end of the best chain of matches (start, place, size), given by ends."""
+    best = []  # covered words, start of the chain
+    for k, (start, place, size) in enumerate(found):
+        covered, begin = size, start
+        for j in range(k - 1, -1, -1):
+            s, p, n = found[j]
+            if start - (s + n) > MOST_GAP:
+                break
+            over = max(0, s + n - start, p + n - place)
+            if s < start and p < place and over < size and best[j][0] + size - over > covered:
+                covered, begin = best[j][0] + size - over, best[j][1]
+        best.append((covered, begin))
+    covered, begin, end = max((c, -b, s + n) for (c, b), (s, _, n) in zip(best, found, strict=True))
+    return covered, -begin, end
 
 
 @dataclass
@@ -170,6 +220,7 @@ class LicenseIndex:
                 self.automaton.add(words, len(self.labels))
                 self.labels.append(label)
                 self.sizes.append(len(words))
+        self.parts = self.automaton.parts(self.sizes, LEAST_MATCH)
         self.fixed = [
             ([self._number(w) for w in words_of(p.encode())], label)
             for p, label in self.phrases.items()
@@ -179,29 +230,31 @@ class LicenseIndex:
         return self.number.setdefault(word, len(self.number))
 
     def chains(self, words: list[int], offset: int) -> list[tuple[int, int, int, float]]:
-        """(start, end, template, cover) of the best chains of matches in a run of known words."""
-        by_template: dict[int, list[tuple[int, int, int]]] = {}
-        for start, size, state in self.automaton.matches(words):
-            for template, last in self.automaton.ends[state]:
-                if size >= min(LEAST_MATCH, self.sizes[template]):
-                    by_template.setdefault(template, []).append((start, last - size + 1, size))
+        """(start, end, template, cover) of chains of matches in a run of known words.
+
+        Of each template the chain that covers most of it, the first of equal ones; then the best
+        before it and the best after it, and so on: chains of one template do not overlap.
+        """
         out = []
-        for template, found in by_template.items():
-            best = []  # covered words, start of the chain
-            for k, (start, place, size) in enumerate(found):
-                covered, begin = size, start
-                for j in range(k - 1, -1, -1):
-                    s, p, n = found[j]
-                    if start - (s + n) > MOST_GAP:
-                        break
-                    over = max(0, s + n - start, p + n - place)
-                    if s < start and p < place and over < size and best[j][0] + size - over > covered:
-                        covered, begin = best[j][0] + size - over, best[j][1]
-                best.append((covered, begin))
-            covered, begin, end = max(
-                (c, -b, s + n) for (c, b), (s, _, n) in zip(best, found, strict=True)
-            )
-            out.append((offset - begin, offset + end, template, min(1.0, covered / self.sizes[template])))
+        for template, found in self.automaton.matches(words, self.parts).items():
+            size, last = self.sizes[template], -MOST_GAP - 1
+            near: list[list[tuple[int, int, int]]] = []  # chains lie within such a group
+            for match in found:  # by their ends
+                if match[2] < min(LEAST_MATCH, size):
+                    continue
+                if match[0] - last > MOST_GAP:
+                    near.append([])
+                near[-1].append(match)
+                last = match[0] + match[2]
+            while near:
+                group = near.pop()
+                covered, begin, end = _best_chain(group)
+                if covered < LEAST_COVER * size:
+                    continue
+                out.append((offset + begin, offset + end, template, min(1.0, covered / size)))
+                for rest in ([m for m in group if m[0] + m[2] <= begin], [m for m in group if m[0] >= end]):
+                    if rest:
+                        near.append(rest)
         return out
 
     def scan(self, text: bytes) -> dict:
@@ -225,9 +278,7 @@ class LicenseIndex:
             joined = np.flatnonzero(np.concatenate(([True], starts[1:] - ends[:-1] > MOST_GAP)))
             for a, b in zip(joined, [*joined[1:], len(starts)], strict=True):
                 first, last = int(starts[a]), int(ends[b - 1])
-                spans += [
-                    s for s in self.chains(ids[first:last].tolist(), first) if s[3] >= LEAST_COVER
-                ]
+                spans += self.chains(ids[first:last].tolist(), first)
         return {
             "n_words": len(words),
             "places": [{"word": p, "label": label} for p, label in sorted(places)],
@@ -260,8 +311,8 @@ def find_licenses(
 
     Places are where the words of a fixed phrase stand one after the other; they may overlap.  Spans
     are where matches of at least ``LEAST_MATCH`` words with a template, in its order and at most
-    ``MOST_GAP`` words apart, cover ``LEAST_COVER`` of it; of each template and stretch of text the
-    best.  Words are counted from 0.  Null and empty texts have no words; rows of equal or null ids
+    ``MOST_GAP`` words apart, cover ``LEAST_COVER`` of it: all that do not overlap, best ones first;
+    templates in others are found too.  Words are counted from 0.  Null and empty texts have no words; rows of equal or null ids
     are scanned each for itself; other columns are not read.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
