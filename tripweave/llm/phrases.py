@@ -29,8 +29,6 @@ _PARTS = 64
 #: Bits of a filter of frequent fingerprints: 16 for each, this many at most (16 MB).
 _MOST_BITS = 1 << 27
 _PROBES = 4
-#: Phrases that a task adds up before it sends them off.
-_TALLIED = 300_000
 
 
 def _reduced(x: np.ndarray) -> np.ndarray:
@@ -201,13 +199,13 @@ def _stretches(prints: Fingerprints, words: Words, filters: list[Filter], sizes:
 
 
 def _words(batch: pa.RecordBatch) -> Iterator[tuple[Words, pa.Array]]:
-    """Words of the texts of a batch, by id, in groups of some megabytes, and the ids."""
+    """Words of the texts of a batch, by id, in groups of a megabyte, and the ids."""
     batch = batch.take(pc.sort_indices(batch.column(0)))
     langs = batch.column(1).fill_null(NO_LANG).dictionary_encode()
     texts = text_bytes(batch.column(2))
     codes = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     names = langs.dictionary.to_pylist()
-    for first, last in groups_of(texts, 3_000_000):
+    for first, last in groups_of(texts, 1_000_000):
         yield Words(texts[first:last], codes[first:last], names), batch.column(0).slice(first, last - first)
 
 
@@ -242,63 +240,38 @@ def _grouped(words: Words, at: np.ndarray, keys: np.ndarray, size: int):
     return at[first], n
 
 
-class _Tally:
-    """Counts and least ids of phrases, by language, size and text, until they are sent off."""
-
-    def __init__(self, schema: pa.Schema):
-        self.schema, self.held = schema, {}
-
-    def add(self, lang: str, size: int, phrase: bytes, n: int, doc) -> None:
-        known = self.held.get((lang, size, phrase))
-        if known is None:
-            self.held[lang, size, phrase] = [n, doc]
-            return
-        known[0] += n
-        if known[1] is None or (doc is not None and doc < known[1]):
-            known[1] = doc
-
-    def send(self) -> pa.RecordBatch:
-        lang, size, phrase = zip(*self.held, strict=True) if self.held else ((), (), ())
-        n, doc = zip(*self.held.values(), strict=True) if self.held else ((), ())
-        self.held = {}
-        return pa.RecordBatch.from_arrays([
-            pa.array(lang, pa.string()), pa.array(size, pa.int32()),
-            pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()),
-            pa.array(doc, self.schema.types[4]),
-        ], schema=self.schema)
-
-
 def _written(longest: int, held: list, schema: pa.Schema):
     """Texts and counts of stretches that pass the filters; and as the empty one, of all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prints, filters, tally = Fingerprints(longest), [f.value for f in held], _Tally(schema)
+        prints, filters = Fingerprints(longest), [f.value for f in held]
         for batch in batches:
             for words, ids in _words(batch):
-                ids, names = ids.to_pylist(), words.names
                 found: dict[int, list] = {}
                 for size, at, keys in _stretches(prints, words, filters, range(2, longest + 1)):
                     found.setdefault(size, []).append((at, keys))
                 code, keys, n = words.single()
-                first = np.zeros(len(words.prints) * len(names), dtype=np.int64)
+                total = np.bincount(code % len(words.names), weights=n, minlength=len(words.names))
+                first = np.zeros(len(words.prints) * len(words.names), dtype=np.int64)
                 first[words.codes[::-1]] = np.arange(len(words))[::-1]
                 often = filters[0](keys)
+                used = np.flatnonzero(total)
                 parts = [(1, first[code[often]], n[often])]
                 for size, some in found.items():
                     at, keys = (np.concatenate(x) for x in zip(*some, strict=True))
                     parts.append((size, *_grouped(words, at, keys, size)))
-                total = np.bincount(code % len(names), weights=n, minlength=len(names))
-                for k in np.flatnonzero(total).tolist():
-                    tally.add(names[k], 0, b"", int(total[k]), None)
-                for size, at, n in parts:
-                    doc = np.searchsorted(words.text_ends, at, "right")
-                    for i, k, lang, m in zip(
-                        at.tolist(), doc.tolist(), words.langs[at].tolist(), n.tolist(), strict=True
-                    ):
-                        tally.add(names[lang], size, words.phrase(i, size), m, ids[k])
-                if len(tally.held) > _TALLIED:
-                    yield tally.send()
-        yield tally.send()
+                at = np.concatenate([a for _, a, _ in parts])
+                doc = np.concatenate((np.zeros(len(used), np.int64), np.searchsorted(words.text_ends, at, "right")))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(words.names, pa.string()).take(pa.array(np.concatenate((used, words.langs[at])))),
+                    pa.array(np.repeat([0] + [size for size, _, _ in parts],
+                                       [len(used)] + [len(a) for _, a, _ in parts]).astype(np.int32)),
+                    pa.array([b""] * len(used) + [
+                        words.phrase(i, size) for size, a, _ in parts for i in a.tolist()
+                    ], pa.binary()).cast(pa.string()),
+                    pa.array(np.concatenate([total[used].astype(np.int64), *[n for _, _, n in parts]])),
+                    ids.take(pa.array(doc)),
+                ], schema=schema)
 
     return run
 
@@ -316,7 +289,7 @@ def phrase_counts(
        frequent, by prefix polynomials, and counts hashes; a shuffle adds them up.  Those of
        ``least`` and more go into a filter of bounded size.
     2. A last scan groups the stretches that pass by hash, with the place of an occurrence, holds
-       all occurrences to the words there, and adds up by text what it sends off.  These counts are
+       all occurrences to the words there, and writes the phrase out once a task.  These counts are
        added up by text, so a hash that two phrases share changes nothing.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
