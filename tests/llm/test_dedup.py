@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tripweave.llm import queries, repeats
 from tripweave.llm.common import shingle_hashes
 from tripweave.llm.components import components
-from tripweave.llm.decontaminate import RADIUS, leaks
+from tripweave.llm.decontaminate import RADIUS, candidates, leaks, shingles_of, words_of as split_words
 from tripweave.llm.exact import copies, frequent_digests
 from tripweave.llm.near import bands, near_copies, sketches
 from tripweave.llm.suffixes import common_prefixes, suffix_order
@@ -245,7 +245,33 @@ def test_leaks_that_lost_words_in_a_row(spark):
     ).collect()
     got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in found}
     assert got == pytest.approx(want) and len(want) > 250
-    assert any(r["distance"] > RADIUS for r in found)
+    by = Counter(r["found_by"] for r in found)
+    assert by["blocks"] > 0.8 * len(found) and by["counts"] > 0
+    assert all((r["distance"] <= RADIUS) == (r["found_by"] == "blocks") for r in found)
+
+
+def test_leaks_do_not_join_common_openings(spark):
+    opening = "which of the following statements is correct "
+    texts = {i: opening + " ".join(f"d{i}x{j}" for j in range(40)) for i in range(400)}
+    texts[400] = opening + " ".join(f"i7x{j}" for j in range(30)) + " tail words"
+    docs = table(spark, texts)
+    items = spark.createDataFrame(
+        [(k, opening + " ".join(f"i{k}x{j}" for j in range(30))) for k in range(400)],
+        "item_id bigint, text string",
+    )
+    found = leaks(docs, items).collect()
+    assert [(r["doc_id"], r["item_id"], r["start"], r["similarity"]) for r in found] == [(400, 7, 0, 1.0)]
+    grams = items.select(
+        F.col("item_id").alias("item"), F.size(split_words(F.col("text"))).alias("size"),
+        F.posexplode(shingles_of(split_words(F.col("text")))).alias("at", "gram"),
+    )
+    places = docs.select(
+        F.col("doc_id").alias("doc"), F.lit(b"").alias("digest"),
+        F.size(split_words(F.col("text"))).alias("n"),
+        F.posexplode(shingles_of(split_words(F.col("text")))).alias("place", "gram"),
+    ).join(grams.select("gram").distinct(), "gram")
+    assert places.count() == 400 * 3 + 33
+    assert [(r["doc"], r["item"]) for r in candidates(places, grams, 400 * 33, 0.8).collect()] == [(400, 7)]
 
 
 def test_leaks_of_the_test_documents(spark, texts):

@@ -1,4 +1,4 @@
-"""Benchmark decontamination: item-sized windows by counts of shared shingles, exact check, SimHash.
+"""Benchmark decontamination: SimHash of item-sized windows, multi-index search, exact check.
 
 Spark's own functions only.
 """
@@ -13,9 +13,11 @@ from .exact import digest_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Bits of 64 within which nearly all windows stay whose edits are scattered.  No window is left out
-#: for its distance: one that lost many words in a row may be farther.
+#: Fingerprints of 64 bits in 8 blocks.  Two that differ in at most RADIUS bits have a block that
+#: differs in at most RADIUS // 8 = 1 bit, and the items are indexed under all such block values.
+#: Windows beyond the radius (some that lost many words in a row) are found by counts instead.
 RADIUS = 15
+BLOCKS = 8
 #: Tables of the items are broadcast up to so many rows (16 bytes each), else shuffled.
 BROADCAST_ROWS = 2_000_000
 
@@ -63,10 +65,60 @@ def fingerprints(windows: DataFrame, keys: list[str], words: str = "words") -> D
     return counted.select(*keys, bits.alias("fingerprint"))
 
 
+def _blocks(fingerprint: Column, near: bool) -> Column:
+    """(block, value) for each block; with ``near`` also for all values that differ in one bit."""
+    width = 64 // BLOCKS
+    flips = [0, *[1 << bit for bit in range(width)]] if near else [0]
+    return F.array(*[
+        F.struct(
+            F.lit(k).alias("block"),
+            F.shiftrightunsigned(fingerprint, k * width).bitwiseAND(F.lit((1 << width) - 1))
+            .bitwiseXOR(F.lit(flip).cast("bigint")).alias("value"),
+        )
+        for k in range(BLOCKS) for flip in flips
+    ])
+
+
 def _sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("merge")
 
 
+def rare_shingles(grams: DataFrame, times: DataFrame, similarity: float) -> DataFrame:
+    """item, size, gram: of each item so many of its least frequent shingles that no similar window
+    lacks them all.
+
+    A window of no more shingles than the item's m has at least ``similarity`` * m in common with it,
+    so it lacks m - ceil(similarity * m) at most, and one more than that cannot all be missing.
+    """
+    listed = grams.join(times, "gram", "left").groupBy("item", "size").agg(
+        F.array_sort(F.collect_list(
+            F.struct(F.coalesce("times", F.lit(0)).alias("times"), "gram")
+        )).alias("by_times")
+    )
+    m = F.size("by_times")
+    spare = m - F.ceil(m * F.lit(similarity) - F.lit(1e-6)).cast("int")
+    rarest = F.slice("by_times", F.lit(1), spare + F.lit(1))
+    return listed.select(
+        "item", "size", F.explode(F.array_distinct(rarest.getField("gram"))).alias("gram")
+    )
+
+
+def candidates(places: DataFrame, grams: DataFrame, n_grams: int, similarity: float) -> DataFrame:
+    """doc, digest, item, size, cell: where a window similar to the item may begin.
+
+    Cells are stretches of the item's size; a window that begins in one ends in the next at the
+    latest, so a shingle in a cell speaks for that cell and the one before.
+    """
+    times = places.groupBy("gram").agg(F.count(F.lit(1)).alias("times"))
+    rare = cut(rare_shingles(grams, times, similarity))
+    cell = F.floor(F.col("place") / F.col("size")).cast("int")
+    return places.join(_sized(rare, n_grams), "gram").select(
+        "doc", "digest", "n", "item", "size", F.explode(F.array(cell, cell - 1)).alias("cell")
+    ).where(
+        (F.col("cell") >= 0) & (F.col("cell") * F.col("size") <= F.greatest(F.lit(0), F.col("n") - F.col("size")))
+    ).select("doc", "digest", "item", "size", "cell").distinct()
+
+
 def _passages(
     docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str,
     similarity: float,
@@ -87,68 +139,102 @@ def _passages(
         F.col(doc_id).alias("doc"), F.unhex(digest_of(F.col(text))).alias("digest"),
         F.col(text).alias("text"),
     )
-    places = read.select(*row, words_of(F.col("text")).alias("words")).select(
-        *row, F.size("words").alias("n"), F.posexplode(shingles_of(F.col("words")))
-    ).withColumnsRenamed({"pos": "place", "col": "gram"})
-    aligned = F.col("place") - F.col("at")
+    # One row a place, however many items have its shingle.
+    places = cut(
+        read.select(*row, words_of(F.col("text")).alias("words")).select(
+            *row, F.size("words").alias("n"), F.posexplode(shingles_of(F.col("words")))
+        ).withColumnsRenamed({"pos": "place", "col": "gram"})
+        .join(_sized(grams.select("gram").distinct(), n_grams), "gram")
+    )
+    region = F.xxhash64(*row, "size", "cell").alias("region")
+    wanted = cut(candidates(places, grams, n_grams, similarity).select("*", region))
+    by_doc = wanted.groupBy(*row).agg(F.collect_set(F.struct("size", "cell")).alias("cells"))
+    same = (read["digest"] == by_doc["digest"]) & read["doc"].eqNullSafe(by_doc["doc"])
+    begin = F.col("cell") * F.col("size")
+    regions = cut(
+        read.join(by_doc.hint("merge"), same)
+        .select(read["doc"], read["digest"], words_of(F.col("text")).alias("words"),
+                F.explode("cells").alias("at"))
+        .select(*row, "words", "at.size", "at.cell")
+        .select(*row, F.size("words").alias("n"), "size", "cell", region,
+                F.slice("words", begin + F.lit(1), F.col("size") * 2).alias("words"))
+        .dropDuplicates(["region"])
+    )
+
+    last = F.greatest(F.lit(0), F.col("n") - F.col("size"))
     starts = F.array_distinct(F.array(*[
-        F.greatest(F.lit(0), F.least(s, F.col("n") - F.col("size"))) for s in (aligned, F.col("place"))
+        F.greatest(F.lit(0), F.least(s, last)) for s in (F.col("place") - F.col("at"), F.col("place"))
     ]))
-
-    def cell(place: Column) -> Column:
-        return F.floor(place / F.col("size")).cast("int")
-
-    # A window that starts in a cell (of the item's size) ends in the next one at the latest.
-    hits = places.join(_sized(grams, n_grams), "gram").select(
-        *row, "n", "item", "size", "place", starts.alias("starts"),
-        F.explode(F.array(cell(F.col("place")), cell(F.col("place")) - 1)).alias("cell"),
-    ).withColumn("starts", F.filter("starts", lambda s: cell(s) == F.col("cell")))
+    hits = (
+        regions.select("region", "n", "cell", begin.alias("begin"), F.posexplode(shingles_of(F.col("words"))))
+        .join(wanted.select("region", "item").hint("merge"), "region")
+        .withColumnsRenamed({"col": "gram"}).withColumn("place", F.col("begin") + F.col("pos"))
+        .join(_sized(grams, n_grams), ["item", "gram"])
+        .withColumn("starts", F.filter(starts, lambda s: F.floor(s / F.col("size")) == F.col("cell")))
+    )
     window = F.least("n", "size") - F.lit(SHINGLE - 1)
     total = window + F.col("size") - F.lit(SHINGLE - 1)
     needed = F.ceil(total * F.lit(similarity / (1 + similarity)) - F.lit(1e-6))
     inside = F.filter("places", lambda p: (p >= F.col("start")) & (p < F.col("start") + window))
     laid = cut(
-        hits.groupBy(*row, "n", "item", "size", "cell").agg(
+        hits.groupBy("region", "item", "n", "size").agg(
             F.collect_set("place").alias("places"), F.collect_set("starts").alias("starts")
-        ).where(F.size("places") >= needed)
-        .withColumn("start", F.explode(F.array_distinct(F.flatten("starts"))))
-        .where(F.size(inside) >= needed)
-        .select(*row, "item", "size", "start", F.xxhash64(*row, "size", "start").alias("key"))
+        ).withColumn("start", F.explode(F.array_distinct(F.flatten("starts"))))
+        .select("region", "item", "size", "start", F.xxhash64("region", "start").alias("key"),
+                (F.size(inside) >= needed).alias("enough"))
     )
-    by_doc = laid.groupBy(*row).agg(
-        F.collect_set(F.struct("key", "start", "size")).alias("windows")
+    windows = (
+        regions.join(
+            laid.groupBy("region").agg(F.collect_set(F.struct("start", "key")).alias("w")).hint("merge"),
+            "region",
+        ).select(*row, "size", begin.alias("begin"), "words", F.explode("w").alias("w"))
+        .select(*row, "size", "w.key", "w.start", F.slice(
+            "words", F.col("w.start") - F.col("begin") + F.lit(1), F.col("size")
+        ).alias("words"))
     )
-    same = (read["digest"] == by_doc["digest"]) & read["doc"].eqNullSafe(by_doc["doc"])
-    windows = cut(
-        read.join(by_doc.hint("merge"), same)
-        .select(words_of(F.col("text")).alias("words"), F.explode("windows").alias("w"))
-        .select("w.key", F.slice("words", F.col("w.start") + F.lit(1), F.col("w.size")).alias("words"))
-        .dropDuplicates(["key"])
+
+    prints = cut(fingerprints(windows, ["key", "size"]))
+    item_prints = cut(
+        fingerprints(items, ["item", "size"], "item_words")
+        .withColumnRenamed("fingerprint", "item_print")
     )
+    distance = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print")))
+    index = item_prints.select(
+        "item", "size", "item_print", F.inline(_blocks(F.col("item_print"), near=True))
+    )
+    n_index = item_prints.count() * BLOCKS * (64 // BLOCKS + 1)
+    near = (
+        prints.select("key", "size", "fingerprint", F.inline(_blocks(F.col("fingerprint"), near=False)))
+        .join(_sized(index, n_index), ["size", "block", "value"])
+        .where(distance <= RADIUS)
+        .select("key", "item", distance.alias("distance"), F.lit("blocks").alias("found_by")).distinct()
+    )
+    far = (
+        laid.where("enough").select("key", "item")
+        .join(prints.select("key", "fingerprint").hint("merge"), "key")
+        .join(_sized(item_prints.select("item", "item_print"), n_grams), "item")
+        .where(distance > RADIUS)
+        .select("key", "item", distance.alias("distance"), F.lit("counts").alias("found_by"))
+    )
+    pairs = cut(near.unionByName(far))
 
     side = ["key", "item", "gram"]
-    pairs = laid.select("key", "item").distinct()
-    ours = pairs.join(windows.hint("merge"), "key").select(
+    ours = pairs.join(windows.select("key", "words").hint("merge"), "key").select(
         "key", "item", F.explode(shingles_of(F.col("words"))).alias("gram"),
         F.lit(1).alias("here"), F.lit(0).alias("there"),
     )
     theirs = pairs.join(_sized(grams, n_grams), "item").select(
         "key", "item", "gram", F.lit(0).alias("here"), F.lit(1).alias("there")
     )
-    weighed = cut(ours.unionByName(theirs).groupBy(*side).agg(
+    weighed = ours.unionByName(theirs).groupBy(*side).agg(
         F.sum("here").alias("here"), F.sum("there").alias("there")
     ).groupBy("key", "item").agg(
         (F.sum(F.least("here", "there")) / F.sum(F.greatest("here", "there"))).alias("similarity")
-    ).where(F.col("similarity") >= similarity))
-
-    ends = windows.join(weighed.select("key").distinct().hint("merge"), "key")
-    prints = fingerprints(items, ["item"], "item_words").withColumnRenamed("fingerprint", "item_print")
-    distance = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print")))
-    return weighed.join(fingerprints(ends, ["key"]).hint("merge"), "key").join(
-        _sized(prints, n_grams), "item"
-    ).join(laid.select(*row, "item", "start", "key").hint("merge"), ["key", "item"]).select(
-        *row, "item", "start", distance.alias("distance"), "similarity"
-    )
+    ).where(F.col("similarity") >= similarity)
+    of_key = laid.select("key", "region", "start").distinct().join(
+        regions.select(*row, "region").hint("merge"), "region"
+    ).drop("region")
+    return weighed.join(pairs.hint("merge"), ["key", "item"]).join(of_key.hint("merge"), "key")
 
 
 def leaks(
@@ -156,31 +242,35 @@ def leaks(
     item_id: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY,
 ) -> DataFrame:
     """One row per document and benchmark item that a passage of it repeats: doc_id, item_id, start
-    (first word of the best window), distance (of the fingerprints), similarity.
+    (first word of the best window), distance (of the fingerprints), similarity, found_by.
 
     A window has as many words as the item (or is the whole of a shorter document).  Similarity is
     the weighted Jaccard similarity of five-word shingles, each weighing as often as it occurs.
 
-    1. A window that shares no shingle with an item has similarity 0 to it, so windows are laid only
-       where a shingle of an item stands: aligned with it, and beginning at it.
-    2. A window of n and an item of m shingles whose similarity is s have s (n + m) / (1 + s) in
-       common, so a window goes on only if at so many of its places a shingle of the item stands.
-       No similar window is lost by that, wherever its words differ.
-    3. Those pairs are verified by their shingles, counted exactly.
-    4. The distance of a found pair is that of the 64-bit SimHash fingerprints of window and item.
+    1. A window similar to an item holds one of the item's rarest shingles (``rare_shingles``; by
+       their places in all documents), so regions of two item sizes are read around these only, and a
+       phrase that many items and documents share joins none of them.  Windows are laid where a
+       shingle of the item stands in a region: aligned with it, and beginning at it.
+    2. All these windows get 64-bit SimHash fingerprints.  Items of the window's size within
+       ``RADIUS`` bits are found by blocks (``found_by`` is ``blocks``).
+    3. A window beyond the radius (one that lost many words in a row may be) goes on if so many
+       places in it hold a shingle of the item as the similarity needs: of n and m shingles, those
+       of similarity s have s (n + m) / (1 + s) in common (``found_by`` is ``counts``).
+    4. Those pairs are verified by their shingles, counted exactly.
 
+    Jobs run while the table is built, even for ``explain()``.
     Items of fewer than five words are no evidence and match nothing; null or empty texts have no
     words.  Rows of equal id are looked through each for itself and reported under that id; null
     ids are kept apart from others only as null.  Other columns are not read.
     """
     found = _passages(docs, items, doc_id, text, item_id, item_text, similarity)
-    best = F.struct("similarity", -F.col("start"), -F.col("distance"))
+    best = F.struct("similarity", -F.col("start"), -F.col("distance"), "found_by")
     return found.groupBy("doc", "item").agg(
         F.max(best).alias("best")
     ).select(
         F.col("doc").alias("doc_id"), F.col("item").alias("item_id"),
         (-F.col("best.col2")).alias("start"), (-F.col("best.col3")).alias("distance"),
-        F.col("best.similarity").alias("similarity"),
+        F.col("best.similarity").alias("similarity"), F.col("best.found_by").alias("found_by"),
     )
 
 
