@@ -4,9 +4,11 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -338,4 +340,52 @@ def test_every_language_is_learned(spark):
             rows.append((len(rows), " ".join(rng.choices(words[k], k=30)), f"l{k:03d}"))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     model = language.train(docs, family_of={f"l{k:03d}": f"f{k % 10}" for k in range(105)})
-    assert sorted(x for names in model.families.values() for x in names) == [f"l{k:03d}" for k in range(105)]
+    assert sorted(x for names in model.languages.values() for x in names) == [f"l{k:03d}" for k in range(105)]
+    assert model.families == sorted(f"f{k}" for k in range(10))
+    got = {r["id"]: r["lang_pred"] for r in language.predict(docs, model).collect()}
+    assert sum(got[i] == name for i, _, name in rows) > 0.95 * len(rows)
+    alone = language.train(docs, family_of={})
+    assert alone.families == [f"l{k:03d}" for k in range(105)]
+    got = {r["id"]: r["lang_pred"] for r in language.predict(docs, alone).collect()}
+    assert sum(got[i] == name for i, _, name in rows) > 0.95 * len(rows)
+
+
+def test_language_machines_against_one_fit(spark):
+    """Four languages: the machines fitted in tasks are those of one fit on the same documents."""
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null")
+    picked = language.sample(known, per_language=40)
+    rows = sorted((r["lang"], r["buckets"], r["shares"]) for r in picked.collect())
+    names = [r[0] for r in rows]
+    assert len(set(names)) >= 4 and all(names.count(n) == 40 for n in set(names))
+    family = {n: language.FAMILY_OF.get(n, n) for n in names}
+    fitted, languages = language.machines(picked, per_language=40)
+    assert languages == family
+    got = {(m["family"], m["first"], m["second"]): m for m in fitted.collect()}
+    want = {("", f, "") for f in family.values()} | {
+        (family[a], a, b) for a in family for b in family if a < b and family[a] == family[b]
+    }
+    assert set(got) == want
+
+    def of(name, machine):
+        if machine[2]:
+            return {machine[1]: 1.0, machine[2]: -1.0}.get(name)
+        return 1.0 if family[name] == machine[1] else -1.0
+
+    sizes = Counter(family[n] for n in set(names))
+    assert set(sizes.values()) <= {1, 2} and len(rows) <= 4 * 40  # so all rows are in each family's group
+    for machine, m in got.items():
+        part = [(of(n, machine), b, s) for n, b, s in rows if of(n, machine)]
+        x = np.zeros((len(part), language.BUCKETS), dtype=np.float32)
+        for k, (_, buckets, shares) in enumerate(part):
+            x[k, buckets] = shares
+        weights, bias = language.separate(x, np.array([y for y, _, _ in part]))
+        assert np.allclose(m["weights"], weights, atol=1e-4) and m["bias"] == pytest.approx(bias, abs=1e-4)
+
+
+def test_language_sample_of_rows_that_share_an_id(spark):
+    rows = [(7, f"word{k} and more", "en") for k in range(300)]
+    rows += [(1, "le meme texte", "fr")] * 3000 + [(2, "ein Text", "de"), (None, "x", "nl"), (3, None, "es")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)
+    for _ in range(2):
+        picked = language.sample(docs, per_language=50).groupBy("lang").count().collect()
+        assert {r["lang"]: r["count"] for r in picked} == {"en": 50, "fr": 50, "de": 1}
