@@ -278,9 +278,10 @@ def train(
     fitted, languages = machines(sample(docs, doc_id, text, lang, per_language), family_of, per_language)
     if not languages:
         return LanguageModel([], {})
+    # Fitted all at once first: the iterator would run one partition after the other.
+    rows = cut(fitted).toLocalIterator()
     return LanguageModel(
-        [(m["family"], m["first"], m["second"], m["weights"], m["bias"]) for m in fitted.toLocalIterator()],
-        languages,
+        [(m["family"], m["first"], m["second"], m["weights"], m["bias"]) for m in rows], languages
     )
 
 
