@@ -173,18 +173,42 @@ def test_repeats_of_different_texts_under_one_id(spark, shared):
     assert sum(common in bytes(r["kept"]).decode() for r in got) == 1
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.one_of(st.binary(max_size=80), st.text("ab", max_size=120).map(str.encode)), st.integers(1, 12))
-def test_suffix_order(raw, depth):
+def in_common(a, b):
+    return next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(
+    st.binary(max_size=80), st.text("ab", max_size=120).map(str.encode),
+    st.tuples(st.binary(max_size=6), st.integers(0, 40)).map(lambda x: x[0] * x[1]),
+))
+def test_suffix_order(raw):
     text = np.frombuffer(raw, dtype=np.uint8)
-    whole = suffix_order(text, 10**6)
-    assert whole.tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
-    order = suffix_order(text, depth)
-    assert [raw[i:i + depth] for i in order] == [raw[i:i + depth] for i in whole]
-    shared = common_prefixes(text, order, depth)
+    order = suffix_order(text)
+    assert order.tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+    shared = common_prefixes(text, order)
     for a, b in zip(order[:-1], order[1:], strict=True):
-        same = [x == y for x, y in zip(raw[a:a + depth], raw[b:b + depth], strict=False)] + [False]
-        assert shared[b] == same.index(False)
+        assert shared[b] == in_common(raw[a:], raw[b:])
+    assert not len(raw) or shared[order[0]] == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 400), max_size=300))
+def test_suffix_order_of_names(names):
+    order = suffix_order(np.array(names, dtype=np.int64))
+    assert order.tolist() == sorted(range(len(names)), key=lambda i: names[i:])
+
+
+def test_suffix_order_recurs_on_names(monkeypatch):
+    from tripweave.llm import suffixes
+
+    sizes, rng = [], random.Random(5)
+    sort = suffixes.suffix_order
+    monkeypatch.setattr(suffixes, "suffix_order", lambda text: sizes.append(len(text)) or sort(text))
+    raw = bytes(rng.choice(b"abc") for _ in range(3_000)) * 2
+    order = suffixes.suffix_order(np.frombuffer(raw, dtype=np.uint8))
+    assert order.tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+    assert len(sizes) > 3 and all(2 * b <= a for a, b in zip(sizes[:-1], sizes[1:], strict=True))
 
 
 def words_of(text):

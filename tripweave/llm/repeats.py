@@ -144,11 +144,12 @@ def _shard(length: int, schema: pa.Schema):
         sizes = np.array([len(p) for p in parts])
         raw = b"".join(parts)
         text = np.frombuffer(raw, dtype=np.uint8)
-        order = suffix_order(text, length)
+        order = suffix_order(text)
         owner = np.repeat(np.arange(len(parts)), sizes)
         ends = np.cumsum(sizes)
-        at = order[order + length <= ends[owner[order]]]  # where a whole string begins
-        classes = np.cumsum(common_prefixes(text, at, length)[at] < length)
+        classes = np.cumsum(common_prefixes(text, order)[order] < length)
+        whole = order + length <= ends[owner[order]]  # where a whole string begins
+        at, classes = order[whole], classes[whole]
         by = np.lexsort((at, classes))  # segments are in the order of their documents
         at, classes = at[by], classes[by]
         first = np.concatenate(([True] * bool(len(at)), classes[1:] != classes[:-1]))

@@ -1,4 +1,4 @@
-"""Suffix arrays of byte strings by induced sorting, and their permuted common prefixes."""
+"""Suffix arrays by induced sorting, and their permuted common prefixes."""
 
 from __future__ import annotations
 
@@ -8,102 +8,98 @@ import numpy as np
 def _types(text: np.ndarray) -> np.ndarray:
     """True where the suffix is smaller than the next one (S type); the last one is L type.
 
-    A suffix is compared with the next by the first byte that differs from its own.
+    A suffix is compared with the next by the first letter that differs from its own.
     """
-    n = len(text)
     change = np.flatnonzero(text[1:] != text[:-1])
-    upto = np.searchsorted(change, np.arange(n), side="left")
-    small = np.zeros(n, dtype=bool)
-    inner = upto < len(change)
-    at = change[upto[inner]]
-    small[inner] = text[at] < text[at + 1]
+    small = np.zeros(len(text), dtype=bool)
+    if len(change):
+        rises = text[change] < text[change + 1]
+        small[:change[-1] + 1] = np.repeat(rises, np.diff(change, prepend=-1))
     return small
 
 
-def _append(order: np.ndarray, free: np.ndarray, text: np.ndarray, found: np.ndarray, up: bool) -> None:
-    """Put suffixes, in this order, at the free ends of their buckets (filled upwards or downwards)."""
-    bytes_ = text[found]
-    by = np.argsort(bytes_, kind="stable")
-    sorted_ = bytes_[by]
-    counts = np.bincount(sorted_, minlength=len(free))
-    rank = np.arange(len(by)) - (np.cumsum(counts) - counts)[sorted_]
-    order[free[sorted_] + (rank if up else -rank)] = found[by]
-    free += counts if up else -counts
+def _place(order: np.ndarray, free: np.ndarray, text: np.ndarray, found: np.ndarray) -> None:
+    """Put suffixes, in this order, at the free ends of their letters' buckets."""
+    if not len(found):
+        return
+    letters = text[found]
+    by = letters.argsort(kind="stable")
+    letters = letters[by]
+    slots = free[letters] + np.arange(len(by)) - letters.searchsorted(letters)
+    order[slots] = found[by]
+    free[letters] = slots + 1  # the last of a letter counts
+
+
+def _scan(order: np.ndarray, free: np.ndarray, text: np.ndarray, wanted: np.ndarray) -> None:
+    """Go through the order upwards and place the suffix before each one met, if it is wanted.
+
+    A stretch is scanned at a time, up to the first slot that the stretch itself fills: what is met
+    before that slot is final.  The next stretch begins there.  So buckets need no loop of their own
+    and the alphabet may be as large as the text.
+    """
+    done, width = 0, 1024
+    while done < len(order):
+        stretch = order[done:done + width]
+        slots = (wanted[stretch - 1] & (stretch > 0)).nonzero()[0]
+        before = stretch[slots] - 1
+        step = len(stretch)
+        if len(slots):
+            least = np.minimum.accumulate(free[text[before]]) - done
+            late = slots[1:] > least[:-1]
+            ready = int(late.argmax()) + 1 if late.any() else len(slots)
+            step = min(step, int(least[ready - 1]))
+            _place(order, free, text, before[:ready])
+        done += step
+        width = min(max(2 * step, 256), 65_536)
 
 
 def _induce(text: np.ndarray, small: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The order of all suffixes that follows from an order of the leftmost S-type ones.
 
-    Buckets are scanned upwards, which places the L-type suffix before each placed one, and then
-    downwards, which places the S-type ones.  A whole bucket is scanned at a time; suffixes that
-    fall into the bucket being scanned are scanned next.
+    The scan upwards places the L-type suffixes, the scan downwards the S-type ones.
     """
-    n, sigma = len(text), 256
-    counts = np.bincount(text, minlength=sigma)
+    n = len(text)
+    counts = np.bincount(text)
     ends = np.cumsum(counts)
-    heads = ends - counts
     order = np.full(n, -1, dtype=np.int64)
-    first = [starts[text[starts] == c] for c in range(sigma)]
-    free = heads.copy()
+    _place(order, ends - np.bincount(text[starts], minlength=len(counts)), text, starts)
+    seeds = np.flatnonzero(order >= 0)
+    free = ends - counts
     # The last suffix is L type, and only the end of the text is before it.
-    _append(order, free, text, np.array([n - 1]), up=True)
-    for c in range(sigma):
-        if not counts[c]:
-            continue
-        done = heads[c]
-        while done < free[c]:
-            found, done = order[done:free[c]] - 1, free[c]
-            found = found[found >= 0]
-            found = found[~small[found]]
-            if len(found):
-                _append(order, free, text, found, up=True)
-        found = first[c] - 1
-        found = found[(found >= 0)]
-        found = found[~small[found]]
-        if len(found):
-            _append(order, free, text, found, up=True)
-    large_ends = free.copy()
-    free = ends - 1
-    for c in range(sigma - 1, -1, -1):
-        if not counts[c]:
-            continue
-        done = ends[c] - 1
-        while done > free[c]:
-            found, done = order[free[c] + 1:done + 1][::-1] - 1, free[c]
-            found = found[found >= 0]
-            found = found[small[found]]
-            if len(found):
-                _append(order, free, text, found, up=False)
-        found = order[heads[c]:large_ends[c]][::-1] - 1
-        found = found[found >= 0]
-        found = found[small[found]]
-        if len(found):
-            _append(order, free, text, found, up=False)
+    _place(order, free, text, np.array([n - 1]))
+    _scan(order, free, text, ~small)
+    order[seeds] = -1
+    _scan(order[::-1], n - ends, text, small)
     return order
 
 
-def _ranked(names: np.ndarray, depth: int) -> np.ndarray:
-    """Order of the suffixes of a text of names, by their first ``depth`` names at least."""
-    rank, reach = names.astype(np.int64), 1
-    while True:
-        nxt = np.full(len(rank), -1, dtype=np.int64)
-        nxt[:-reach] = rank[reach:] if reach < len(rank) else 0
-        key = rank * (rank.max() + 2) + nxt + 1
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        new = np.empty_like(rank)
-        new[order] = np.concatenate(([0], np.cumsum(ranked[1:] != ranked[:-1])))
-        rank, reach = new, reach * 2
-        if reach >= depth or reach >= len(rank) or rank.max() == len(rank) - 1:
-            return order
+def _names(text: np.ndarray, leftmost: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
+    """By leftmost position: the rank of its substring, up to and with the next leftmost position."""
+    n = len(text)
+    length = np.zeros(n, dtype=np.int64)
+    length[leftmost] = np.append(leftmost[1:], n - 1) - leftmost + 1
+    a, b = sorted_[:-1], sorted_[1:]
+    size = length[a]
+    # The last substring runs into the end of the text: no other equals it.
+    same = (size == length[b]) & (a != leftmost[-1]) & (b != leftmost[-1])
+    pending, offset = np.flatnonzero(same), 0
+    while len(pending):
+        equal = text[a[pending] + offset] == text[b[pending] + offset]
+        same[pending[~equal]] = False
+        offset += 1
+        pending = pending[equal]
+        pending = pending[size[pending] > offset]
+    name = np.empty(n, dtype=np.int64)
+    name[sorted_] = np.concatenate(([0], np.cumsum(~same)))
+    return name[leftmost]
 
 
-def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """The suffixes of a byte array, sorted by their first ``depth`` bytes at least.
+def suffix_order(text: np.ndarray) -> np.ndarray:
+    """The sorted suffixes of an array of bytes, or of whole numbers from 0.
 
     Suffixes are classified, the substrings between leftmost S-type ones are sorted by induction
-    and named, the text of names is sorted in turn (by names pairwise, as it has too many different
-    ones for buckets), and all suffixes are induced from that.
+    and named, the text of names (half as long at most) is sorted by recursion if a name repeats,
+    and all suffixes are induced from that.
     """
     n = len(text)
     if n < 2:
@@ -116,50 +112,42 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     is_leftmost = np.zeros(n, dtype=bool)
     is_leftmost[leftmost] = True
     sorted_ = by[is_leftmost[by]]
-    # Equal neighbours: the same bytes up to and with the next leftmost position.
-    follow = np.append(leftmost[1:], n - 1)
-    length = np.zeros(n, dtype=np.int64)
-    length[leftmost] = follow - leftmost + 1
-    a, b = sorted_[:-1], sorted_[1:]
-    size = length[a]
-    same = (size == length[b]) & (np.maximum(a, b) + size <= n)
-    same &= (a != leftmost[-1]) & (b != leftmost[-1])
-    pending = np.flatnonzero(same)
-    offset = 0
-    while len(pending):
-        equal = text[a[pending] + offset] == text[b[pending] + offset]
-        same[pending[~equal]] = False
-        offset += 1
-        pending = pending[equal]
-        pending = pending[size[pending] > offset]
-    name = np.empty(n, dtype=np.int64)
-    name[sorted_] = np.concatenate(([0], np.cumsum(~same)))
-    names = name[leftmost]
-    if len(leftmost) > 1 and not same.any():
-        return _induce(text, small, sorted_)
-    # Leftmost positions are at least two bytes apart.
-    return _induce(text, small, leftmost[_ranked(names, depth // 2 + 2)])
+    names = _names(text, leftmost, sorted_)
+    if names.max() + 1 < len(names):
+        sorted_ = leftmost[suffix_order(names)]
+    return _induce(text, small, sorted_)
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """By text position: bytes in common with the suffix before it in the order, ``most`` at most.
+def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """By text position: bytes in common with the suffix before it in the order of all suffixes.
 
-    The order may be of some suffixes only; others have 0.  Eight bytes are compared at a time.
+    If a suffix and the one before it follow the same byte, their common prefix is that of the
+    position before, less one.  Only the others are compared, eight bytes at a time; these have
+    2 n log n bytes in common together at most.
     """
     n = len(text)
-    out = np.zeros(n, dtype=np.int64)
-    padded = np.concatenate((text, np.zeros(most + 16, dtype=np.uint8))).astype(np.uint64)
-    eight = np.zeros(n + most + 8, dtype=np.uint64)
+    if not n:
+        return np.zeros(0, dtype=np.int64)
+    previous = np.empty(n, dtype=np.int64)
+    previous[order[1:]] = order[:-1]
+    previous[order[0]] = -1
+    compared = np.ones(n, dtype=bool)
+    compared[1:] = (previous[1:] < 1) | (text[:-1] != text[previous[1:] - 1])
+    padded = np.concatenate((text, np.zeros(16, dtype=np.uint8))).astype(np.uint64)
+    eight = np.zeros(n + 8, dtype=np.uint64)
     for k in range(8):
         eight |= padded[k:k + len(eight)] << np.uint64(8 * k)
-    at, before = order[1:], order[:-1]
-    room = np.minimum(most, n - np.maximum(at, before))  # up to the end of the text
-    pending, offset = np.arange(len(at)), 0
+    at = np.flatnonzero(compared)
+    before = previous[at]
+    room = np.where(before < 0, 0, n - np.maximum(at, before))  # up to the end of the text
+    shared = np.zeros(len(at), dtype=np.int64)
+    pending, offset = np.flatnonzero(room), 0
     while len(pending):
         differ = eight[at[pending] + offset] ^ eight[before[pending] + offset]
         low = differ & (~differ + np.uint64(1))
         same = np.where(differ == 0, 8, (np.log2(np.maximum(low, 1).astype(np.float64)) // 8).astype(np.int64))
-        out[at[pending]] = np.minimum(offset + same, room[pending])
+        shared[pending] = np.minimum(offset + same, room[pending])
         offset += 8
         pending = pending[(same == 8) & (room[pending] > offset)]
-    return out
+    which = np.cumsum(compared) - 1
+    return shared[which] - (np.arange(n) - at[which])
