@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripweave import sources
 from tripweave.operators import add_zone, locate_points, prepare_cover, ring_edges, zone_cover
+from tripweave.operators.ranges import range_pieces
 from tripweave.registry import QUERIES
 from tripweave.schemas import GREEN_POINT_COLUMNS, TRIP_COLUMNS, YELLOW, YELLOW_POINT_COLUMNS
 
@@ -119,3 +120,26 @@ def test_the_test_tables_show_points_in_and_out_of_zones(spark):
         F.count_distinct("start_id").alias("zones"),
     ).first()
     assert found["out"] > 100 and found["in"] > 100 and found.zones > 3
+
+
+def test_a_cell_goes_without_zones_beyond_one_it_lies_wholly_in(spark):
+    """Many zones over each other: a cell carries those that can be the least one, no others."""
+    rings = {z: [[(x, y), (x + 0.5, y), (x + 0.5, y + 0.5), (x, y + 0.5)]]
+             for z in range(60) for x, y in [(z * 37 % 60 / 1000, z * 91 % 60 / 1000)]}
+    cover = zone_cover(ring_edges(*shapes(spark, rings)))
+    most = cover.where("gx between 16 and 56 and gy between 16 and 56").agg(F.max(F.size("zones"))).first()[0]
+    assert most == 1
+    points = [(k, k % 40 / 60, k // 40 / 60) for k in range(1600)]
+    got = add_zone(spark.createDataFrame(points, "k int, lat double, lon double"), cover, "lat", "lon", "zone")
+    want = {k: min((z for z, r in rings.items() if inside(edges_of(r), x, y)), default=None) for k, y, x in points}
+    assert {r.k: r.zone for r in got.collect()} == want
+
+
+def test_short_ranges_are_looked_for_at_few_levels(spark):
+    """Levels beyond a range's length are not tried; long ranges keep all their pieces."""
+    ranges = spark.createDataFrame([(16, 32), (0, 2**62), (1023, 3 * 1024 + 1)], "lo long, hi long")
+    pieces = range_pieces(ranges)
+    assert rows(pieces.where("lo = 16"), "_level", "_piece") == [(10, 0)]
+    assert rows(pieces.where("lo = 0"), "_level", "_piece") == [(62, 0)]
+    assert rows(pieces.where("lo = 1023"), "_level", "_piece") == [(12, 0)]
+    assert "sequence(0, 52" not in pieces._jdf.queryExecution().analyzed().toString()

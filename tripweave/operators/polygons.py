@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
+from .nearest import ensure_checkpoint_dir
 from .ranges import range_join
 from .sizing import broadcast_if_small
 
@@ -52,12 +54,13 @@ def _cell(degrees: Column, cell: float) -> Column:
 
 
 def zone_cover(edges: DataFrame, cell: float = CELL) -> DataFrame:
-    """Grid cells that zones reach into: ``gx, gy, zones`` (zone, whole, edges), one row a cell.
+    """Grid cells that zones reach into: ``gx, gy, zones`` (zone, whole, edges; by zone), one row a cell.
 
     A cell that no edge of a zone touches lies wholly in it or not at all; its centre decides.  A
     cell that edges touch carries those of the zone's edges in its strip of latitude that a ray
     from one of its points to the east can cross.  Where rings lie in each other, an odd number of
-    them means inside, so a ring in a ring is a hole.
+    them means inside, so a ring in a ring is a hole.  A point is in the least zone that holds it, so
+    a cell goes without the zones beyond the least one that it lies wholly in.
     """
     y_low, y_high = F.least("y1", "y2"), F.greatest("y1", "y2")
     strips = edges.withColumn("gy", F.explode(
@@ -79,28 +82,49 @@ def zone_cover(edges: DataFrame, cell: float = CELL) -> DataFrame:
         "zone", "gy", F.struct(*_EDGE).alias("edge"),
         _cell(west - _MARGIN, cell).alias("first"), _cell(east + _MARGIN, cell).alias("last"),
     ).groupBy("zone", "gy").agg(
-        F.collect_list("edge").alias("edges"), F.min("first").alias("west"), F.max("last").alias("east"),
-        F.array_distinct(F.flatten(F.collect_list(F.sequence("first", "last")))).alias("touched"),
+        F.collect_list("edge").alias("edges"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("first", "last"))))).alias("touched"),
     )
-    cells = by_strip.select(
-        "zone", "gy", "edges", "touched", F.explode(F.sequence("west", "east")).alias("gx")
-    ).withColumn("edge_cell", F.array_contains("touched", F.col("gx")))
-    centre_x, centre_y = ((F.col(g) + 0.5) * F.lit(cell) for g in ("gx", "gy"))
+    n = F.size("touched")
+    gaps = F.filter(
+        F.zip_with(
+            F.slice("touched", 1, n - 1), F.slice("touched", 2, n - 1),
+            lambda a, b: F.struct((a + 1).alias("first"), (b - 1).alias("last")),
+        ),
+        lambda g: g["first"] <= g["last"],
+    )
+    # No edge touches a gap between edge cells, so one centre decides on all its cells.
+    centre_x, centre_y = ((g + 0.5) * F.lit(cell) for g in (F.col("gap.first"), F.col("gy")))
+    whole = by_strip.select("zone", "gy", "edges", F.explode(gaps).alias("gap")).where(
+        _inside(F.col("edges"), centre_x, centre_y)
+    ).select("zone", "gy", F.explode(F.sequence("gap.first", "gap.last")).alias("gx"))
+    least = whole.groupBy("gx", "gy").agg(F.min("zone").alias("least"))
+    edge_cells = by_strip.select("zone", "gy", F.explode("touched").alias("gx")).join(
+        least, ["gx", "gy"], "left"
+    ).where(F.col("least").isNull() | (F.col("zone") < F.col("least"))).select("zone", "gy", "gx")
     border = F.col("gx") * F.lit(cell) - _MARGIN
-    held = cells.where(F.col("edge_cell") | _inside(F.col("edges"), centre_x, centre_y)).select(
-        "gx", "gy", F.struct(
-            "zone", (~F.col("edge_cell")).alias("whole"),
-            F.when(F.col("edge_cell"), F.filter(
-                "edges", lambda e: F.greatest(e["x1"], e["x2"]) >= border
-            )).alias("edges"),
-        ).alias("zone"),
+    cut = edge_cells.join(by_strip.select("zone", "gy", "edges"), ["zone", "gy"]).withColumn(
+        "edges", F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= border)
+    )
+    held = cut.select("gx", "gy", "zone", "edges").unionByName(
+        least.select("gx", "gy", F.col("least").alias("zone")), allowMissingColumns=True
     )
-    return held.groupBy("gx", "gy").agg(F.collect_list("zone").alias("zones"))
+    return held.groupBy("gx", "gy").agg(F.array_sort(F.collect_list(
+        F.struct("zone", F.col("edges").isNull().alias("whole"), "edges")
+    )).alias("zones"))
 
 
 def prepare_cover(edges: DataFrame, cell: float = CELL, **limits: int) -> DataFrame:
-    """The cover ready for :func:`add_zone`: marked for broadcast if it is measured to be small."""
-    return broadcast_if_small(zone_cover(edges, cell), **limits)
+    """The cover ready for :func:`add_zone`: marked for broadcast if it is measured to be small.
+
+    It is laid once, while the query is built, into the session's checkpoint folder.
+    """
+    ensure_checkpoint_dir(edges.sparkSession)
+    return broadcast_if_small(zone_cover(edges, cell).checkpoint(), **limits)
+
+
+def _zone_type(cover: DataFrame) -> DataType:
+    return cover.schema["zones"].dataType.elementType["zone"].dataType
 
 
 def add_zone(points: DataFrame, cover: DataFrame, lat: str, lon: str, zone: str, cell: float = CELL) -> DataFrame:
@@ -112,15 +136,17 @@ def add_zone(points: DataFrame, cover: DataFrame, lat: str, lon: str, zone: str,
     x, y = F.col(lon), F.col(lat)
     valid = (F.abs(y) <= 90.0) & (F.abs(x) <= 180.0)  # false for NaN too: it is greater than all
     side = cover.select(
-        F.col("gx").alias("_gx"), F.col("gy").alias("_gy"), F.col("zones").alias("_zones")
+        F.col("gx").alias("_gx"), F.col("gy").alias("_gy"), F.col("zones").alias("_zones"),
     )
     met = points.join(
         side,
         (F.when(valid, _cell(x, cell)) == F.col("_gx")) & (F.when(valid, _cell(y, cell)) == F.col("_gy")),
         "left",
     )
-    holding = F.filter("_zones", lambda z: z["whole"] | _inside(z["edges"], x, y))
-    least = F.array_min(F.transform(holding, lambda z: z["zone"]))
+    # Zones come by size, so none is looked into after the first that holds the point.
+    least = F.aggregate("_zones", F.lit(None).cast(_zone_type(cover)), lambda found, z: F.when(
+        found.isNotNull(), found
+    ).when(z["whole"] | _inside(z["edges"], x, y), z["zone"]))
     return met.withColumn(zone, least).drop("_gx", "_gy", "_zones")
 
 
