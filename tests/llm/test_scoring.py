@@ -389,3 +389,18 @@ def test_language_sample_of_rows_that_share_an_id(spark):
     for _ in range(2):
         picked = language.sample(docs, per_language=50).groupBy("lang").count().collect()
         assert {r["lang"]: r["count"] for r in picked} == {"en": 50, "fr": 50, "de": 1}
+
+
+def test_the_fit_takes_little_room_beyond_one_matrix_of_rules():
+    """The driver holds rules as truth values; numbers once, and a copy of them for the norm."""
+    import tracemalloc
+
+    random = np.random.default_rng(3)
+    r, y = random.random((4000, 300)) < 0.3, (random.random(4000) < 0.5).astype(float)
+    tracemalloc.start()
+    b, w = quality.lasso(r, y, 0.001, steps=5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.2 * r.size * 8
+    again = quality.lasso(r.astype(float), y, 0.001, steps=5)
+    assert b == again[0] and np.array_equal(w, again[1])

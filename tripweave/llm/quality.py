@@ -125,10 +125,17 @@ def tree_rules(x: np.ndarray, y: np.ndarray, names: list[str], trees: int = TREE
 
 
 def lasso(r: np.ndarray, y: np.ndarray, penalty: float, steps: int = 400) -> tuple[float, np.ndarray]:
-    """Logistic weights under an L1 penalty (intercept free), by accelerated proximal steps."""
-    n = len(y)
-    scale = np.maximum(r.std(axis=0), 1e-3)
-    a = np.hstack([np.ones((n, 1)), (r - r.mean(axis=0)) / scale])
+    """Logistic weights under an L1 penalty (intercept free), by accelerated proximal steps.
+
+    ``r`` may be truth values, which take an eighth of the room; numbers are made of some columns at a time.
+    """
+    n, k = r.shape
+    a, mean, scale = np.ones((n, k + 1)), np.zeros(k), np.zeros(k)
+    for some in np.array_split(np.arange(k), max(1, k // 32)):
+        here = slice(some[0], some[-1] + 1) if len(some) else slice(0)
+        part = r[:, here].astype(float)
+        mean[here], scale[here] = part.mean(axis=0), np.maximum(part.std(axis=0), 1e-3)
+        a[:, 1:][:, here] = (part - mean[here]) / scale[here]
     step = 4 * n / (np.linalg.norm(a, 2) ** 2 + 1e-9)
     w = z = np.zeros(a.shape[1])
     t = 1.0
@@ -140,7 +147,7 @@ def lasso(r: np.ndarray, y: np.ndarray, penalty: float, steps: int = 400) -> tup
         z = moved + (t - 1) / faster * (moved - w)
         w, t = moved, faster
     weights = w[1:] / scale
-    return float(w[0] - weights @ r.mean(axis=0)), weights
+    return float(w[0] - weights @ mean), weights
 
 
 @dataclass
@@ -179,7 +186,7 @@ def fit_rules(x: np.ndarray, y: np.ndarray, names: list[str]) -> RuleModel:
     if len(y) < 50 or share * (len(y) + 2) < 6 or (1 - share) * (len(y) + 2) < 6:
         return RuleModel(float(np.log(share / (1 - share))), {})
     rules = tree_rules(x, y, names)
-    r = np.column_stack([holds(rule, x, names) for rule in rules]).astype(float)
+    r = np.column_stack([holds(rule, x, names) for rule in rules])
     out = np.arange(len(y)) % 5 == 4
     best = (np.inf, 0.01)
     for penalty in (0.03, 0.01, 0.003, 0.001):
