@@ -311,3 +311,15 @@ def test_shingles_follow_the_definition():
         assert len(hashed) == len(shingles(text, 4))
     same = shingle_hashes([b"x a b c d", b"A B c D y z"], 4)
     assert len(np.intersect1d(*same)) == 1
+
+
+def test_groups_of_a_column_without_its_texts():
+    import pyarrow as pa
+
+    from tripweave.llm.common import groups_of, text_bytes, text_groups
+
+    column = pa.array(["é" * 4, None, "", "ab" * 6, "c", None])
+    for most in (1, 5, 8, 100):
+        assert list(text_groups(column, most)) == list(groups_of(text_bytes(column), most))
+    assert list(text_groups(column, 8)) == [(0, 1), (1, 4), (4, 6)]
+    assert list(text_groups(pa.array([], pa.string()))) == []

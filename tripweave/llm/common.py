@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,16 +63,25 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def _ranges(lengths: Iterator[int], most: int) -> Iterator[tuple[int, int]]:
+    first = held = i = 0
+    for i, length in enumerate(lengths, 1):
+        held += length
+        if held >= most:
+            yield first, i
+            first, held = i, 0
+    if first < i:
+        yield first, i
+
+
 def groups_of(texts: list[bytes], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Index ranges of whole texts that hold about ``most`` bytes together."""
-    first = held = 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= most:
-            yield first, i + 1
-            first, held = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+    return _ranges(map(len, texts), most)
+
+
+def text_groups(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """As ``groups_of``, of a string column of an Arrow batch, so that its texts need not be Python's all at once."""
+    return _ranges(pc.binary_length(column).fill_null(0).to_pylist(), most)
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, cut_table, free_name, groups_of, mix, shingle_hashes, text_bytes
+from .common import cut, cut_table, free_name, mix, shingle_hashes, text_bytes, text_groups
 from .components import components
 
 #: Coordinates of a sketch, and of a band: two sets of similarity 0.8 share no band of 32 with a
@@ -66,9 +66,8 @@ def bands(sketch: np.ndarray, per_band: int = PER_BAND) -> np.ndarray:
 def _signatures(words: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = text_bytes(batch.column(1))
-            for first, last in groups_of(texts):
-                sets = shingle_hashes(texts[first:last], words)
+            for first, last in text_groups(batch.column(1)):
+                sets = shingle_hashes(text_bytes(batch.column(1).slice(first, last - first)), words)
                 rows = bands(sketches(sets))
                 filled = [bool(len(s)) for s in sets]
                 digests = [
@@ -92,16 +91,16 @@ def _similar(words: int, percent: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = batch.column(0), batch.column(1)
-            left, right = text_bytes(batch.column(2)), text_bytes(batch.column(3))
             linked = np.zeros(batch.num_rows, dtype=bool)
-            for first, last in groups_of(right):
+            for first, last in text_groups(batch.column(3)):
+                left, right = (text_bytes(batch.column(k).slice(first, last - first)) for k in (2, 3))
                 known: dict[bytes, int] = {}
-                for t in left[first:last]:
+                for t in left:
                     known.setdefault(t, len(known))
                 hubs = shingle_hashes(list(known), words)
-                others = shingle_hashes(right[first:last], words)
+                others = shingle_hashes(right, words)
                 for i, y in enumerate(others, first):
-                    x = hubs[known[left[i]]]
+                    x = hubs[known[left[i - first]]]
                     if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y), 1):
                         both = len(x) + len(y) - len(np.union1d(x, y))
                         linked[i] = 100 * both >= percent * (len(x) + len(y) - both)
@@ -114,14 +113,14 @@ def _similar(words: int, percent: int, schema: pa.Schema):
 def _differences(words: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = text_bytes(batch.column(3)), text_bytes(batch.column(4))
-            for first, last in groups_of(right):
-                known = {t: k for k, t in enumerate(dict.fromkeys(left[first:last]))}
+            for first, last in text_groups(batch.column(4)):
+                left, right = (text_bytes(batch.column(k).slice(first, last - first)) for k in (3, 4))
+                known = {t: k for k, t in enumerate(dict.fromkeys(left))}
                 hubs = shingle_hashes(list(known), words)
-                others = shingle_hashes(right[first:last], words)
+                others = shingle_hashes(right, words)
                 diffs, adds, hub_sizes = [], [], []
-                for i, y in enumerate(others, first):
-                    x = hubs[known[left[i]]]
+                for t, y in zip(left, others, strict=True):
+                    x = hubs[known[t]]
                     hub_sizes.append(len(x))
                     added = np.setdiff1d(y, x, assume_unique=True)
                     lost = np.setdiff1d(x, y, assume_unique=True)
