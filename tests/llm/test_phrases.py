@@ -151,3 +151,29 @@ def test_odd_documents(spark):
     assert got == brute(rows, 4, 5, 2000)
     assert ("und", 1, "a b", 4, 4, 4, 8, 2000) in got
     assert collocations(df.limit(0), 4).count() == 0
+
+
+def test_a_size_is_written_at_a_time(spark):
+    """Phrases of all sizes of a group are not held together; rows are those of the texts."""
+    import pyarrow as pa
+
+    from tripweave.llm import phrases
+
+    class Held:
+        value = staticmethod(lambda keys: np.ones(len(keys), dtype=bool))
+
+    schema = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()),
+                        ("n", pa.int64()), ("id", pa.int64())])
+    batch = pa.RecordBatch.from_arrays([
+        pa.array([2, 1, 3], pa.int64()), pa.array(["en", None, "en"]), pa.array(["a b c", "x y", None]),
+    ], names=["id", "lang", "text"])
+    out = list(phrases._written(3, [Held] * 3, schema)(iter([batch])))
+    sizes = [set(b.column(1).to_pylist()) for b in out]
+    assert sizes == [{0}, {1}, {2}, {3}]
+    found = {tuple(r.values()) for b in out for r in b.to_pylist()}
+    assert {(lang, size, p, n) for lang, size, p, n, _ in found if size} == {
+        ("en", 1, "a", 1), ("en", 1, "b", 1), ("en", 1, "c", 1), ("und", 1, "x", 1), ("und", 1, "y", 1),
+        ("en", 2, "a b", 1), ("en", 2, "b c", 1), ("und", 2, "x y", 1), ("en", 3, "a b c", 1),
+    }
+    assert {(lang, n) for lang, size, _, n, _ in found if not size} == {("en", 3), ("und", 2)}
+    assert {i for _, size, p, _, i in found if size and p[0] in "abc"} == {2}

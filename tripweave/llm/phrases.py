@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _ODD, cut, groups_of, mix, text_bytes, word_hashes
+from .common import _ODD, cut, mix, text_bytes, text_groups, word_hashes
 
 #: Language of documents without one.
 NO_LANG = "und"
@@ -200,13 +200,15 @@ def _stretches(prints: Fingerprints, words: Words, filters: list[Filter], sizes:
 
 def _words(batch: pa.RecordBatch) -> Iterator[tuple[Words, pa.Array]]:
     """Words of the texts of a batch, by id, in groups of a megabyte, and the ids."""
-    batch = batch.take(pc.sort_indices(batch.column(0)))
+    order = pc.sort_indices(batch.column(0))
     langs = batch.column(1).fill_null(NO_LANG).dictionary_encode()
-    texts = text_bytes(batch.column(2))
     codes = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     names = langs.dictionary.to_pylist()
-    for first, last in groups_of(texts, 1_000_000):
-        yield Words(texts[first:last], codes[first:last], names), batch.column(0).slice(first, last - first)
+    for first, last in text_groups(batch.column(2).take(order), 1_000_000):
+        some = order.slice(first, last - first)
+        # One group's texts at a time: a batch has some dozen groups.
+        texts = text_bytes(batch.column(2).take(some))
+        yield Words(texts, codes[some.to_numpy()], names), batch.column(0).take(some)
 
 
 def _salts(names: list[str]) -> np.ndarray:
@@ -256,22 +258,23 @@ def _written(longest: int, held: list, schema: pa.Schema):
                 first[words.codes[::-1]] = np.arange(len(words))[::-1]
                 often = filters[0](keys)
                 used = np.flatnonzero(total)
-                parts = [(1, first[code[often]], n[often])]
-                for size, some in found.items():
-                    at, keys = (np.concatenate(x) for x in zip(*some, strict=True))
-                    parts.append((size, *_grouped(words, at, keys, size)))
-                at = np.concatenate([a for _, a, _ in parts])
-                doc = np.concatenate((np.zeros(len(used), np.int64), np.searchsorted(words.text_ends, at, "right")))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(words.names, pa.string()).take(pa.array(np.concatenate((used, words.langs[at])))),
-                    pa.array(np.repeat([0] + [size for size, _, _ in parts],
-                                       [len(used)] + [len(a) for _, a, _ in parts]).astype(np.int32)),
-                    pa.array([b""] * len(used) + [
-                        words.phrase(i, size) for size, a, _ in parts for i in a.tolist()
-                    ], pa.binary()).cast(pa.string()),
-                    pa.array(np.concatenate([total[used].astype(np.int64), *[n for _, _, n in parts]])),
-                    ids.take(pa.array(doc)),
-                ], schema=schema)
+                # A size's phrases are written and sent before the next size's.
+                for size in (0, 1, *found):
+                    if size == 0:
+                        at, count = None, total[used].astype(np.int64)
+                    elif size == 1:
+                        at, count = first[code[often]], n[often]
+                    else:
+                        at, count = _grouped(words, *(np.concatenate(x) for x in zip(*found.pop(size), strict=True)), size)
+                    doc = np.zeros(len(used), np.int64) if at is None else np.searchsorted(words.text_ends, at, "right")
+                    lang = used if at is None else words.langs[at]
+                    phrases = [b""] * len(used) if at is None else [words.phrase(i, size) for i in at.tolist()]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(words.names, pa.string()).take(pa.array(lang)),
+                        pa.array(np.full(len(lang), size, dtype=np.int32)),
+                        pa.array(phrases, pa.binary()).cast(pa.string()),
+                        pa.array(count), ids.take(pa.array(doc)),
+                    ], schema=schema)
 
     return run
 
